@@ -1,0 +1 @@
+"""Intentionally empty: the engine's jobs are monthly batches over immutable snapshots."""
