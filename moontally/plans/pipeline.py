@@ -14,20 +14,24 @@ from moontally.plans.contracts import conform, group_contract
 from moontally.plans.spec import FeatureGroup, FeatureJob
 
 
-def grain_rows(group: FeatureGroup, source, job: FeatureJob) -> DataFrame:
+def grain_rows(group: FeatureGroup, source, job: FeatureJob, max_range: int | None = None) -> DataFrame:
     """The rows the group's formulas aggregate."""
-    rows = group.rows(source, job, group.max_range)
-    return group.grain(rows, job, group.max_range) if group.grain else rows
+    max_range = max_range or group.max_range
+    rows = group.rows(source, job, max_range)
+    return group.grain(rows, job, max_range) if group.grain else rows
 
 
-def raw_features(group: FeatureGroup, source, job: FeatureJob) -> DataFrame:
+def raw_features(group: FeatureGroup, source, job: FeatureJob, max_range: int | None = None) -> DataFrame:
     """All windows of a group in one grouping, before drop list and defaults.
 
-    A key with no row in a window has NULL there, not 0.
+    A key with no row in a window has NULL there, not 0.  ``max_range`` widens the
+    months read beyond the group's own ranges: what a formula sees before the window
+    starts is part of its meaning.
     """
     columns = group.columns(job)
+    max_range = max_range or group.max_range
     if group.keyed:
-        one_row = group.keyed(group.rows(source, job, group.max_range), job, group.max_range)
+        one_row = group.keyed(group.rows(source, job, max_range), job, max_range)
         selected = [
             F.when(F.col(present_name(window)), feature.formula(window)).alias(name)
             for window, feature, name in columns
@@ -38,12 +42,12 @@ def raw_features(group: FeatureGroup, source, job: FeatureJob) -> DataFrame:
     aggregates = [
         F.when(window.rows() > 0, feature.formula(window)).alias(name) for window, feature, name in columns
     ]
-    return grain_rows(group, source, job).where(any_window(windows)).groupBy(group.key).agg(*aggregates)
+    return grain_rows(group, source, job, max_range).where(any_window(windows)).groupBy(group.key).agg(*aggregates)
 
 
 def range_frames(group: FeatureGroup, source, job: FeatureJob) -> list[DataFrame]:
     """One frame per range; their outer join equals :func:`raw_features`."""
-    return [raw_features(group.in_ranges(months), source, job) for months in group.ranges]
+    return [raw_features(group.in_ranges(months), source, job, group.max_range) for months in group.ranges]
 
 
 def raw_features_by_range(group: FeatureGroup, source, job: FeatureJob) -> DataFrame:

@@ -8,11 +8,12 @@ month is derived again: a text range on ``date_key`` goes down to the parquet sc
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moontally.functions.calendar import month_index, month_span, parse_date_key
+from moontally.functions.calendar import month_index, month_span, month_start, parse_date_key
 from moontally.operators.rows import distinct_keys, notnull_key_filter, project_cols
 from moontally.operators.windows import MONTH
 from moontally.sources.catalog import SOURCE_COLUMNS, key_column
@@ -32,9 +33,19 @@ class SnapshotSource:
         return self.spark.read.parquet(*[self.path(table, m) for m in range(first, last + 1)])
 
 
-def with_month(df: DataFrame, date_key: str = "date_key") -> DataFrame:
-    """Adds ``date`` and ``month_index`` from the date text."""
-    return df.withColumn("date", parse_date_key(F.col(date_key))).withColumn(MONTH, month_index(F.col("date")))
+# Up to this many months the month of a row is found by comparing with month starts.
+COMPARED_MONTHS = 12
+
+
+def with_month(df: DataFrame, first: int, last: int, date_key: str = "date_key") -> DataFrame:
+    """Adds ``date`` and ``month_index`` from the date text of rows of months first..last."""
+    date = F.col("date")
+    if last - first < COMPARED_MONTHS:
+        later = [F.when(date >= F.lit(month_start(m)), 1).otherwise(0) for m in range(first + 1, last + 1)]
+        month = F.when(date.isNotNull(), reduce(lambda a, b: a + b, later, F.lit(first)))
+    else:
+        month = month_index(date)
+    return df.withColumn("date", parse_date_key(F.col(date_key))).withColumn(MONTH, month)
 
 
 def within_months(df: DataFrame, first: int, last: int, date_key: str = "date_key") -> DataFrame:
@@ -47,7 +58,7 @@ def read_table(source, table: str, first: int, last: int, columns: Sequence[str]
     """Common reader: the months, the columns used, rows with a key, date and month."""
     wanted = list(columns or SOURCE_COLUMNS[table])
     df = within_months(project_cols(source.scan_months(table, first, last), wanted), first, last)
-    return with_month(notnull_key_filter(df, key_column(table)))
+    return with_month(notnull_key_filter(df, key_column(table)), first, last)
 
 
 def scan_droplist(spark: SparkSession, path: str) -> DataFrame:

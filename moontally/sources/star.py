@@ -170,7 +170,7 @@ class StarSource:
             .agg(
                 F.min("event_id").alias("first_event"),
                 F.max("k").alias("top_k"),
-                F.round(F.avg("value"), 2).alias("res_com_score"),
+                F.max("value").alias("res_com_score"),
                 value_of("view").alias("voice_revenue"),
                 value_of("purchase").alias("gprs_revenue"),
                 value_of("click").alias("sms_revenue"),
@@ -263,7 +263,7 @@ class StarSource:
     def _post_paid(self, first: int, last: int) -> DataFrame:
         """One account record per customer and order day."""
         price, status = F.col("o_totalprice"), F.col("o_orderstatus")
-        share = lambda part, *kinds: F.round(F.sum(F.when(status.isin(*kinds), price * part).otherwise(0.0)), 2)
+        share = lambda part, *kinds: F.sum(F.when(status.isin(*kinds), price * part).otherwise(0.0))
         urgent, first_order = F.min("o_orderpriority"), F.min("o_orderkey")
         day = F.to_date("o_orderdate")
         return (
