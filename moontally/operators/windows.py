@@ -10,9 +10,10 @@ row-wise, for callers that want the assigned rows themselves.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
+from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,24 +26,37 @@ MONTH = "month_index"
 
 @dataclass(frozen=True)
 class MonthWindow:
-    """The ``months`` billing months that end with ``target``."""
+    """The ``months`` billing months that end with ``target``.
+
+    Formulas meet the window as a condition on every aggregate.  ``flag`` names a boolean
+    column that already holds it; ``everything`` says the frame has no other rows.
+    """
 
     target: int
     months: int
-    month_column: str = MONTH
+    flag: str | None = None
+    everything: bool = False
 
     @property
     def first(self) -> int:
         return self.target - self.months + 1
 
-    def holds(self, month: Column | None = None) -> Column:
-        month = F.col(self.month_column) if month is None else month
+    @property
+    def flag_name(self) -> str:
+        return f"in_{self.target}_{self.months}"
+
+    def holds(self) -> Column:
+        month = F.col(MONTH)
+        if self.months == 1:
+            return month == self.target
         return (month >= self.first) & (month <= self.target)
 
     def only(self, value: Column | str, *conditions: Column) -> Column:
         """The value on rows of the window (and of the conditions), NULL elsewhere."""
         value = F.col(value) if isinstance(value, str) else value
-        return F.when(reduce(lambda a, b: a & b, conditions, self.holds()), value)
+        if not self.everything:
+            conditions = (F.col(self.flag) if self.flag else self.holds(), *conditions)
+        return F.when(reduce(and_, conditions), value) if conditions else value
 
     def rows(self, *conditions: Column) -> Column:
         return F.count(self.only(F.lit(1), *conditions))
@@ -68,12 +82,11 @@ class MonthWindow:
     def distinct_days(self, day: Column | str, *conditions: Column) -> Column:
         """Exact distinct count of dates: one 31-bit map per month, no distinct shuffle."""
         day = F.col(day) if isinstance(day, str) else day
-        month = F.col(self.month_column)
         counts = [
-            F.bit_count(F.bit_or(F.when(reduce(lambda a, b: a & b, conditions, month == m), _day_bit(day, m))))
+            F.bit_count(F.bit_or(F.when(reduce(and_, conditions, F.col(MONTH) == m), _day_bit(day, m))))
             for m in range(self.first, self.target + 1)
         ]
-        return reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(0)) for c in counts]).cast("long")
+        return reduce(add, [F.coalesce(c, F.lit(0)) for c in counts]).cast("long")
 
 
 def _day_bit(day: Column, month: int) -> Column:
@@ -134,24 +147,20 @@ def outer_join_ranges(frames: Sequence[DataFrame], key: str) -> DataFrame:
     return reduce(lambda left, right: left.join(right, key, "full_outer"), frames)
 
 
-def aggregate_windows(
-    df: DataFrame,
-    keys: Sequence[str],
-    windows: Sequence[MonthWindow],
-    formulas: Callable[[MonthWindow], Mapping[str, Column]],
-) -> DataFrame:
-    """All windows in one grouping: same columns as one pivot per range plus outer join.
+def any_window(windows: Sequence[MonthWindow]) -> Column:
+    return reduce(or_, [window.holds() for window in windows])
 
-    A key without rows in a window gets NULL there, not 0, and a key outside every
-    window gets no row.
-    """
-    columns = [
-        F.when(window.rows() > 0, column).alias(name)
-        for window in windows
-        for name, column in formulas(window).items()
-    ]
-    return df.where(any_window(windows)).groupBy(*keys).agg(*columns)
 
+def with_window_flags(df: DataFrame, windows: Sequence[MonthWindow]) -> tuple[DataFrame, dict]:
+    """Rows of any window, one flag column per window, and the windows that use them.
 
-def any_window(windows: Sequence[MonthWindow]) -> Column:
-    return reduce(lambda a, b: a | b, [window.holds() for window in windows])
+    The condition of a window is evaluated once per row instead of once per aggregate; a
+    lone target's widest window needs none, as no other rows are left.
+    """
+    targets, widest = {w.target for w in windows}, max(w.months for w in windows)
+    flagged = {
+        w: replace(w, everything=True) if len(targets) == 1 and w.months == widest else replace(w, flag=w.flag_name)
+        for w in windows
+    }
+    flags = {w.flag: w.holds() for w in flagged.values() if w.flag}
+    return df.where(any_window(windows)).withColumns(flags), flagged

@@ -17,13 +17,18 @@ SITES = ("Airport", "Industrial Area", "Island", "Oil Platform", "Port", "Touris
 ROAD_VILLAGE = ("Road", "Road - Village", "Village", "Multi Villages", "Small City", "Residential Area")
 LARGE_CITY = ("Capital City", "Main City", "Middle City")
 
-_SITE_CODES = {site: code for code, site in enumerate((*SITES, *ROAD_VILLAGE, *LARGE_CITY), start=1)}
-_SITE_BASE = 32  # above every code
+SITE_CODES = {site: code for code, site in enumerate((*SITES, *ROAD_VILLAGE, *LARGE_CITY), start=1)}
+SITE_BASE = 32  # above every code
 
 
 def rows(source, job: FeatureJob, max_range: int) -> DataFrame:
     accounts = read_table(source, "arpu", *job.months(max_range)).drop("date_key")
-    return distinct_rows(na_fill(accounts))
+    filled = distinct_rows(na_fill(accounts))
+    return filled.withColumns({
+        "site_code": _dated(site_code(), SITE_BASE),
+        "female": _dated(flag(F.col("gender") == "F"), 2),
+        "type_n": _dated(flag(F.col("contract_type") == "N"), 2),
+    })
 
 
 # First and last row of a key are taken by date; rows of one date resolve to the least
@@ -35,31 +40,30 @@ def _dated(code: Column, base: int) -> Column:
     return F.unix_date(F.col("date")).cast("long") * base + code
 
 
-def first_code(w: MonthWindow, code: Column, base: int) -> Column:
-    return w.min(_dated(code, base)) % base
+def first_code(w: MonthWindow, dated: str, base: int) -> Column:
+    return w.min(dated) % base
 
 
-def last_code(w: MonthWindow, code: Column, base: int) -> Column:
-    return w.max(_dated(code, base)) % base
+def last_code(w: MonthWindow, dated: str, base: int) -> Column:
+    return w.max(dated) % base
 
 
 def site_code() -> Column:
-    site = F.col("site_type")
-    known = [F.when(site == name, F.lit(code)) for name, code in _SITE_CODES.items()]
-    return F.coalesce(*known, F.lit(0))
+    """Position in the list of known sites, 0 for any other."""
+    known = F.array(*[F.lit(site) for site in SITE_CODES])
+    return F.coalesce(F.array_position(known, F.col("site_type")), F.lit(0))
 
 
 def first_site(site: str):
-    return lambda w: flag(first_code(w, site_code(), _SITE_BASE) == _SITE_CODES[site])
+    return lambda w: flag(first_code(w, "site_code", SITE_BASE) == SITE_CODES[site])
 
 
 def last_site_among(sites: tuple[str, ...]):
-    return lambda w: flag(last_code(w, site_code(), _SITE_BASE).isin(*[_SITE_CODES[s] for s in sites]))
+    return lambda w: flag(last_code(w, "site_code", SITE_BASE).isin(*[SITE_CODES[s] for s in sites]))
 
 
 def contract_type(w: MonthWindow) -> Column:
-    last_is_n = last_code(w, flag(F.col("contract_type") == "N"), 2)
-    return F.when(w.distinct("contract_type") == 2, 1).otherwise(last_is_n)
+    return F.when(w.distinct("contract_type") == 2, 1).otherwise(last_code(w, "type_n", 2))
 
 
 def _halves(w: MonthWindow) -> tuple[MonthWindow, MonthWindow]:
@@ -104,7 +108,7 @@ GROUP = FeatureGroup(
             "prepaid_to_postpaid", "int", lambda w: flag(w.distinct("contract_type") == 2), ranges=(1,)
         ),
         Feature("res_com_score", "double", lambda w: w.max("res_com_score")),
-        Feature("gender", "int", lambda w: last_code(w, flag(F.col("gender") == "F"), 2), ranges=(2,)),
+        Feature("gender", "int", lambda w: last_code(w, "female", 2), ranges=(2,)),
         Feature("site__large_city", "int", last_site_among(LARGE_CITY), ranges=(2,)),
         Feature("gprs_revenue_change", "double", change("gprs_revenue"), ranges=(2,)),
         Feature("site__USO", "int", first_site("USO"), ranges=(2,)),

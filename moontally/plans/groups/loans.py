@@ -10,7 +10,7 @@ from moontally.functions.scalars import ratio
 from moontally.operators.grain import DAY_SECONDS, agg_recovery_rollup, interval_grain
 from moontally.operators.joins import right_join_recovery
 from moontally.operators.rows import cast_cols, distinct_rows
-from moontally.operators.windows import MONTH, any_window
+from moontally.operators.windows import MONTH, with_window_flags
 from moontally.plans.pipeline import present_name
 from moontally.plans.spec import Feature, FeatureGroup, FeatureJob
 from moontally.sources.snapshots import read_table
@@ -34,9 +34,11 @@ def keyed(loans: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
     """Amounts and intervals come from two groupings of the same rows, joined on the key
     both are already partitioned by."""
     windows = job.windows(GROUP.ranges)
+    lent, flagged = with_window_flags(loans, windows)
+    days, _ = with_window_flags(interval_grain(loans, KEY, "dt_sec"), windows)
     amounts, intervals = [], []
-    for w in windows:
-        tag = _tag(w)
+    for window in windows:
+        w, tag = flagged[window], _tag(window)
         amounts += [
             (w.rows() > 0).alias(present_name(w)),
             w.distinct("loan_id").alias(f"loans{tag}"),
@@ -49,9 +51,7 @@ def keyed(loans: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
             w.min("gap_min").alias(f"gap_min{tag}"),
             w.max("gap_max").alias(f"gap_max{tag}"),
         ]
-    by_amount = loans.where(any_window(windows)).groupBy(KEY).agg(*amounts)
-    by_interval = interval_grain(loans, KEY, "dt_sec").groupBy(KEY).agg(*intervals)
-    return by_amount.join(by_interval, KEY, "left")
+    return lent.groupBy(KEY).agg(*amounts).join(days.groupBy(KEY).agg(*intervals), KEY, "left")
 
 
 def _tag(w) -> str:

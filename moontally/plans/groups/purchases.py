@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from moontally.functions.scalars import ratio
 from moontally.operators.grain import regroup_by_prefix
 from moontally.operators.rows import distinct_rows, value_filters
+from moontally.operators.windows import with_window_flags
 from moontally.plans.pipeline import present_name
 from moontally.plans.spec import Feature, FeatureGroup, FeatureJob
 from moontally.sources.snapshots import read_table
@@ -77,9 +78,10 @@ STATISTICS = ("min", "max", "sum")
 
 def service_grain(purchases: DataFrame, windows) -> DataFrame:
     """First level: per key and service, every window's statistics (``<name>@<window>``)."""
+    purchases, flagged = with_window_flags(purchases, windows)
     aggregates = []
-    for w in windows:
-        tag = _tag(w)
+    for window in windows:
+        w, tag = flagged[window], _tag(window)
         for name in STATISTICS:
             for column in ("cnt", "amount"):
                 aggregates.append(getattr(w, name)(column).alias(f"{name}_service_{column}{tag}"))

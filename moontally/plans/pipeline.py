@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from moontally.operators.joins import anti_join_droplist
 from moontally.operators.rows import fill_const, fill_query, quoted
-from moontally.operators.windows import any_window, outer_join_ranges
+from moontally.operators.windows import outer_join_ranges, with_window_flags
 from moontally.plans.contracts import conform, group_contract
 from moontally.plans.spec import FeatureGroup, FeatureJob
 
@@ -38,11 +38,12 @@ def raw_features(group: FeatureGroup, source, job: FeatureJob, max_range: int |
         ]
         present = reduce(lambda a, b: a | b, [F.col(present_name(w)) for w, _, _ in columns])
         return one_row.where(present).select(group.key, *selected)
-    windows = job.windows(group.ranges)
+    frame, flagged = with_window_flags(grain_rows(group, source, job, max_range), job.windows(group.ranges))
+    present = {window: used.rows() > 0 for window, used in flagged.items()}
     aggregates = [
-        F.when(window.rows() > 0, feature.formula(window)).alias(name) for window, feature, name in columns
+        F.when(present[window], feature.formula(flagged[window])).alias(name) for window, feature, name in columns
     ]
-    return grain_rows(group, source, job, max_range).where(any_window(windows)).groupBy(group.key).agg(*aggregates)
+    return frame.groupBy(group.key).agg(*aggregates)
 
 
 def range_frames(group: FeatureGroup, source, job: FeatureJob) -> list[DataFrame]:

@@ -130,9 +130,21 @@ def typed(source: StarSource, group: FeatureGroup, frame: DataFrame) -> DataFram
     return conform(frame, group_contract(replace(group, extra_columns=()), job_for(group.name)))
 
 
+def _tables(source: StarSource, *names: str) -> dict[str, DataFrame]:
+    """Feature tables; groups of one side share their drop list."""
+    dropped = {
+        side: changed(source)
+        for side, changed in ((True, dropped_users), (False, dropped_customers))
+        if side in {name in EVENT_GROUPS for name in names}
+    }
+    return {
+        name: pipeline.build_features(GROUPS[name], source, job_for(name), dropped[name in EVENT_GROUPS])
+        for name in names
+    }
+
+
 def features(source: StarSource, name: str) -> DataFrame:
-    dropped = dropped_users(source) if name in EVENT_GROUPS else dropped_customers(source)
-    return pipeline.build_features(GROUPS[name], source, job_for(name), dropped)
+    return _tables(source, name)[name]
 
 
 # Scans and sinks.
@@ -659,8 +671,6 @@ for _group in FEATURE_QUERIES.values():
     _feature_query(_group)
 
 
-def _tables(source: StarSource, *names: str) -> dict[str, DataFrame]:
-    return {name: features(source, name) for name in names}
 
 
 @query

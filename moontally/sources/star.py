@@ -60,12 +60,16 @@ class StarSource:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def scan_months(self, table: str, first: int, last: int) -> DataFrame:
         return getattr(self, f"_{table}")(first, last)
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A table of the folder; its schema is read once."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def events(self, first: int, last: int) -> DataFrame:
         k = F.regexp_extract("props", r'"k": (\d+)', 1).cast("int")
