@@ -3,12 +3,14 @@ size is known to be small, and splits skewed partitions of the other side otherw
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from moontally.operators.rows import fill_const, quoted
+
 
 def anti_join_droplist(df: DataFrame, drop_list: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not on the drop list (one ``key`` column)."""
@@ -59,9 +61,10 @@ def store_left_joins(spine: DataFrame, tables: Sequence[tuple[DataFrame, str]],
     return reduce(lambda left, t: left.join(t[0].withColumnRenamed(t[1], name), name, "left"), tables, spine)
 
 
-def store_coalesce(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
-    """Defaults, constant or scalar subquery, for the NULLs a left join leaves."""
+def store_coalesce(df: DataFrame, constants: Mapping[str, float], queries: Mapping[str, Column]) -> DataFrame:
+    """Defaults, constants and scalar subqueries, for the NULLs a left join leaves."""
+    filled = fill_const(df, constants)
     types = dict(df.dtypes)
-    return df.withColumns({
-        name: F.coalesce(F.col(f"`{name}`"), default.cast(types[name])) for name, default in defaults.items()
+    return filled.withColumns({
+        name: F.coalesce(F.col(quoted(name)), scalar.cast(types[name])) for name, scalar in queries.items()
     })

@@ -49,12 +49,9 @@ def const_overwrite(df: DataFrame, column: str, source: DataFrame | None = None)
 
 def fill_const(df: DataFrame, defaults: Mapping[str, float]) -> DataFrame:
     """Constant defaults for the columns that are present, in their own type."""
-    types = dict(df.dtypes)
-    return df.withColumns({
-        name: F.coalesce(F.col(quoted(name)), F.lit(value).cast(types[name]))
-        for name, value in defaults.items()
-        if name in types
-    })
+    present = set(df.columns)
+    known = {name: value for name, value in defaults.items() if name in present}
+    return df.na.fill(known) if known else df
 
 
 def fill_when_null(df: DataFrame, defaults: Mapping[str, float]) -> DataFrame:

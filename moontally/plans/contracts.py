@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from moontally.operators.rows import quoted
 from moontally.plans.spec import FeatureGroup, FeatureJob
 
 TYPES = {"double": T.DoubleType(), "bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType()}
@@ -36,7 +37,9 @@ def conform(df: DataFrame, contract: T.StructType, fill_missing: bool = True) ->
     missing, extra = missing_and_extra(df, contract)
     if extra or (missing and not fill_missing):
         raise ContractError(f"missing columns {missing}, undeclared columns {extra}")
-    return df.select(*[
-        (F.lit(None) if f.name in missing else F.col(f"`{f.name}`")).cast(f.dataType).alias(f.name)
-        for f in contract.fields
-    ])
+    types = {f.name: f.dataType for f in df.schema.fields}
+    columns = []
+    for f in contract.fields:
+        column = F.lit(None) if f.name in missing else F.col(quoted(f.name))
+        columns.append(column if types.get(f.name) == f.dataType else column.cast(f.dataType).alias(f.name))
+    return df.select(*columns)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moontally.operators.joins import anti_join_droplist
@@ -30,20 +31,27 @@ def raw_features(group: FeatureGroup, source, job: FeatureJob, max_range: int |
     """
     columns = group.columns(job)
     max_range = max_range or group.max_range
+    windows = job.windows(group.ranges)
     if group.keyed:
         one_row = group.keyed(group.rows(source, job, max_range), job, max_range)
-        selected = [
-            F.when(F.col(present_name(window)), feature.formula(window)).alias(name)
-            for window, feature, name in columns
-        ]
-        present = reduce(lambda a, b: a | b, [F.col(present_name(w)) for w, _, _ in columns])
-        return one_row.where(present).select(group.key, *selected)
-    frame, flagged = with_window_flags(grain_rows(group, source, job, max_range), job.windows(group.ranges))
-    present = {window: used.rows() > 0 for window, used in flagged.items()}
-    aggregates = [
-        F.when(present[window], feature.formula(flagged[window])).alias(name) for window, feature, name in columns
+        values = {name: feature.formula(window) for window, feature, name in columns}
+        present = reduce(or_, [F.col(present_name(w)) for w in windows])
+        return one_row.where(present).select(group.key, *guarded(columns, windows, values))
+    frame, flagged = with_window_flags(grain_rows(group, source, job, max_range), windows)
+    one_row = frame.groupBy(group.key).agg(
+        *[(w.rows() > 0).alias(present_name(w)) for w in flagged.values() if not w.everything],
+        *[feature.formula(flagged[window]).alias(name) for window, feature, name in columns],
+    )
+    sparse = [window for window, w in flagged.items() if not w.everything]
+    return one_row.select(group.key, *guarded(columns, sparse, {name: F.col(quoted(name)) for _, _, name in columns}))
+
+
+def guarded(columns, sparse, values) -> list[Column]:
+    """Feature columns that are NULL where the key has no row in the window."""
+    return [
+        (F.when(F.col(present_name(window)), values[name]) if window in sparse else values[name]).alias(name)
+        for window, _, name in columns
     ]
-    return frame.groupBy(group.key).agg(*aggregates)
 
 
 def range_frames(group: FeatureGroup, source, job: FeatureJob) -> list[DataFrame]:

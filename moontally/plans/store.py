@@ -42,19 +42,19 @@ def store_part(group: FeatureGroup, table: DataFrame) -> DataFrame:
     return table.select(F.col(group.key).alias(ID), *columns)
 
 
-def store_defaults(tables: Mapping[str, DataFrame]) -> dict[str, Column]:
-    """Default per store column: a constant, or a scalar over the group's own table."""
-    defaults = {}
+def store_defaults(tables: Mapping[str, DataFrame]) -> tuple[dict[str, float], dict[str, Column]]:
+    """Default per store column: constants, and scalars over the group's own table."""
+    constants, queries = {}, {}
     for name, table in tables.items():
         group = GROUPS[name]
         own = {column: f.default_for(w.months) for w, f, column in group.columns(_ANY_MONTH)}
         for store_name, column in store_columns(group).items():
             default = own.get(column)
             if callable(default):
-                defaults[store_name] = table.agg(default(F.col(quoted(column)))).scalar()
+                queries[store_name] = table.agg(default(F.col(quoted(column)))).scalar()
             elif default is not None:
-                defaults[store_name] = F.lit(default)
-    return defaults
+                constants[store_name] = default
+    return constants, queries
 
 
 def wide_by_grouping(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -100,4 +100,4 @@ def wide_by_joins(tables: Mapping[str, DataFrame]) -> DataFrame:
 def feature_store(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Wide table with defaults, in store order; groups without a table stay out."""
     ordered = {name: tables[name] for name in GROUPS if name in tables}
-    return store_coalesce(wide_by_grouping(ordered), store_defaults(ordered))
+    return store_coalesce(wide_by_grouping(ordered), *store_defaults(ordered))

@@ -687,7 +687,7 @@ def store_left_joins(source: StarSource) -> DataFrame:
 @query
 def store_coalesce(source: StarSource) -> DataFrame:
     tables = _tables(source, "Arpu", "PostPaid", "LoanRec")
-    return joins.store_coalesce(store.wide_by_joins(tables), store.store_defaults(tables))
+    return joins.store_coalesce(store.wide_by_joins(tables), *store.store_defaults(tables))
 
 
 @query
