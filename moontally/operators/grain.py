@@ -56,11 +56,12 @@ def previous_active_day(days: DataFrame, key: Sequence[str], active: Mapping[str
 
 
 def event_moments(rows: DataFrame, key: str, moment: str) -> DataFrame:
-    """Distinct (key, month, moment) with the number of rows they stand for, and their day."""
-    known = rows.where(F.col(moment).isNotNull())
-    return known.groupBy(key, MONTH, moment).agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "day", F.unix_date(F.to_date(moment))
-    )
+    """Distinct (key, month, moment) with the number of rows they stand for, and their day.
+
+    An unknown moment stands for no rows and takes part in no interval.
+    """
+    moments = rows.groupBy(key, MONTH, moment).agg(F.count(moment).alias("n"))
+    return moments.withColumn("day", F.unix_date(F.to_date(moment)))
 
 
 def lag_within_day(moments: DataFrame, key: str, moment: str) -> DataFrame:
@@ -71,7 +72,8 @@ def lag_within_day(moments: DataFrame, key: str, moment: str) -> DataFrame:
 
 def lag_over_days(daily: DataFrame, key: str) -> DataFrame:
     """Adds ``last_before``: the latest moment on any earlier day of the key."""
-    earlier_days = Window.partitionBy(key).orderBy("day").rangeBetween(Window.unboundedPreceding, -1)
+    day_number = F.coalesce("day", F.lit(-(2**31) + 2))
+    earlier_days = Window.partitionBy(key).orderBy(day_number).rangeBetween(Window.unboundedPreceding, -1)
     return daily.withColumn("last_before", F.max("last_of_day").over(earlier_days))
 
 
@@ -80,7 +82,7 @@ def lagged_moments(rows: DataFrame, key: str, moment: str) -> DataFrame:
 
     Two bounded windows replace one unbounded one: moments of a day, then days of a key.
     """
-    moments = lag_within_day(event_moments(rows, key, moment), key, moment)
+    moments = lag_within_day(event_moments(rows, key, moment).where(F.col("n") > 0), key, moment)
     daily = moments.groupBy(key, "day").agg(F.max(moment).alias("last_of_day"))
     before = lag_over_days(daily, key).select(key, "day", "last_before")
     return (

@@ -151,16 +151,22 @@ def any_window(windows: Sequence[MonthWindow]) -> Column:
     return reduce(or_, [window.holds() for window in windows])
 
 
-def with_window_flags(df: DataFrame, windows: Sequence[MonthWindow]) -> tuple[DataFrame, dict]:
+def with_window_flags(
+    df: DataFrame, windows: Sequence[MonthWindow], span: tuple[int, int]
+) -> tuple[DataFrame, dict[MonthWindow, MonthWindow]]:
     """Rows of any window, one flag column per window, and the windows that use them.
 
-    The condition of a window is evaluated once per row instead of once per aggregate; a
-    lone target's widest window needs none, as no other rows are left.
+    The condition of a window is evaluated once per row instead of once per aggregate.
+    ``span`` are the months the frame holds: a window over all of them needs no
+    condition, and no rows are filtered when the windows leave none out.
     """
-    targets, widest = {w.target for w in windows}, max(w.months for w in windows)
+    held = set(range(span[0], span[1] + 1))
+    seen = {w: held & set(range(w.first, w.target + 1)) for w in windows}
+    if set().union(*seen.values()) != held:
+        df = df.where(any_window(windows))
+        held = set().union(*seen.values())
     flagged = {
-        w: replace(w, everything=True) if len(targets) == 1 and w.months == widest else replace(w, flag=w.flag_name)
-        for w in windows
+        w: replace(w, everything=True) if months == held else replace(w, flag=w.flag_name)
+        for w, months in seen.items()
     }
-    flags = {w.flag: w.holds() for w in flagged.values() if w.flag}
-    return df.where(any_window(windows)).withColumns(flags), flagged
+    return df.withColumns({w.flag: w.holds() for w in flagged.values() if w.flag}), flagged

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moontally.operators.joins import inner_join_multi_owner, owner_anti_join, owner_semi_join, union_distinct
+from moontally.operators.rows import notnull_key_filter
 
 KEYS = ("fake_msisdn", "bib_id")
 OWNERS = ("fake_ic_number", "nid_hash")
@@ -16,7 +17,7 @@ def ownership(current: DataFrame, previous: DataFrame) -> tuple[DataFrame, DataF
     key, owner = (_shared(names, current, previous) for names in (KEYS, OWNERS))
 
     def pairs(df: DataFrame) -> DataFrame:
-        return df.select(F.col(key).alias("key"), F.col(owner).alias("owner")).na.drop()
+        return df.select(F.col(key).alias("key"), F.col(owner).alias("owner"))
 
     return pairs(current), pairs(previous)
 
@@ -40,5 +41,5 @@ def changed_before(current: DataFrame, previous: DataFrame) -> DataFrame:
 
 def drop_list(current: DataFrame, previous: DataFrame) -> DataFrame:
     """Distinct (key, owner) rows to drop; both inputs hold ``key`` and ``owner``."""
-    current, previous = current.na.drop(), previous.na.drop()
+    current, previous = (notnull_key_filter(df, "key", "owner") for df in (current, previous))
     return union_distinct([changed_before(current, previous), changed_now(current, previous)])

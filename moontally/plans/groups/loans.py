@@ -32,26 +32,34 @@ def rows(source, job: FeatureJob, max_range: int) -> DataFrame:
 
 def keyed(loans: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
     """Amounts and intervals come from two groupings of the same rows, joined on the key
-    both are already partitioned by."""
-    windows = job.windows(GROUP.ranges)
-    lent, flagged = with_window_flags(loans, windows)
-    days, _ = with_window_flags(interval_grain(loans, KEY, "dt_sec"), windows)
-    amounts, intervals = [], []
+    both are already partitioned by.  Loans are counted by grouping on them first."""
+    windows, span = job.windows(GROUP.ranges), job.months(max_range)
+    lent, flagged = with_window_flags(loans, windows, span)
+    days, _ = with_window_flags(interval_grain(loans, KEY, "dt_sec"), windows, span)
+    per_loan, amounts, intervals = [], [], []
     for window in windows:
         w, tag = flagged[window], _tag(window)
-        amounts += [
-            (w.rows() > 0).alias(present_name(w)),
-            w.distinct("loan_id").alias(f"loans{tag}"),
+        per_loan += [
+            w.rows().alias(f"rows{tag}"),
             w.sum("loan_amount").alias(f"sum{tag}"),
             w.max("loan_amount").alias(f"max{tag}"),
             w.min("loan_amount").alias(f"min{tag}"),
         ]
+        seen = F.col(f"rows{tag}") > 0
+        amounts += [
+            F.max(seen).alias(present_name(w)),
+            F.count(F.when(seen, F.col("loan_id"))).alias(f"loans{tag}"),
+            F.sum(f"sum{tag}").alias(f"sum{tag}"),
+            F.max(f"max{tag}").alias(f"max{tag}"),
+            F.min(f"min{tag}").alias(f"min{tag}"),
+        ]
         intervals += [
             ratio(w.sum("gap_sum"), w.sum("n") - w.sum("starts")).alias(f"gap_mean{tag}"),
             w.min("gap_min").alias(f"gap_min{tag}"),
             w.max("gap_max").alias(f"gap_max{tag}"),
         ]
-    return lent.groupBy(KEY).agg(*amounts).join(days.groupBy(KEY).agg(*intervals), KEY, "left")
+    by_amount = lent.groupBy(KEY, "loan_id").agg(*per_loan).groupBy(KEY).agg(*amounts)
+    return by_amount.join(days.groupBy(KEY).agg(*intervals), KEY, "left")
 
 
 def _tag(w) -> str:

@@ -76,9 +76,9 @@ EXTRAS = FeatureGroup(
 STATISTICS = ("min", "max", "sum")
 
 
-def service_grain(purchases: DataFrame, windows) -> DataFrame:
+def service_grain(purchases: DataFrame, windows, span: tuple[int, int]) -> DataFrame:
     """First level: per key and service, every window's statistics (``<name>@<window>``)."""
-    purchases, flagged = with_window_flags(purchases, windows)
+    purchases, flagged = with_window_flags(purchases, windows, span)
     aggregates = []
     for window in windows:
         w, tag = flagged[window], _tag(window)
@@ -93,7 +93,7 @@ def service_grain(purchases: DataFrame, windows) -> DataFrame:
 def keyed(purchases: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
     """Second level: the same statistic over services; mean prices add up."""
     windows = job.windows(PURCHASES.ranges)
-    services = service_grain(purchases, windows)
+    services = service_grain(purchases, windows, job.months(max_range))
     names = []
     for w in windows:
         tag = _tag(w)

@@ -37,7 +37,8 @@ def raw_features(group: FeatureGroup, source, job: FeatureJob, max_range: int |
         values = {name: feature.formula(window) for window, feature, name in columns}
         present = reduce(or_, [F.col(present_name(w)) for w in windows])
         return one_row.where(present).select(group.key, *guarded(columns, windows, values))
-    frame, flagged = with_window_flags(grain_rows(group, source, job, max_range), windows)
+    rows = grain_rows(group, source, job, max_range)
+    frame, flagged = with_window_flags(rows, windows, job.months(max_range))
     one_row = frame.groupBy(group.key).agg(
         *[(w.rows() > 0).alias(present_name(w)) for w in flagged.values() if not w.everything],
         *[feature.formula(flagged[window]).alias(name) for window, feature, name in columns],

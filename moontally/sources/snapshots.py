@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ def with_month(df: DataFrame, first: int, last: int, date_key: str = "date_key")
     date = F.col("date")
     if last - first < COMPARED_MONTHS:
         later = [F.when(date >= F.lit(month_start(m)), 1).otherwise(0) for m in range(first + 1, last + 1)]
-        month = F.when(date.isNotNull(), reduce(lambda a, b: a + b, later, F.lit(first)))
+        month = F.when(date.isNotNull(), reduce(add, later, F.lit(first)))
     else:
         month = month_index(date)
     return df.withColumn("date", parse_date_key(F.col(date_key))).withColumn(MONTH, month)
@@ -55,10 +56,11 @@ def within_months(df: DataFrame, first: int, last: int, date_key: str = "date_ke
 
 
 def read_table(source, table: str, first: int, last: int, columns: Sequence[str] | None = None) -> DataFrame:
-    """Common reader: the months, the columns used, rows with a key, date and month."""
+    """Common reader: the months and columns asked for; rows with a key and a readable date."""
     wanted = list(columns or SOURCE_COLUMNS[table])
     df = within_months(project_cols(source.scan_months(table, first, last), wanted), first, last)
-    return with_month(notnull_key_filter(df, key_column(table)), first, last)
+    dated = with_month(notnull_key_filter(df, key_column(table)), first, last)
+    return dated.where(F.col("date").isNotNull())
 
 
 def scan_droplist(spark: SparkSession, path: str) -> DataFrame:
