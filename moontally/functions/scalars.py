@@ -72,20 +72,26 @@ def data_mb(name: Column) -> Column:
     )
 
 
+def clean_name(name: Column) -> Column:
+    """Lower case, nothing but letters, digits and blanks; NULL for persons."""
+    lowered = F.lower(name)
+    return F.when(~lowered.rlike(PERSON_NAME), F.regexp_replace(lowered, r"[^a-z0-9\s]", ""))
+
+
 def vocab_match(name: Column, vocabulary: Sequence[str] = BANKS) -> Column:
     """Vocabulary words contained in a sender name, in vocabulary order."""
-    lowered = F.lower(name)
-    cleaned = F.regexp_replace(lowered, r"[^a-z0-9\s]", "")
-    words = F.array(*[F.lit(word) for word in vocabulary])
-    found = F.filter(words, lambda word: F.contains(cleaned, word))
-    nothing = F.filter(words, lambda word: F.lit(False))
-    return F.when(name.isNull() | lowered.rlike(PERSON_NAME), nothing).otherwise(found)
+    cleaned = F.coalesce(clean_name(name), F.lit(""))
+    return F.filter(F.array(*[F.lit(word) for word in vocabulary]), lambda word: F.contains(cleaned, word))
+
+
+def has_vocab(name: Column, vocabulary: Sequence[str] = BANKS) -> Column:
+    """Whether a sender name holds any vocabulary word: one pattern, cheap enough for a filter."""
+    return clean_name(name).rlike("|".join(vocabulary))
 
 
-def vocab_position(name: Column, vocabulary: Sequence[str] = BANKS) -> Column:
-    """Position of the first vocabulary word in a sender name, NULL without one."""
-    first = F.get(vocab_match(name, vocabulary), F.lit(0))
-    return F.coalesce(*[F.when(first == word, F.lit(i)) for i, word in enumerate(vocabulary)])
+def vocab_position(cleaned: Column, vocabulary: Sequence[str] = BANKS) -> Column:
+    """Position of the first vocabulary word in a cleaned name, NULL without one."""
+    return F.coalesce(*[F.when(F.contains(cleaned, F.lit(word)), F.lit(i)) for i, word in enumerate(vocabulary)])
 
 
 def one_hot_vocab(word: Column, vocabulary: Sequence[str] = HANDSET_BRANDS) -> list[Column]:

@@ -55,6 +55,18 @@ def previous_active_day(days: DataFrame, key: Sequence[str], active: Mapping[str
     })
 
 
+def with_last_seen(df: DataFrame, key: str, *columns: str) -> DataFrame:
+    """Adds ``<column>_seen``: the month of the row before with the same key and value.
+
+    A value is new to a window where it was not seen since the window's start, so
+    counting those rows counts distinct values of every window in one grouping, without
+    repeating each row per distinct count.
+    """
+    return df.withColumns({
+        f"{name}_seen": F.lag(MONTH).over(Window.partitionBy(key, name).orderBy(MONTH)) for name in columns
+    })
+
+
 def event_moments(rows: DataFrame, key: str, moment: str) -> DataFrame:
     """Distinct (key, month, moment) with the number of rows they stand for, and their day.
 

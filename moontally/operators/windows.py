@@ -18,7 +18,7 @@ from operator import add, and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moontally.functions.calendar import month_start
+from moontally.functions.calendar import month_span, month_start
 from moontally.operators.naming import index_name, strip_index
 
 MONTH = "month_index"
@@ -79,6 +79,11 @@ class MonthWindow:
     def distinct(self, value: Column | str, *conditions: Column) -> Column:
         return F.count_distinct(self.only(value, *conditions))
 
+    def distinct_seen(self, name: str) -> Column:
+        """Distinct values of a column that has its ``_seen`` month beside it."""
+        seen = F.col(f"{name}_seen")
+        return self.rows(F.col(name).isNotNull() & (seen.isNull() | (seen < self.first)))
+
     def distinct_days(self, day: Column | str, *conditions: Column) -> Column:
         """Exact distinct count of dates: one 31-bit map per month, no distinct shuffle."""
         day = F.col(day) if isinstance(day, str) else day
@@ -95,8 +100,16 @@ def _day_bit(day: Column, month: int) -> Column:
 
 
 def time_range_filter(df: DataFrame, targets: Sequence[int], months: int) -> DataFrame:
-    """Rows any of the targets can see through its largest window."""
-    return df.where((F.col(MONTH) > min(targets) - months) & (F.col(MONTH) <= max(targets)))
+    """Rows any of the targets can see through its largest window.
+
+    Months are consecutive date ranges, so a frame that has the ``date`` is cut by date:
+    a filter the optimizer can move towards the scan without the month arithmetic.
+    """
+    first, last = min(targets) - months + 1, max(targets)
+    if "date" not in df.columns:
+        return df.where(F.col(MONTH).between(first, last))
+    start, end = month_span(first, last)
+    return df.where((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(end)))
 
 
 def window_assign(df: DataFrame, targets: Sequence[int], months: int) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moontally.functions.calendar import month_start
-from moontally.functions.scalars import ratio, vocab_position
+from moontally.functions.scalars import clean_name, has_vocab, ratio, vocab_position
 from moontally.operators.rows import distinct_rows
 from moontally.operators.windows import MONTH, MonthWindow
 from moontally.plans.pipeline import present_name
@@ -21,10 +21,15 @@ MONTH_END_DAYS = (18, 19, 20, 21, 22)
 
 
 def rows(source, job: FeatureJob, max_range: int) -> DataFrame:
-    """Rows whose sender name holds a bank; ``bank`` is the first one, as vocabulary position."""
+    """Rows whose sender name holds a bank."""
     messages = read_table(source, "customer_person_type_bank_info", *job.months(max_range)).drop("date_key")
-    named = messages.withColumn("bank", vocab_position(F.col("bank_name")))
-    return distinct_rows(named.where(F.col("bank").isNotNull()))
+    return distinct_rows(messages.where(has_vocab(F.col("bank_name"))))
+
+
+def with_bank(senders: DataFrame) -> DataFrame:
+    """Adds ``bank``, the vocabulary position of the first bank in a sender name."""
+    cleaned = senders.withColumn("cleaned", clean_name(F.col("bank_name")))
+    return cleaned.withColumn("bank", vocab_position(F.col("cleaned"))).drop("cleaned")
 
 
 def sender_grain(messages: DataFrame, first: int, last: int) -> DataFrame:
@@ -41,7 +46,7 @@ def sender_grain(messages: DataFrame, first: int, last: int) -> DataFrame:
             F.sum(F.when(here & month_end, F.col("sms_cnt"))).alias(f"end_{m}"),
             F.bit_or(F.when(here, F.call_function("shiftleft", F.lit(1), slot))).alias(f"days_{m}"),
         ]
-    return messages.groupBy(KEY, "bank_name", "bank").agg(*aggregates)
+    return with_bank(messages.groupBy(KEY, "bank_name").agg(*aggregates))
 
 
 def _over_months(w: MonthWindow, name: str) -> Column:

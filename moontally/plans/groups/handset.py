@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moontally.functions.scalars import HANDSET_BRANDS, ratio
+from moontally.operators.grain import with_last_seen
 from moontally.operators.rows import distinct_rows, notnull_key_filter
 from moontally.operators.windows import MONTH
 from moontally.plans.spec import Feature, FeatureGroup, FeatureJob
@@ -25,8 +26,9 @@ def grain(handsets: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
     used = handsets.groupBy(KEY, MONTH, "handset_model", "handset_brand").agg(
         F.count(F.lit(1)).alias("n"), F.sum("cnt_of_days").alias("days")
     )
-    same_model = Window.partitionBy(KEY, MONTH, "handset_model")
-    return used.withColumn("model_days", F.sum("days").over(same_model))
+    same_month = Window.partitionBy(KEY, "handset_model").orderBy(MONTH).rangeBetween(0, 0)
+    totals = used.withColumn("model_days", F.sum("days").over(same_month))
+    return with_last_seen(totals, KEY, "handset_model", "handset_brand")
 
 
 def _brand_rows(position: int) -> Feature:
@@ -66,19 +68,19 @@ GROUP = FeatureGroup(
         Feature(
             "avg_days_per_handset",
             "double",
-            lambda w: ratio(w.sum("days"), w.distinct("handset_model")),
+            lambda w: ratio(w.sum("days"), w.distinct_seen("handset_model")),
             default=MONTH_DAYS,
         ),
         _brand_days("APPLE"),
-        Feature("total_unique_handsets", "int", lambda w: w.distinct("handset_model"), default=1),
+        Feature("total_unique_handsets", "int", lambda w: w.distinct_seen("handset_model"), default=1),
         _brand_days("SAMSUNG"),
-        Feature("total_unique_brands", "int", lambda w: w.distinct("handset_brand"), default=1),
+        Feature("total_unique_brands", "int", lambda w: w.distinct_seen("handset_brand"), default=1),
         _brand_rows(3),
         Feature("total_usage_days", "bigint", lambda w: w.sum("days"), default=MONTH_DAYS),
         Feature(
             "brand_diversity_ratio",
             "double",
-            lambda w: ratio(w.distinct("handset_model"), w.distinct("handset_brand")),
+            lambda w: ratio(w.distinct_seen("handset_model"), w.distinct_seen("handset_brand")),
             default=1,
         ),
         _brand_days("HUAWEI"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from moontally.functions.calendar import epoch_seconds, parse_ts
 from moontally.functions.scalars import data_mb, ratio, strip_spaces
+from moontally.operators.grain import with_last_seen
 from moontally.operators.rows import distinct_rows
 from moontally.operators.windows import MONTH
 from moontally.plans.spec import Feature, FeatureGroup, FeatureJob
@@ -31,8 +32,8 @@ def parsed(packages: DataFrame) -> DataFrame:
 
 
 def grain(packages: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
-    """Per key, month and offer, so that counting distinct offers expands few rows."""
-    return parsed(packages).groupBy(KEY, MONTH, "code", "name").agg(
+    """Per key, month and offer; distinct offers are counted where they are new to a window."""
+    offers = parsed(packages).groupBy(KEY, MONTH, "code", "name").agg(
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(F.col("offer_amount") == 0, 1)).alias("n_free"),
         F.sum("data_usage").alias("data_usage"),
@@ -42,6 +43,7 @@ def grain(packages: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
         F.min("period").alias("period_min"),
         F.max("period").alias("period_max"),
     )
+    return with_last_seen(offers, KEY, "code", "name")
 
 
 GROUP = FeatureGroup(
@@ -58,7 +60,7 @@ GROUP = FeatureGroup(
         Feature("count_packages", "bigint", lambda w: w.sum("n")),
         Feature("min_package_period", "bigint", lambda w: w.min("period_min"), default=-1),
         Feature("sum_data_MB", "double", lambda w: w.sum("data_usage")),
-        Feature("count_distinct_offername", "bigint", lambda w: w.distinct("name")),
-        Feature("count_distinct_offercode", "bigint", lambda w: w.distinct("code")),
+        Feature("count_distinct_offername", "bigint", lambda w: w.distinct_seen("name")),
+        Feature("count_distinct_offercode", "bigint", lambda w: w.distinct_seen("code")),
     ),
 )

@@ -83,6 +83,7 @@ def wide_by_grouping(tables: Mapping[str, DataFrame]) -> DataFrame:
     one_row = (
         reduce(lambda a, b: a.union(b), stacked)
         .where(F.col(ID).isNotNull())
+        .repartition(ID)  # ids rarely meet before the shuffle: no map-side sort and merge
         .groupBy(ID)
         .agg(*[F.any_value(name, ignoreNulls=True).alias(name) for name in parts])
     )

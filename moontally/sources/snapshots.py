@@ -34,19 +34,18 @@ class SnapshotSource:
         return self.spark.read.parquet(*[self.path(table, m) for m in range(first, last + 1)])
 
 
-# Up to this many months the month of a row is found by comparing with month starts.
+# Up to this many months the month of a row is found by comparing its date text.
 COMPARED_MONTHS = 12
 
 
 def with_month(df: DataFrame, first: int, last: int, date_key: str = "date_key") -> DataFrame:
-    """Adds ``date`` and ``month_index`` from the date text of rows of months first..last."""
-    date = F.col("date")
-    if last - first < COMPARED_MONTHS:
-        later = [F.when(date >= F.lit(month_start(m)), 1).otherwise(0) for m in range(first + 1, last + 1)]
-        month = F.when(date.isNotNull(), reduce(add, later, F.lit(first)))
-    else:
-        month = month_index(date)
-    return df.withColumn("date", parse_date_key(F.col(date_key))).withColumn(MONTH, month)
+    """Adds ``date`` and ``month_index`` to rows whose date text is in months first..last."""
+    df = df.withColumn("date", parse_date_key(F.col(date_key)))
+    if last - first >= COMPARED_MONTHS:
+        return df.withColumn(MONTH, month_index(F.col("date")))
+    starts = [f"{month_start(m):%Y%m%d}" for m in range(first + 1, last + 1)]
+    later = [F.when(F.col(date_key) >= start, 1).otherwise(0) for start in starts]
+    return df.withColumn(MONTH, reduce(add, later, F.lit(first)))
 
 
 def within_months(df: DataFrame, first: int, last: int, date_key: str = "date_key") -> DataFrame:
