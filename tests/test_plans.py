@@ -27,18 +27,12 @@ def test_no_python_no_product_no_hint(spark, name):
         "agg_global_max", "const_overwrite", "fill_query", "fg_arpu", "fg_postpaid", "fg_credit_management",
         "id_spine", "feature_store", "store_coalesce",
     }, "only scalar aggregates may end in one partition"
+    for line in text.splitlines():
+        if re.search(r"- Window \[", line):
+            assert not re.search(r"\], \[\], \[", line), f"a window over one partition: {line[:200]}"
     assert "hint" not in df._jdf.queryExecution().logical().toString().lower()
 
 
-def test_no_window_over_one_partition(spark):
-    for name in REGISTRY:
-        if name not in WRITERS:
-            text = plan(REGISTRY[name](spark, FOLDER))
-            for line in text.splitlines():
-                if re.search(r"- Window \[", line):
-                    assert not re.search(r"\], \[\], \[", line), (name, line[:200])
-
-
 def test_snapshot_scan_prunes_columns_and_skips_by_date(spark, tmp_path):
     star = StarSource(spark, FOLDER)
     source = SnapshotSource(spark, str(tmp_path))
