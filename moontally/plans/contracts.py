@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moontally.operators.rows import quoted
@@ -40,6 +39,8 @@ def conform(df: DataFrame, contract: T.StructType, fill_missing: bool = True) ->
     types = {f.name: f.dataType for f in df.schema.fields}
     columns = []
     for f in contract.fields:
-        column = F.lit(None) if f.name in missing else F.col(quoted(f.name))
-        columns.append(column if types.get(f.name) == f.dataType else column.cast(f.dataType).alias(f.name))
-    return df.select(*columns)
+        value = "NULL" if f.name in missing else quoted(f.name)
+        if types.get(f.name) != f.dataType:
+            value = f"CAST({value} AS {f.dataType.simpleString()})"
+        columns.append(f"{value} AS {quoted(f.name)}")
+    return df.selectExpr(*columns)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moontally.operators.joins import anti_join_droplist
 from moontally.operators.rows import fill_const, fill_query, quoted
-from moontally.operators.windows import outer_join_ranges, with_window_flags
+from moontally.operators.windows import MonthWindow, outer_join_ranges, with_window_flags
 from moontally.plans.contracts import conform, group_contract
 from moontally.plans.spec import FeatureGroup, FeatureJob
 
@@ -34,25 +34,23 @@ def raw_features(group: FeatureGroup, source, job: FeatureJob, max_range: int |
     windows = job.windows(group.ranges)
     if group.keyed:
         one_row = group.keyed(group.rows(source, job, max_range), job, max_range)
-        values = {name: feature.formula(window) for window, feature, name in columns}
         present = reduce(or_, [F.col(present_name(w)) for w in windows])
-        return one_row.where(present).select(group.key, *guarded(columns, windows, values))
+        return one_row.where(present).select(
+            group.key, *[F.when(F.col(present_name(w)), feature.formula(w)).alias(name) for w, feature, name in columns]
+        )
     rows = grain_rows(group, source, job, max_range)
     frame, flagged = with_window_flags(rows, windows, job.months(max_range))
     one_row = frame.groupBy(group.key).agg(
         *[(w.rows() > 0).alias(present_name(w)) for w in flagged.values() if not w.everything],
         *[feature.formula(flagged[window]).alias(name) for window, feature, name in columns],
     )
-    sparse = [window for window, w in flagged.items() if not w.everything]
-    return one_row.select(group.key, *guarded(columns, sparse, {name: F.col(quoted(name)) for _, _, name in columns}))
 
+    def guarded(window: MonthWindow, name: str) -> str:
+        if flagged[window].everything:
+            return quoted(name)
+        return f"CASE WHEN {present_name(window)} THEN {quoted(name)} END AS {quoted(name)}"
 
-def guarded(columns, sparse, values) -> list[Column]:
-    """Feature columns that are NULL where the key has no row in the window."""
-    return [
-        (F.when(F.col(present_name(window)), values[name]) if window in sparse else values[name]).alias(name)
-        for window, _, name in columns
-    ]
+    return one_row.selectExpr(group.key, *[guarded(window, name) for window, _, name in columns])
 
 
 def range_frames(group: FeatureGroup, source, job: FeatureJob) -> list[DataFrame]:

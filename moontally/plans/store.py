@@ -38,8 +38,8 @@ def store_contract() -> T.StructType:
 
 def store_part(group: FeatureGroup, table: DataFrame) -> DataFrame:
     """A feature table under its store names."""
-    columns = [F.col(quoted(own)).alias(name) for name, own in store_columns(group).items()]
-    return table.select(F.col(group.key).alias(ID), *columns)
+    columns = [f"{quoted(own)} AS {quoted(name)}" for name, own in store_columns(group).items()]
+    return table.selectExpr(f"{group.key} AS {ID}", *columns)
 
 
 def store_defaults(tables: Mapping[str, DataFrame]) -> tuple[dict[str, float], dict[str, Column]]:
@@ -66,15 +66,12 @@ def wide_by_grouping(tables: Mapping[str, DataFrame]) -> DataFrame:
     """
     parts = {name: store_part(GROUPS[name], table) for name, table in tables.items()}
     types = {name: T.StructType([f for f in part.schema.fields if f.name != ID]) for name, part in parts.items()}
+    absent = {name: F.lit(None).cast(type_).alias(name) for name, type_ in types.items()}
     stacked = [
         part.select(
             ID,
             *[
-                (
-                    F.struct(*[F.col(quoted(f.name)) for f in types[other].fields])
-                    if other == name
-                    else F.lit(None).cast(types[other])
-                ).alias(other)
+                F.struct(*[quoted(f.name) for f in types[name].fields]).alias(name) if other == name else absent[other]
                 for other in parts
             ],
         )
@@ -87,8 +84,8 @@ def wide_by_grouping(tables: Mapping[str, DataFrame]) -> DataFrame:
         .groupBy(ID)
         .agg(*[F.any_value(name, ignoreNulls=True).alias(name) for name in parts])
     )
-    return one_row.select(
-        ID, *[F.col(name)[f.name].alias(f.name) for name, type_ in types.items() for f in type_.fields]
+    return one_row.selectExpr(
+        ID, *[f"{name}.{quoted(f.name)} AS {quoted(f.name)}" for name, type_ in types.items() for f in type_.fields]
     )
 
 

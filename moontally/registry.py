@@ -45,11 +45,12 @@ def job_for(name: str) -> FeatureJob:
 
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles to six digits; .501 keeps decimal ties off the edge, whatever the last bit of a sum."""
-    return df.select(*[
-        (F.floor(F.col(rows.quoted(name)) * 1000000 + 0.501) / 1000000 if kind == "double" else F.col(rows.quoted(name)))
-        .alias(name)
-        for name, kind in df.dtypes
-    ])
+
+    def digits(name: str, kind: str) -> str:
+        column = rows.quoted(name)
+        return f"floor({column} * 1000000 + 0.501D) / 1000000 AS {column}" if kind == "double" else column
+
+    return df.selectExpr(*[digits(name, kind) for name, kind in df.dtypes])
 
 
 def query(build: Callable[[StarSource], DataFrame], name: str | None = None) -> Callable:
