@@ -63,7 +63,7 @@ def run_drop_list(spark: SparkSession, layout: Layout, date: dt.date | str, tabl
     current, previous = (source.scan_months(table, m, m) for m in (month, month - 1))
     changed = droplist.drop_list(*droplist.ownership(current, previous))
     path = layout.drop_list(month)
-    sink_writer_cap(changed, DROP_LIST_WRITERS).write.mode("overwrite").parquet(path)
+    sink_writer_cap(changed, DROP_LIST_WRITERS, shuffle=True).write.mode("overwrite").parquet(path)
     return path
 
 

@@ -45,7 +45,7 @@ def sink_table_append(
     only, which makes a re-run idempotent.  Other formats (``fmt='jdbc'`` with its
     options) take the rows as they are.
     """
-    out = sink_writer_cap(conform(df, contract, fill_missing=False), cap)
+    out = sink_writer_cap(conform(df, contract, fill_missing=False), cap, shuffle=True)
     if fmt != "parquet":
         out.write.format(fmt).options(**dict(options or {})).mode(mode).save()
         return
