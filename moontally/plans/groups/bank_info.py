@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,23 +53,24 @@ def sender_grain(messages: DataFrame, first: int, last: int) -> DataFrame:
 def _over_months(w: MonthWindow, name: str) -> Column:
     """Sum over the months of a window; a month without a value adds 0."""
     columns = [F.coalesce(F.col(f"{name}_{m}"), F.lit(0)) for m in range(w.first, w.target + 1)]
-    return reduce(lambda a, b: a + b, columns)
+    return reduce(add, columns)
 
 
-def keyed(messages: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
+def keyed(messages: DataFrame, windows: list[MonthWindow], span: tuple[int, int]) -> DataFrame:
     """One row per key in three mergeable groupings, no window over the senders of a key.
 
     1. per sender: month totals; the sender's score is rows x total, summed over months.
     2. per equal total of the target month: how many senders share it.
     3. per key: the largest total times its senders, and the sums.
     """
-    first, last = job.months(max_range)
-    months = range(first, last + 1)
-    windows = job.windows(GROUP.ranges)
+    first, last = span
+    months, targets = range(first, last + 1), sorted({w.target for w in windows})
     senders = sender_grain(messages, first, last)
+    # Rows x messages of a hot key outgrow a long.
+    wide = "decimal(19,0)"
     score = reduce(
-        lambda a, b: a + b,
-        [F.col(f"rows_{m}") * F.coalesce(F.col(f"sms_{m}"), F.lit(0)) for m in months],
+        add,
+        [F.col(f"rows_{m}").cast(wide) * F.coalesce(F.col(f"sms_{m}"), F.lit(0)).cast(wide) for m in months],
     )
     senders = senders.withColumn("score", score)
 
@@ -79,18 +81,18 @@ def keyed(messages: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
         _banks(w): F.when(_over_months(w, "rows") > 0, F.call_function("shiftleft", F.lit(1), F.col("bank")))
         for w in windows
     }
-    totals = [f"total_{t}" for t in job.targets]
+    totals = [f"total_{t}" for t in targets]
     carried = [
         *[F.max(name).alias(name) for name in best],
         *[F.bit_or(name).alias(name) for name in banks],
     ]
     equal_totals = (
-        senders.withColumns({**best, **banks, **{f"total_{t}": F.col(f"sms_{t}") for t in job.targets}})
+        senders.withColumns({**best, **banks, **{f"total_{t}": F.col(f"sms_{t}") for t in targets}})
         .groupBy(KEY, *totals)
         .agg(*per_month, *carried, F.count(F.lit(1)).alias("senders"))
     )
     tops = [
-        F.max_by(F.col("senders") * F.col(f"total_{t}"), F.col(f"total_{t}")).alias(f"top_{t}") for t in job.targets
+        F.max_by(F.col("senders") * F.col(f"total_{t}"), F.col(f"total_{t}")).alias(f"top_{t}") for t in targets
     ]
     one_row = equal_totals.groupBy(KEY).agg(*per_month, *carried, *tops)
     return one_row.withColumns({present_name(w): _over_months(w, "rows") > 0 for w in windows})
@@ -106,7 +108,7 @@ def _banks(w: MonthWindow) -> str:
 
 def active_days(w: MonthWindow) -> Column:
     counts = [F.coalesce(F.bit_count(f"days_{m}"), F.lit(0)) for m in range(w.first, w.target + 1)]
-    return reduce(lambda a, b: a + b, counts)
+    return reduce(add, counts)
 
 
 def loyalty_one_month(w: MonthWindow) -> Column:

@@ -48,7 +48,7 @@ def _brand_days(brand: str) -> Feature:
 
 
 def stability(w):
-    return ratio(w.max("model_days"), w.sum(F.col("n") * F.col("model_days")))
+    return ratio(w.max("model_days"), w.sum(F.col("n").cast("double") * F.col("model_days")))
 
 
 GROUP = FeatureGroup(

@@ -10,7 +10,7 @@ from moontally.functions.scalars import ratio
 from moontally.operators.grain import DAY_SECONDS, agg_recovery_rollup, interval_grain
 from moontally.operators.joins import right_join_recovery
 from moontally.operators.rows import cast_cols, distinct_rows
-from moontally.operators.windows import MONTH, with_window_flags
+from moontally.operators.windows import MONTH, MonthWindow, with_window_flags
 from moontally.plans.pipeline import present_name
 from moontally.plans.spec import Feature, FeatureGroup, FeatureJob
 from moontally.sources.snapshots import read_table
@@ -30,10 +30,9 @@ def rows(source, job: FeatureJob, max_range: int) -> DataFrame:
     return distinct_rows(typed(loans, "dt_sec"))
 
 
-def keyed(loans: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
+def keyed(loans: DataFrame, windows: list[MonthWindow], span: tuple[int, int]) -> DataFrame:
     """Amounts and intervals come from two groupings of the same rows, joined on the key
     both are already partitioned by.  Loans are counted by grouping on them first."""
-    windows, span = job.windows(GROUP.ranges), job.months(max_range)
     lent, flagged = with_window_flags(loans, windows, span)
     days, _ = with_window_flags(interval_grain(loans, KEY, "dt_sec"), windows, span)
     per_loan, amounts, intervals = [], [], []

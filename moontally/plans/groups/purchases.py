@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from moontally.functions.scalars import ratio
 from moontally.operators.grain import regroup_by_prefix
 from moontally.operators.rows import distinct_rows, value_filters
-from moontally.operators.windows import with_window_flags
+from moontally.operators.windows import MonthWindow, with_window_flags
 from moontally.plans.pipeline import present_name
 from moontally.plans.spec import Feature, FeatureGroup, FeatureJob
 from moontally.sources.snapshots import read_table
@@ -90,10 +90,9 @@ def service_grain(purchases: DataFrame, windows, span: tuple[int, int]) -> DataF
     return purchases.groupBy(KEY, "service_type").agg(*aggregates)
 
 
-def keyed(purchases: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
+def keyed(purchases: DataFrame, windows: list[MonthWindow], span: tuple[int, int]) -> DataFrame:
     """Second level: the same statistic over services; mean prices add up."""
-    windows = job.windows(PURCHASES.ranges)
-    services = service_grain(purchases, windows, job.months(max_range))
+    services = service_grain(purchases, windows, span)
     names = []
     for w in windows:
         tag = _tag(w)

@@ -33,7 +33,7 @@ def raw_features(group: FeatureGroup, source, job: FeatureJob, max_range: int |
     max_range = max_range or group.max_range
     windows = job.windows(group.ranges)
     if group.keyed:
-        one_row = group.keyed(group.rows(source, job, max_range), job, max_range)
+        one_row = group.keyed(group.rows(source, job, max_range), windows, job.months(max_range))
         present = reduce(or_, [F.col(present_name(w)) for w in windows])
         return one_row.where(present).select(
             group.key, *[F.when(F.col(present_name(w)), feature.formula(w)).alias(name) for w, feature, name in columns]

@@ -30,7 +30,7 @@ class Feature:
     default: Default = 0
 
     def default_for(self, months: int) -> float | Aggregate | None:
-        return self.default[months] if isinstance(self.default, Mapping) else self.default
+        return self.default.get(months) if isinstance(self.default, Mapping) else self.default
 
 
 @dataclass(frozen=True)
@@ -66,7 +66,8 @@ class FeatureGroup:
 
     ``rows`` reads and types the source; ``grain`` collapses it, if a formula needs
     more than one pass.  A group with ``keyed`` set aggregates by itself, to one row per
-    key, and its formulas are projections of that row, which holds ``present_<window>``.
+    key, from its rows, the windows wanted and the span of months read; its formulas are
+    projections of that row, which holds ``present_<window>``.
     """
 
     name: str
@@ -75,7 +76,7 @@ class FeatureGroup:
     features: tuple[Feature, ...]
     rows: Callable[[object, FeatureJob, int], DataFrame]
     grain: Callable[[DataFrame, FeatureJob, int], DataFrame] | None = None
-    keyed: Callable[[DataFrame, FeatureJob, int], DataFrame] | None = None
+    keyed: Callable[[DataFrame, list[MonthWindow], tuple[int, int]], DataFrame] | None = None
     optional: tuple[Feature, ...] = field(default=())
     # Declared output columns no feature produces: (name, type).
     extra_columns: tuple[tuple[str, str], ...] = field(default=())
@@ -88,6 +89,14 @@ class FeatureGroup:
     def max_range(self) -> int:
         return max(self.ranges)
 
+    def declare(self, ranges: Mapping[str, Sequence[int]]) -> FeatureGroup:
+        """The group with just these features, each over the window lengths given."""
+        known = {f.name: f for f in self.features + self.optional}
+        if unknown := sorted(set(ranges) - set(known)):
+            raise ValueError(f"{self.name} has no features {unknown}")
+        declared = tuple(replace(known[name], ranges=tuple(lengths)) for name, lengths in ranges.items())
+        return replace(self, features=declared, optional=(), extra_columns=())
+
     def with_optional(self) -> FeatureGroup:
         return replace(self, features=self.features + self.optional)
 

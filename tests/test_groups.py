@@ -97,6 +97,29 @@ def test_two_targets_equal_two_runs(spark, name):
         )
 
 
+@pytest.mark.parametrize("name", ["CDR", "Recharge", "PackagePurchase", "HandsetPrice", "Package", "BankInfo", "DomesticTravel"])
+def test_other_window_lengths(spark, name):
+    """Declared lengths other than the usual: three months hold what three single months hold."""
+    counts = {
+        "CDR": "sms_count", "Recharge": "sum_recharge", "PackagePurchase": "sum_service_cnt",
+        "HandsetPrice": "total_usage_days", "Package": "count_packages", "BankInfo": "bank_active_days_count",
+        "DomesticTravel": "unique_travel_days",
+    }
+    feature, group, source = counts[name], GROUPS[name], FixtureSource(spark, fixture(name, 6))
+    month = job_for(name).target
+    wide = raw_features(group.declare({feature: (1, 3)}), source, FeatureJob((month,)))
+    assert wide.columns == [group.key, f"{feature}_1", f"{feature}_3"]
+    monthly = {}
+    for target in (month - 2, month - 1, month):
+        single = raw_features(group.declare({feature: (1,)}), source, FeatureJob((target,)))
+        for row in single.collect():
+            monthly[row[0]] = monthly.get(row[0], 0) + (row[1] or 0)
+    got = {row[0]: row[2] or 0 for row in wide.collect()}
+    assert got == pytest.approx(monthly)
+    with pytest.raises(ValueError):
+        group.declare({"nothing": (1,)})
+
+
 def test_fixtures_hold_the_edge_cases():
     for view, (_, _, key, _, unique) in TABLES.items():
         rows = make_rows(view, 1, SIZE)
