@@ -76,7 +76,10 @@ class StarSource:
         return self._dated("events", "ts", first, last).withColumn("k", k)
 
     def orders(self, first: int, last: int) -> DataFrame:
-        return self._dated("orders", "o_orderdate", first, last)
+        """Orders with their date as text: formatted here, once per order and not per line."""
+        moment = F.col("o_orderdate")
+        dated = self._dated("orders", "o_orderdate", first, last)
+        return dated.withColumns({"day_text": _day_text(moment), "moment_text": _moment_text(moment)})
 
     def order_lines(self, first: int, last: int) -> DataFrame:
         lines = self.base("lineitem")
@@ -215,8 +218,8 @@ class StarSource:
             _text(F.col("o_custkey")).alias("bib_id"),
             _text(F.col("o_orderkey")).alias("loan_id"),
             _text(amount).alias("loan_amount"),
-            _day_text(F.col("o_orderdate")).alias("date_key"),
-            _moment_text(F.col("o_orderdate")).alias("date_timestamp"),
+            F.col("day_text").alias("date_key"),
+            F.col("moment_text").alias("date_timestamp"),
         )
 
     def _loan_recovery(self, first: int, last: int) -> DataFrame:
@@ -228,7 +231,7 @@ class StarSource:
             _text(paid.cast("bigint")).alias("loan_amount"),
             paid.cast("double").alias("hsdp_recovery"),
             _moment_text(F.col("l_shipdate")).alias("date_timestamp"),
-            _day_text(F.col("o_orderdate")).alias("date_key"),
+            F.col("day_text").alias("date_key"),
         )
 
     def _package(self, first: int, last: int) -> DataFrame:
@@ -239,9 +242,9 @@ class StarSource:
             F.concat("p_brand", F.lit(" "), F.col("l_linenumber") % 2).alias("offering_code"),
             F.when(F.col("l_discount") == 0, 0.0).otherwise(F.col("l_extendedprice")).alias("offer_amount"),
             F.concat("p_type", size, _pick(PACKAGE_UNITS, F.col("l_linenumber") % 4)).alias("offering_name"),
-            _moment_text(F.col("o_orderdate")).alias("activation_date"),
+            F.col("moment_text").alias("activation_date"),
             _moment_text(F.col("l_shipdate")).alias("deactivation_date"),
-            _day_text(F.col("o_orderdate")).alias("date_key"),
+            F.col("day_text").alias("date_key"),
         )
 
     def _user_info(self, first: int, last: int) -> DataFrame:
@@ -305,7 +308,7 @@ class StarSource:
             F.col("l_extendedprice").alias("installment_amount"),
             F.to_date("l_shipdate").alias("installment_duedate"),
             F.when(F.col("l_linestatus") != "O", F.col("l_quantity").cast("int") - 25).alias("days_delayed"),
-            _day_text(F.col("o_orderdate")).alias("date_key"),
+            F.col("day_text").alias("date_key"),
         )
 
     def part_owners(self, month: int) -> DataFrame:

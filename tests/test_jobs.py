@@ -8,7 +8,7 @@ from check import sorted_rows
 from fixture_tables import SOURCES, FixtureSource, make_rows
 from moontally.functions.calendar import month_index_of, month_start
 from moontally.plans import droplist, jobs, store
-from moontally.plans.contracts import group_contract
+from moontally.plans.contracts import ContractError, group_contract
 from moontally.plans.groups import GROUPS
 from moontally.plans.spec import FeatureJob
 from moontally.registry import EVENT_GROUPS
@@ -75,6 +75,17 @@ def test_sink_is_idempotent_per_month_and_capped(spark, tmp_path):
     assert sink_writer_cap(frame, 3).rdd.getNumPartitions() == 3
 
 
+def test_sink_takes_other_formats_and_only_declared_columns(spark, tmp_path):
+    contract = group_contract(GROUPS["LoanRec"], FeatureJob((7,)))
+    frame = spark.createDataFrame([("a", 1.0, 2.0)], contract)
+    options = {"path": str(tmp_path / "t")}
+    sink_table_append(frame, None, contract, 7, fmt="json", options=options)
+    sink_table_append(frame, None, contract, 7, fmt="json", options=options)
+    assert spark.read.json(options["path"]).count() == 2
+    with pytest.raises(ContractError):
+        sink_table_append(frame.drop("mean_time_to_repay_1"), None, contract, 7, fmt="json", options=options)
+
+
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory):
     """Snapshots of all tables, then drop list and feature tables through the jobs."""
