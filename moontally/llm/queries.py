@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_classifier
+from . import personal_data, piece_encoding, quality_classifier
 from .common import table
 
 #: Labelled rows a classifier learns from at most.
@@ -34,7 +34,33 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def model_path() -> str:
+    """The SentencePiece model the queries encode with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op3_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = piece_encoding.encode(table(spark, sf_dir, "documents"), "doc_id", "text", model_path())
+    return rows.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = personal_data.spans(table(spark, sf_dir, "documents"), "doc_id", "text")
+    kinds = [kind.name for kind in personal_data.KINDS if kind.base]
+    return rows.select(
+        "doc_id", *(personal_data.count("base", kind).alias(f"n_{kind}") for kind in kinds),
+        F.sha2(personal_data.listed("base"), 256).alias("base_sha256"), personal_data.listed("spans").alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op3_piece_encoding": op3_piece_encoding,
+    "op6_personal_data": op6_personal_data,
 }
 ORACLE: dict[str, str] = {}
