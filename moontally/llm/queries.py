@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import personal_data, piece_encoding, quality_classifier
+from . import personal_data, piece_encoding, quality_classifier, quality_rules
 from .common import table
 
 #: Labelled rows a classifier learns from at most.
@@ -58,9 +58,15 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.rules(docs, "doc_id", "text", "lang", quality_rules.references(docs, "text", "lang"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_piece_encoding": op3_piece_encoding,
     "op6_personal_data": op6_personal_data,
+    "op7_quality_rules": op7_quality_rules,
 }
 ORACLE: dict[str, str] = {}
