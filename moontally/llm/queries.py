@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import personal_data, piece_encoding, quality_classifier, quality_rules
+from . import personal_data, piece_encoding, quality_classifier, quality_rules, simhash_links
 from .common import table
 
 #: Labelled rows a classifier learns from at most.
@@ -63,10 +63,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rules(docs, "doc_id", "text", "lang", quality_rules.references(docs, "text", "lang"))
 
 
+def op8_simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash_links.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_piece_encoding": op3_piece_encoding,
     "op6_personal_data": op6_personal_data,
     "op7_quality_rules": op7_quality_rules,
+    "op8_simhash_links": op8_simhash_links,
 }
 ORACLE: dict[str, str] = {}
