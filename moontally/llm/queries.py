@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import personal_data, piece_encoding, quality_classifier, quality_rules, simhash_links
+from . import personal_data, piece_encoding, quality_classifier, quality_rules, repeated_passages, simhash_links
 from .common import table
 
 #: Labelled rows a classifier learns from at most.
@@ -49,6 +49,11 @@ def op3_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeated_passages.remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = personal_data.spans(table(spark, sf_dir, "documents"), "doc_id", "text")
     kinds = [kind.name for kind in personal_data.KINDS if kind.base]
@@ -71,6 +76,7 @@ def op8_simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_piece_encoding": op3_piece_encoding,
+    "op4_repeated_passages": op4_repeated_passages,
     "op6_personal_data": op6_personal_data,
     "op7_quality_rules": op7_quality_rules,
     "op8_simhash_links": op8_simhash_links,
