@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import personal_data, piece_encoding, quality_classifier, quality_rules, repeated_passages, simhash_links
+from . import (
+    embedding_links,
+    personal_data,
+    piece_encoding,
+    quality_classifier,
+    quality_rules,
+    repeated_passages,
+    simhash_links,
+)
 from .common import table
 
 #: Labelled rows a classifier learns from at most.
@@ -73,6 +81,10 @@ def op8_simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_piece_encoding": op3_piece_encoding,
@@ -80,5 +92,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_personal_data": op6_personal_data,
     "op7_quality_rules": op7_quality_rules,
     "op8_simhash_links": op8_simhash_links,
+    "op9_embedding_links": op9_embedding_links,
 }
 ORACLE: dict[str, str] = {}
