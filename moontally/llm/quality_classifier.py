@@ -105,25 +105,46 @@ def train(
     return np.frombuffer(rows.mapInArrow(learn, "weights binary").first()["weights"], dtype=np.float32)
 
 
-def score(docs: DataFrame, doc_id: str, text: str, weights: np.ndarray) -> DataFrame:
-    """(doc_id, score) of every row. The weights, whose size is set by ``bits``, are broadcast."""
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+def scorer(spark, weights: np.ndarray):
+    """A function from a text column to its scores, for use in tasks. The weights, whose size is set by ``bits``, are broadcast."""
+    shared = spark.sparkContext.broadcast(weights)
     bits = int(np.log2(len(weights) - 1))
-    kind = docs.schema[doc_id].dataType.simpleString()
 
-    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scores(column: pa.Array) -> np.ndarray:
         table = shared.value.astype(np.float64)
+        out = [np.zeros(0)]
+        for _, texts in K.slices(column):
+            places, cuts = features(texts, bits)
+            sums = np.concatenate([[0.0], np.cumsum(table[places])])
+            n = np.maximum(np.diff(cuts), 1)
+            out.append(sigmoid((sums[cuts[1:]] - sums[cuts[:-1]]) * (SCALE / n) + table[-1]))
+        return np.concatenate(out)
+
+    return scores
+
+
+def score(docs: DataFrame, doc_id: str, text: str, weights: np.ndarray) -> DataFrame:
+    """(doc_id, score) of every row."""
+    scores = scorer(docs.sparkSession, weights)
+    kind = docs.schema[doc_id].dataType.simpleString()
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for _, texts in K.slices(batch.column(1)):
-                places, cuts = features(texts, bits)
-                sums = np.concatenate([[0.0], np.cumsum(table[places])])
-                n = np.maximum(np.diff(cuts), 1)
-                out.append(sigmoid((sums[cuts[1:]] - sums[cuts[:-1]]) * (SCALE / n) + table[-1]))
-            values = np.concatenate(out) if out else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores(batch.column(1)))], names=["doc_id", "score"])
+
+    return docs.select(F.col(doc_id), F.col(text)).mapInArrow(scored, f"doc_id {kind}, score double")
+
+
+def accept(docs: DataFrame, text: str, weights: np.ndarray, threshold: float) -> DataFrame:
+    """The rows whose text scores at least ``threshold``, with all their columns."""
+    scores = scorer(docs.sparkSession, weights)
+    place = docs.columns.index(text)
+
+    def accepted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(scores(batch.column(place)) >= threshold))
 
-    return docs.select(F.col(doc_id), F.col(text)).mapInArrow(scores, f"doc_id {kind}, score double")
+    return docs.mapInArrow(accepted, docs.schema)
 
 
 def sample(labels: DataFrame, order: str, most_rows: int) -> DataFrame:

@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    balanced_shards,
     embedding_links,
     personal_data,
     piece_encoding,
     quality_classifier,
     quality_rules,
+    quotation_threads,
     repeated_passages,
     simhash_links,
+    source_mixing,
 )
 from .common import table
 
@@ -22,13 +25,16 @@ from .common import table
 TRAINING_ROWS = 12_000
 
 
-def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Scores of ``docs``, learned from the documents table and its labels outside the held-out fifth."""
+#: Score from which a document counts as good.
+QUALITY = 0.3
+
+
+def quality_weights(spark: SparkSession, sf_dir: str):
+    """Weights learned from the documents table and its labels outside the held-out fifth."""
     labels = table(spark, sf_dir, "labels").where(F.col("quality").isin(0, 1) & ~held_out("doc_id"))
     labels = quality_classifier.sample(labels.select("doc_id", F.col("quality").alias("label")), "doc_id", TRAINING_ROWS)
     texts = table(spark, sf_dir, "documents").select("doc_id", "text")
-    weights = quality_classifier.train(texts.join(labels, "doc_id"), "text", "label", "doc_id")
-    return quality_classifier.score(docs, "doc_id", "text", weights)
+    return quality_classifier.train(texts.join(labels, "doc_id"), "text", "label", "doc_id")
 
 
 def held_out(doc_id: str):
@@ -36,9 +42,10 @@ def held_out(doc_id: str):
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = quality_scores(spark, table(spark, sf_dir, "documents"), sf_dir)
+    weights = quality_weights(spark, sf_dir)
+    scores = quality_classifier.score(table(spark, sf_dir, "documents"), "doc_id", "text", weights)
     return scores.select(
-        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= QUALITY).cast("int").alias("predicted")
     )
 
 
@@ -49,6 +56,10 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mixing.mix(table(spark, sf_dir, "documents"), "doc_id", "source")
+
+
 def op3_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = piece_encoding.encode(table(spark, sf_dir, "documents"), "doc_id", "text", model_path())
     return rows.select(
@@ -62,6 +73,17 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.md5("text").alias("link"),
+    )
+    rows = balanced_shards.shard(docs, "doc_id", "link", also=("size", "text_crc32"))
+    return rows.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "linked"
+    )
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = personal_data.spans(table(spark, sf_dir, "documents"), "doc_id", "text")
     kinds = [kind.name for kind in personal_data.KINDS if kind.base]
@@ -85,13 +107,23 @@ def op9_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
 
+def op10_quotation_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotation_threads.conversations(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_quality_classifier": op1_quality_classifier,
-    "op3_piece_encoding": op3_piece_encoding,
-    "op4_repeated_passages": op4_repeated_passages,
-    "op6_personal_data": op6_personal_data,
-    "op7_quality_rules": op7_quality_rules,
-    "op8_simhash_links": op8_simhash_links,
-    "op9_embedding_links": op9_embedding_links,
+    query.__name__: query
+    for query in (
+        op1_quality_classifier,
+        op2_source_mixing,
+        op3_piece_encoding,
+        op4_repeated_passages,
+        op5_balanced_shards,
+        op6_personal_data,
+        op7_quality_rules,
+        op8_simhash_links,
+        op9_embedding_links,
+        op10_quotation_threads,
+    )
 }
 ORACLE: dict[str, str] = {}
