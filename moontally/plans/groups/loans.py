@@ -13,7 +13,7 @@ from moontally.operators.rows import cast_cols, distinct_rows
 from moontally.operators.windows import MONTH, MonthWindow, with_window_flags
 from moontally.plans.pipeline import present_name
 from moontally.plans.spec import Feature, FeatureGroup, FeatureJob
-from moontally.sources.snapshots import read_table
+from moontally.sources.snapshots import read_table, read_undated
 
 KEY = "bib_id"
 LOAN_TYPES = {"loan_id": "bigint", "loan_amount": "int"}
@@ -88,7 +88,8 @@ GROUP = FeatureGroup(
 
 
 def recoveries(source, job: FeatureJob, max_range: int) -> DataFrame:
-    recovered = read_table(source, "loan_recovery", *job.months(max_range))
+    """All recoveries of the snapshots read, also those dated outside the months: only loans are cut by date."""
+    recovered = read_undated(source, "loan_recovery", *job.months(max_range))
     return agg_recovery_rollup(typed(recovered, "dt_sec_l").where(F.col("loan_id").isNotNull()))
 
 

@@ -36,7 +36,6 @@ TABLES = {
     "Arpu": "arpu_features",
 }
 STORE_TABLE = "feature_store"
-DROP_LIST_WRITERS = 8
 
 
 @dataclass(frozen=True)
@@ -47,7 +46,12 @@ class Layout:
     drop_lists: str
     output: str
     paths: Mapping[str, str] = field(default_factory=dict)
+    #: Writers at most, of feature tables and of drop lists; 0: as many as there are partitions.
     writer_cap: int = 0
+    drop_list_writers: int = 0
+    #: Batch format of feature tables and its options; parquet tables are partitioned by month.
+    fmt: str = "parquet"
+    options: Mapping[str, str] = field(default_factory=dict)
 
     def drop_list(self, month: int) -> str:
         return f"{self.drop_lists}/drop_list_{month - 1}_{month}"
@@ -63,7 +67,7 @@ def run_drop_list(spark: SparkSession, layout: Layout, date: dt.date | str, tabl
     current, previous = (source.scan_months(table, m, m) for m in (month, month - 1))
     changed = droplist.drop_list(*droplist.ownership(current, previous))
     path = layout.drop_list(month)
-    sink_writer_cap(changed, DROP_LIST_WRITERS, shuffle=True).write.mode("overwrite").parquet(path)
+    sink_writer_cap(changed, layout.drop_list_writers).write.mode("overwrite").parquet(path)
     return path
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from moontally.functions import scalars
-from moontally.functions.calendar import epoch_seconds, month_index, month_index_of, parse_date_key, parse_ts
+from moontally.functions.calendar import epoch_seconds, month_index, parse_date_key, parse_ts
 from moontally.operators import grain, joins, rows, windows
 from moontally.operators.windows import MONTH
 from moontally.plans import droplist, pipeline, store
@@ -30,7 +30,6 @@ from moontally.sources.star import AS_OF, EVENTS_MONTH, ORDERS_MONTH, StarSource
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
-ORDERS_SPAN = (month_index_of("1995-01-01"), month_index_of("2001-12-31"))
 EVENTS_SPAN = (EVENTS_MONTH - 1, EVENTS_MONTH)
 EVENT_GROUPS = (
     "CDR", "Recharge", "DomesticTravel", "PackagePurchaseExtras", "PackagePurchase", "BankInfo",
@@ -44,11 +43,11 @@ def job_for(name: str) -> FeatureJob:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to six digits; .501 keeps decimal ties off the edge, whatever the last bit of a sum."""
+    """Doubles to six digits, in double arithmetic: large values come through as they are."""
 
     def digits(name: str, kind: str) -> str:
         column = rows.quoted(name)
-        return f"floor({column} * 1000000 + 0.501D) / 1000000 AS {column}" if kind == "double" else column
+        return f"rint({column} * 1000000D) / 1000000D AS {column}" if kind == "double" else column
 
     return df.selectExpr(*[digits(name, kind) for name, kind in df.dtypes])
 
@@ -90,7 +89,7 @@ def usage_days(source: StarSource) -> DataFrame:
 
 
 def purchase_rows(source: StarSource) -> DataFrame:
-    return snapshots.read_table(source, "package_purchase", *EVENTS_SPAN).drop("date_key")
+    return snapshots.read_all(source, "package_purchase").drop("date_key")
 
 
 def bank_totals(source: StarSource) -> DataFrame:
@@ -115,7 +114,7 @@ def arpu_months(source: StarSource) -> DataFrame:
 
 
 def all_orders(source: StarSource, table: str, columns=None) -> DataFrame:
-    return snapshots.read_table(source, table, *ORDERS_SPAN, columns=columns)
+    return snapshots.read_all(source, table, columns)
 
 
 def only(group: FeatureGroup, *features: str) -> FeatureGroup:
@@ -186,8 +185,7 @@ def scan_droplist(source: StarSource) -> DataFrame:
 
 @query
 def distinct_keys(source: StarSource) -> DataFrame:
-    current, previous = part_months(source)
-    return rows.distinct_keys(current.unionByName(previous), "key", "owner")
+    return rows.distinct_keys(source.part_owners(None), "key", "owner")
 
 
 @query
@@ -237,7 +235,7 @@ def project_cols(source: StarSource) -> DataFrame:
 
 @query
 def notnull_key_filter(source: StarSource) -> DataFrame:
-    handsets = snapshots.read_table(source, "handset_price", *EVENTS_SPAN)
+    handsets = snapshots.read_all(source, "handset_price")
     return rows.notnull_key_filter(
         handsets.select("fake_msisdn", "handset_brand", "handset_model", "cnt_of_days", "date"),
         "fake_msisdn",
@@ -252,7 +250,7 @@ def value_filters(source: StarSource) -> DataFrame:
 
 @query
 def na_fill(source: StarSource) -> DataFrame:
-    accounts = snapshots.read_table(source, "arpu", *EVENTS_SPAN)
+    accounts = snapshots.read_all(source, "arpu")
     return rows.na_fill(accounts.select("fake_msisdn", "date", "age", "res_com_score", "site_type"))
 
 
@@ -367,7 +365,7 @@ def right_join_recovery(source: StarSource) -> DataFrame:
 
 @query
 def inner_join_multi_owner(source: StarSource) -> DataFrame:
-    return joins.inner_join_multi_owner(part_months(source)[1])
+    return joins.inner_join_multi_owner(source.part_owners(None))
 
 
 @query
@@ -382,7 +380,8 @@ def broadcast_anti_owner(source: StarSource) -> DataFrame:
 
 @query
 def union_distinct(source: StarSource) -> DataFrame:
-    return joins.union_distinct(part_months(source))
+    """All owners of parts and of customers."""
+    return joins.union_distinct([source.part_owners(None), source.customer_owners(None)])
 
 
 @query
@@ -444,7 +443,7 @@ def agg_first_last(source: StarSource) -> DataFrame:
 
 @query
 def one_hot_vocab(source: StarSource) -> DataFrame:
-    handsets = snapshots.read_table(source, "handset_price", *EVENTS_SPAN)
+    handsets = snapshots.read_all(source, "handset_price")
     hot = scalars.one_hot_vocab(F.col("handset_brand"))
     return handsets.select("fake_msisdn", "date", "handset_brand", *[c.alias(f"brand_{i}") for i, c in enumerate(hot)])
 
@@ -471,7 +470,8 @@ def win_prev_active_day(source: StarSource) -> DataFrame:
 
 @query
 def weekend_flag(source: StarSource) -> DataFrame:
-    return usage_rows(source).select("bib_id", "date", "sms_count", scalars.flag(scalars.is_weekend(F.col("date"))).alias("weekend"))
+    usage = snapshots.read_all(source, "cdr")
+    return usage.select("bib_id", "date", "sms_count", scalars.flag(scalars.is_weekend(F.col("date"))).alias("weekend"))
 
 
 @query
@@ -596,14 +596,14 @@ def data_mb(source: StarSource) -> DataFrame:
 
 @query
 def vocab_match(source: StarSource) -> DataFrame:
-    messages = snapshots.read_table(source, "customer_person_type_bank_info", *EVENTS_SPAN)
+    messages = snapshots.read_all(source, "customer_person_type_bank_info")
     matched = F.array_join(scalars.vocab_match(F.col("bank_name")), ",")
     return messages.select("fake_msisdn", "date", "bank_name", matched.alias("matched_banks"))
 
 
 @query
 def afternoon_flag(source: StarSource) -> DataFrame:
-    paid = snapshots.read_table(source, "recharge", *EVENTS_SPAN)
+    paid = snapshots.read_all(source, "recharge")
     afternoon = scalars.is_afternoon(parse_ts(F.col("recharge_dt")), F.col("recharge_value_amt"))
     return paid.select("bib_id", "recharge_dt", "recharge_value_amt", scalars.flag(afternoon).alias("afternoon"))
 
@@ -672,8 +672,6 @@ for _group in FEATURE_QUERIES.values():
     _feature_query(_group)
 
 
-
-
 @query
 def id_spine(source: StarSource) -> DataFrame:
     tables = _tables(source, *GROUPS)
@@ -682,12 +680,12 @@ def id_spine(source: StarSource) -> DataFrame:
 
 @query
 def store_left_joins(source: StarSource) -> DataFrame:
-    return store.wide_by_joins(_tables(source, "Recharge", "LoanAssign", "UserInfo"))
+    return store.wide_by_joins(_tables(source, *GROUPS))
 
 
 @query
 def store_coalesce(source: StarSource) -> DataFrame:
-    tables = _tables(source, "Arpu", "PostPaid", "LoanRec")
+    tables = _tables(source, *GROUPS)
     return joins.store_coalesce(store.wide_by_joins(tables), *store.store_defaults(tables))
 
 

@@ -14,15 +14,13 @@ from moontally.operators.windows import MONTH
 from moontally.plans.contracts import conform
 
 
-def sink_writer_cap(df: DataFrame, cap: int, shuffle: bool = False) -> DataFrame:
+def sink_writer_cap(df: DataFrame, cap: int) -> DataFrame:
     """At most ``cap`` concurrent writers; 0 leaves the frame alone.
 
-    ``coalesce`` only ever lowers the number of partitions, but it also runs the stage
-    before the write in as few tasks; ``shuffle`` keeps that stage wide.
+    A rebalancing shuffle stands before the write, so the stage that makes the rows stays
+    wide and its output is dealt by size; ``coalesce`` then only ever lowers the number.
     """
-    if cap <= 0:
-        return df
-    return df.repartition(cap) if shuffle else df.coalesce(cap)
+    return df.hint("rebalance").coalesce(cap) if cap > 0 else df
 
 
 def sink_parquet_features(df: DataFrame, path: str) -> None:
@@ -45,7 +43,7 @@ def sink_table_append(
     only, which makes a re-run idempotent.  Other formats (``fmt='jdbc'`` with its
     options) take the rows as they are.
     """
-    out = sink_writer_cap(conform(df, contract, fill_missing=False), cap, shuffle=True)
+    out = sink_writer_cap(conform(df, contract, fill_missing=False), cap)
     if fmt != "parquet":
         out.write.format(fmt).options(**dict(options or {})).mode(mode).save()
         return

@@ -33,16 +33,14 @@ class SnapshotSource:
         """The snapshots of months first..last of one table as one frame."""
         return self.spark.read.parquet(*[self.path(table, m) for m in range(first, last + 1)])
 
-
-# Up to this many months the month of a row is found by comparing its date text.
-COMPARED_MONTHS = 12
+    def scan_all(self, table: str) -> DataFrame:
+        """All snapshots of one table as one frame."""
+        return self.spark.read.parquet(f"{self.base}/*/{self.paths.get(table, table)}")
 
 
 def with_month(df: DataFrame, first: int, last: int, date_key: str = "date_key") -> DataFrame:
     """Adds ``date`` and ``month_index`` to rows whose date text is in months first..last."""
     df = df.withColumn("date", parse_date_key(F.col(date_key)))
-    if last - first >= COMPARED_MONTHS:
-        return df.withColumn(MONTH, month_index(F.col("date")))
     starts = [f"{month_start(m):%Y%m%d}" for m in range(first + 1, last + 1)]
     later = [F.when(F.col(date_key) >= start, 1).otherwise(0) for start in starts]
     return df.withColumn(MONTH, reduce(add, later, F.lit(first)))
@@ -62,6 +60,19 @@ def read_table(source, table: str, first: int, last: int, columns: Sequence[str]
     return dated.where(F.col("date").isNotNull())
 
 
+def read_all(source, table: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """The same over every snapshot there is."""
+    keyed = notnull_key_filter(project_cols(source.scan_all(table), list(columns or SOURCE_COLUMNS[table])), key_column(table))
+    dated = keyed.withColumn("date", parse_date_key(F.col("date_key")))
+    return dated.withColumn(MONTH, month_index(F.col("date"))).where(F.col("date").isNotNull())
+
+
+def read_undated(source, table: str, first: int, last: int, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows with a key of the snapshots first..last, whatever their own date."""
+    df = project_cols(source.scan_months(table, first, last), list(columns or SOURCE_COLUMNS[table]))
+    return notnull_key_filter(df, key_column(table))
+
+
 def scan_droplist(spark: SparkSession, path: str) -> DataFrame:
     """Keys of a written drop list, once each."""
     return drop_keys(spark.read.parquet(path))

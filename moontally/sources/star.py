@@ -62,37 +62,42 @@ class StarSource:
         self.spark, self.folder = spark, folder
         self._tables: dict[str, DataFrame] = {}
 
-    def scan_months(self, table: str, first: int, last: int) -> DataFrame:
+    def scan_months(self, table: str, first: int | None, last: int | None) -> DataFrame:
         return getattr(self, f"_{table}")(first, last)
 
+    def scan_all(self, table: str) -> DataFrame:
+        return getattr(self, f"_{table}")(None, None)
+
     def base(self, name: str) -> DataFrame:
         """A table of the folder; its schema is read once."""
         if name not in self._tables:
             self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
-    def events(self, first: int, last: int) -> DataFrame:
+    def events(self, first: int | None, last: int | None) -> DataFrame:
         k = F.regexp_extract("props", r'"k": (\d+)', 1).cast("int")
         return self._dated("events", "ts", first, last).withColumn("k", k)
 
-    def orders(self, first: int, last: int) -> DataFrame:
+    def orders(self, first: int | None, last: int | None) -> DataFrame:
         """Orders with their date as text: formatted here, once per order and not per line."""
         moment = F.col("o_orderdate")
         dated = self._dated("orders", "o_orderdate", first, last)
         return dated.withColumns({"day_text": _day_text(moment), "moment_text": _moment_text(moment)})
 
-    def order_lines(self, first: int, last: int) -> DataFrame:
+    def order_lines(self, first: int | None, last: int | None) -> DataFrame:
         lines = self.base("lineitem")
         return self.orders(first, last).join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
 
-    def _dated(self, name: str, column: str, first: int, last: int) -> DataFrame:
+    def _dated(self, name: str, column: str, first: int | None, last: int | None) -> DataFrame:
+        if first is None:
+            return self.base(name)
         start, end = month_span(first, last)
         as_timestamp = lambda day: F.lit(f"{day} 00:00:00").cast("timestamp_ntz")
         return self.base(name).where((F.col(column) >= as_timestamp(start)) & (F.col(column) < as_timestamp(end)))
 
     # Views over events.
 
-    def _cdr(self, first: int, last: int) -> DataFrame:
+    def _cdr(self, first: int | None, last: int | None) -> DataFrame:
         """One record per user, day and half day; equal halves are equal rows."""
         kind, value = F.col("event_type"), F.col("value")
         count_of = lambda name: F.count(F.when(kind == name, 1))
@@ -111,7 +116,7 @@ class StarSource:
             .drop("half")
         )
 
-    def _recharge(self, first: int, last: int) -> DataFrame:
+    def _recharge(self, first: int | None, last: int | None) -> DataFrame:
         amount = F.when(F.col("k") % 17 == 0, 0.0).otherwise(F.col("value"))
         before = F.col("k").cast("double")
         return self.events(first, last).where(F.col("event_type") == "purchase").select(
@@ -124,7 +129,7 @@ class StarSource:
             _day_text(F.col("ts")).alias("date_key"),
         )
 
-    def _package_purchase(self, first: int, last: int) -> DataFrame:
+    def _package_purchase(self, first: int | None, last: int | None) -> DataFrame:
         other = F.when(F.col("event_type") != "error", F.concat(F.lit("GAME "), F.col("event_type")))
         service = F.coalesce(_pick(SERVICES, F.col("k") % 8), other)
         return self.events(first, last).select(
@@ -136,7 +141,7 @@ class StarSource:
             _day_text(F.col("ts")).alias("date_key"),
         )
 
-    def _customer_person_type_bank_info(self, first: int, last: int) -> DataFrame:
+    def _customer_person_type_bank_info(self, first: int | None, last: int | None) -> DataFrame:
         return self.events(first, last).select(
             _text(F.col("user_id")).alias("fake_msisdn"),
             _pick(SENDERS, F.col("k") % 10).alias("bank_name"),
@@ -144,7 +149,7 @@ class StarSource:
             _day_text(F.col("ts")).alias("date_key"),
         )
 
-    def _domestic_travel(self, first: int, last: int) -> DataFrame:
+    def _domestic_travel(self, first: int | None, last: int | None) -> DataFrame:
         """Per user, day and kind: trips of the day, unknown where there were three or more."""
         trips = F.count(F.when(F.col("k") >= 80, 1))
         return (
@@ -155,7 +160,7 @@ class StarSource:
             .drop("event_type")
         )
 
-    def _handset_price(self, first: int, last: int) -> DataFrame:
+    def _handset_price(self, first: int | None, last: int | None) -> DataFrame:
         brand = _pick(BRANDS, (F.col("user_id") + F.col("k")) % 7)
         return self.events(first, last).select(
             _text(F.col("user_id")).alias("fake_msisdn"),
@@ -167,7 +172,7 @@ class StarSource:
             _day_text(F.col("ts")).alias("date_key"),
         )
 
-    def _arpu(self, first: int, last: int) -> DataFrame:
+    def _arpu(self, first: int | None, last: int | None) -> DataFrame:
         """One record per user and day."""
         user, kind = F.col("user_id"), F.col("event_type")
         value_of = lambda name: F.round(F.sum(F.when(kind == name, F.col("value")).otherwise(0.0)), 2)
@@ -207,7 +212,7 @@ class StarSource:
 
     # Views over orders.
 
-    def _loan_assign(self, first: int, last: int) -> DataFrame:
+    def _loan_assign(self, first: int | None, last: int | None) -> DataFrame:
         """An order is a loan over the whole-number prices of its lines."""
         lines = self.base("lineitem").groupBy("l_orderkey").agg(
             F.sum(F.floor("l_extendedprice").cast("bigint")).alias("priced")
@@ -222,8 +227,8 @@ class StarSource:
             F.col("moment_text").alias("date_timestamp"),
         )
 
-    def _loan_recovery(self, first: int, last: int) -> DataFrame:
-        """Every line that was not returned pays its price."""
+    def _loan_recovery(self, first: int | None, last: int | None) -> DataFrame:
+        """Every line that was not returned pays its price, on the day it is shipped."""
         paid = F.floor("l_extendedprice")
         return self.order_lines(first, last).where(F.col("l_returnflag") != "R").select(
             _text(F.col("o_custkey")).alias("bib_id"),
@@ -231,10 +236,10 @@ class StarSource:
             _text(paid.cast("bigint")).alias("loan_amount"),
             paid.cast("double").alias("hsdp_recovery"),
             _moment_text(F.col("l_shipdate")).alias("date_timestamp"),
-            F.col("day_text").alias("date_key"),
+            _day_text(F.col("l_shipdate")).alias("date_key"),
         )
 
-    def _package(self, first: int, last: int) -> DataFrame:
+    def _package(self, first: int | None, last: int | None) -> DataFrame:
         lines = self.order_lines(first, last).join(self.base("part"), F.col("l_partkey") == F.col("p_partkey"))
         size = F.when(F.col("l_linenumber") % 7 != 0, F.concat(F.lit(" "), F.col("p_size"))).otherwise(F.lit(""))
         return lines.select(
@@ -247,7 +252,7 @@ class StarSource:
             F.col("day_text").alias("date_key"),
         )
 
-    def _user_info(self, first: int, last: int) -> DataFrame:
+    def _user_info(self, first: int | None, last: int | None) -> DataFrame:
         """Every customer once, most of them in the target month, the rest in the one before."""
         since = self.base("orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("since"))
         customers = self.base("customer").join(since, F.col("c_custkey") == F.col("o_custkey"), "left")
@@ -267,7 +272,7 @@ class StarSource:
         )
         return users
 
-    def _post_paid(self, first: int, last: int) -> DataFrame:
+    def _post_paid(self, first: int | None, last: int | None) -> DataFrame:
         """One account record per customer and order day."""
         price, status = F.col("o_totalprice"), F.col("o_orderstatus")
         share = lambda part, *kinds: F.sum(F.when(status.isin(*kinds), price * part).otherwise(0.0))
@@ -295,7 +300,7 @@ class StarSource:
             .drop("day", "first_order")
         )
 
-    def _credit_management(self, first: int, last: int) -> DataFrame:
+    def _credit_management(self, first: int | None, last: int | None) -> DataFrame:
         line = F.col("l_linenumber")
         return self.order_lines(first, last).select(
             _text(F.col("o_custkey")).alias("fake_msisdn"),
@@ -311,14 +316,14 @@ class StarSource:
             F.col("day_text").alias("date_key"),
         )
 
-    def part_owners(self, month: int) -> DataFrame:
-        """(key, owner) rows of one month: parts and the customers that ordered them."""
+    def part_owners(self, month: int | None) -> DataFrame:
+        """(key, owner) rows of one month, or of all: parts and the customers that ordered them."""
         return self.order_lines(month, month).select(
             _text(F.col("l_partkey")).alias("key"), _text(F.col("o_custkey")).alias("owner")
         )
 
-    def customer_owners(self, month: int) -> DataFrame:
-        """(key, owner) rows of one month: orders in part delivery belong to a second owner."""
+    def customer_owners(self, month: int | None) -> DataFrame:
+        """(key, owner) rows of one month, or of all: orders in part delivery belong to a second owner."""
         customer = _text(F.col("o_custkey"))
         second = F.col("o_orderstatus") == "P"
         return self.orders(month, month).select(

@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import compare, database
+from moontally.registry import REGISTRY
+from oracle.queries import ORACLE
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,10 +16,10 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_query_equals_sql(spark, db, name):
     verdict = compare(spark, db, FOLDER, name)
     assert verdict.startswith("ok") and "types" not in verdict, verdict
