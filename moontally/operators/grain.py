@@ -2,8 +2,8 @@
 
 A window function over raw rows of a key puts all of the key's rows into one task.
 Every operator here first collapses rows, map-side, to a grain whose size per key does
-not grow with the data (calendar days, seconds of a day, billing months, names of a
-dictionary), and runs its window over that.
+not grow with the data (calendar days, seconds of a day, billing months), or to distinct
+values, and runs its window over that.
 """
 
 from __future__ import annotations
@@ -60,7 +60,8 @@ def with_last_seen(df: DataFrame, key: str, *columns: str) -> DataFrame:
 
     A value is new to a window where it was not seen since the window's start, so
     counting those rows counts distinct values of every window in one grouping, without
-    repeating each row per distinct count.
+    repeating each row per distinct count.  Rows are at the grain of the values, so one
+    shuffle by the key serves all windows and the grouping that follows.
     """
     return df.withColumns({
         f"{name}_seen": F.lag(MONTH).over(Window.partitionBy(key, name).orderBy(MONTH)) for name in columns
@@ -158,13 +159,25 @@ def bank_month_totals(rows: DataFrame, key: str) -> DataFrame:
 
 
 def month_ranks(totals: DataFrame, key: str) -> DataFrame:
-    """``rank_in_month`` and ``rank`` of the senders of a month by messages, most first."""
-    by_total = Window.partitionBy(key, MONTH).orderBy(F.desc("total_sms_count"))
-    unique = Window.partitionBy(key, MONTH).orderBy(F.desc("total_sms_count"), "bank_name")
-    return totals.withColumns({
-        "rank_in_month": F.row_number().over(unique),
-        "rank": F.rank().over(by_total),
-    })
+    """``rank_in_month`` and ``rank`` of the senders of a month by messages, most first.
+
+    Sender names are free text, so a hot key may have any number of them.  Equal totals are
+    counted first and ranked as one row each; names are only put in order inside an equal total.
+    """
+    month = [key, MONTH]
+    above = Window.partitionBy(*month).orderBy(F.desc("total")).rowsBetween(Window.unboundedPreceding, -1)
+    equal = totals.groupBy(*month, F.col("total_sms_count").alias("total")).agg(F.count(F.lit(1)).alias("names"))
+    ranks = equal.select(
+        *[F.col(name).alias(f"{name}_") for name in month], "total", (F.coalesce(F.sum("names").over(above), F.lit(0)) + 1).alias("rank")
+    )
+    same = F.col("total_sms_count").eqNullSafe(F.col("total"))
+    met = totals.join(ranks, (F.col(key) == F.col(f"{key}_")) & (F.col(MONTH) == F.col(f"{MONTH}_")) & same)
+    inside = Window.partitionBy(*month, "total_sms_count").orderBy("bank_name")
+    return met.select(
+        *totals.columns,
+        (F.col("rank") + F.row_number().over(inside) - 1).cast("int").alias("rank_in_month"),
+        F.col("rank").cast("int").alias("rank"),
+    )
 
 
 def running_totals(totals: DataFrame, key: str) -> DataFrame:

@@ -165,17 +165,18 @@ def any_window(windows: Sequence[MonthWindow]) -> Column:
 
 
 def with_window_flags(
-    df: DataFrame, windows: Sequence[MonthWindow], span: tuple[int, int]
+    df: DataFrame, windows: Sequence[MonthWindow], span: tuple[int, int], keep_all: bool = False
 ) -> tuple[DataFrame, dict[MonthWindow, MonthWindow]]:
     """Rows of any window, one flag column per window, and the windows that use them.
 
     The condition of a window is evaluated once per row instead of once per aggregate.
     ``span`` are the months the frame holds: a window over all of them needs no
-    condition, and no rows are filtered when the windows leave none out.
+    condition, and no rows are filtered when the windows leave none out.  ``keep_all``
+    leaves the rows before the windows to formulas that look at them.
     """
     held = set(range(span[0], span[1] + 1))
     seen = {w: held & set(range(w.first, w.target + 1)) for w in windows}
-    if set().union(*seen.values()) != held:
+    if not keep_all and set().union(*seen.values()) != held:
         df = df.where(any_window(windows))
         held = set().union(*seen.values())
     flagged = {

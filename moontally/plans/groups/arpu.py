@@ -110,20 +110,20 @@ GROUP = FeatureGroup(
         Feature("res_com_score", "double", lambda w: w.max("res_com_score")),
         Feature("gender", "int", lambda w: last_code(w, "female", 2), ranges=(2,)),
         Feature("site__large_city", "int", last_site_among(LARGE_CITY), ranges=(2,)),
-        Feature("gprs_revenue_change", "double", change("gprs_revenue"), ranges=(2,)),
+        Feature("gprs_revenue_change", "double", change("gprs_revenue"), ranges=(2,), lengths=(2,)),
         Feature("site__USO", "int", first_site("USO"), ranges=(2,)),
         Feature("site__Port", "int", first_site("Port"), ranges=(2,)),
         Feature("site__Oil Platform", "int", first_site("Oil Platform"), ranges=(2,)),
-        Feature("voice_revenue_change", "double", change("voice_revenue"), ranges=(2,)),
+        Feature("voice_revenue_change", "double", change("voice_revenue"), ranges=(2,), lengths=(2,)),
         Feature("site__Industrial Area", "int", first_site("Industrial Area"), ranges=(2,)),
         Feature("site__Touristic Area", "int", first_site("Touristic Area"), ranges=(2,)),
         Feature("site__Island", "int", first_site("Island"), ranges=(2,)),
-        Feature("sms_revenue_change", "double", change("sms_revenue"), ranges=(2,)),
+        Feature("sms_revenue_change", "double", change("sms_revenue"), ranges=(2,), lengths=(2,)),
         Feature("site__Airport", "int", first_site("Airport"), ranges=(2,)),
         Feature("site__road_village", "int", last_site_among(ROAD_VILLAGE), ranges=(2,)),
         Feature("site__University", "int", first_site("University"), ranges=(2,)),
     ),
-    optional=(Feature("res_com_score_change", "double", score_change, ranges=(2,)),),
+    optional=(Feature("res_com_score_change", "double", score_change, ranges=(2,), lengths=(2,)),),
 )
 
 # The group's columns in the feature store, store name -> own name, in store order.

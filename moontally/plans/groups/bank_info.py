@@ -19,6 +19,8 @@ from moontally.sources.snapshots import read_table
 KEY = "fake_msisdn"
 # Gregorian days of the month that count as month end.
 MONTH_END_DAYS = (18, 19, 20, 21, 22)
+# Places for the messages of a sender beside its score.
+MESSAGES = 10**11
 
 
 def rows(source, job: FeatureJob, max_range: int) -> DataFrame:
@@ -76,7 +78,7 @@ def keyed(messages: DataFrame, windows: list[MonthWindow], span: tuple[int, int]
 
     per_month = [F.sum(f"{name}_{m}").alias(f"{name}_{m}") for name in ("rows", "sms", "end") for m in months]
     per_month += [F.bit_or(f"days_{m}").alias(f"days_{m}") for m in months]
-    best = {_best(w): F.struct("score", _over_months(w, "sms").alias("sms")) for w in windows}
+    best = {_best(w): scored_messages(F.col("score"), _over_months(w, "sms")) for w in windows}
     banks = {
         _banks(w): F.when(_over_months(w, "rows") > 0, F.call_function("shiftleft", F.lit(1), F.col("bank")))
         for w in windows
@@ -98,6 +100,13 @@ def keyed(messages: DataFrame, windows: list[MonthWindow], span: tuple[int, int]
     return one_row.withColumns({present_name(w): _over_months(w, "rows") > 0 for w in windows})
 
 
+def scored_messages(score: Column, messages: Column) -> Column:
+    """Score and messages in one number, so that a plain maximum in hash aggregation keeps both."""
+    both = score.cast("decimal(26,0)") * F.lit(MESSAGES).cast("decimal(12,0)") + messages
+    fits = messages.between(0, MESSAGES - 1)
+    return F.when(fits, both).otherwise(F.raise_error(F.lit("messages of one sender outgrow their places"))).cast("decimal(38,0)")
+
+
 def _best(w: MonthWindow) -> str:
     return f"best_{w.target}_{w.months}"
 
@@ -118,7 +127,7 @@ def loyalty_one_month(w: MonthWindow) -> Column:
 
 def loyalty_all_months(w: MonthWindow) -> Column:
     """Messages of the bank with the best score over all; a tie takes the larger sender."""
-    return ratio(F.col(_best(w))["sms"], _over_months(w, "sms"))
+    return ratio(F.col(_best(w)) % MESSAGES, _over_months(w, "sms"))
 
 
 def per_day(days: int):
@@ -133,11 +142,11 @@ GROUP = FeatureGroup(
     keyed=keyed,
     features=(
         Feature("bank_active_days_count", "bigint", active_days),
-        Feature("bank_loyalty_ratio_first", "double", loyalty_one_month, ranges=(1,)),
+        Feature("bank_loyalty_ratio_first", "double", loyalty_one_month, ranges=(1,), lengths=(1,)),
         Feature("total_bank_count", "bigint", lambda w: F.bit_count(_banks(w))),
-        Feature("bank_loyalty_ratio_both", "double", loyalty_all_months, ranges=(2,)),
+        Feature("bank_loyalty_ratio_both", "double", loyalty_all_months, ranges=(2,), lengths=(2,)),
         Feature("month_end_sms_ratio", "double", lambda w: ratio(_over_months(w, "end"), _over_months(w, "sms"))),
-        Feature("avg_daily_bank_sms_first", "double", per_day(30), ranges=(1,)),
-        Feature("avg_daily_bank_sms_both", "double", per_day(60), ranges=(2,)),
+        Feature("avg_daily_bank_sms_first", "double", per_day(30), ranges=(1,), lengths=(1,)),
+        Feature("avg_daily_bank_sms_both", "double", per_day(60), ranges=(2,), lengths=(2,)),
     ),
 )

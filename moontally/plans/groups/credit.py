@@ -57,7 +57,7 @@ def grain(lines: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
 
 def _count(name: str, months: int, status: str, value: int) -> Feature:
     return Feature(
-        name, "bigint", lambda w: w.count("installment_id", F.col(status) == value), ranges=(months,)
+        name, "bigint", lambda w: w.count("installment_id", F.col(status) == value), ranges=(months,), lengths=(months,)
     )
 
 
@@ -75,6 +75,7 @@ def _class_days(value: int, months: int, default: int) -> Feature:
         lambda w: F.coalesce(w.mean("days_delayed", F.col(status) == value), F.lit(float(default))),
         ranges=(months,),
         default=default,
+        lengths=(months,),
     )
 
 

@@ -26,6 +26,7 @@ def grain(handsets: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
     used = handsets.groupBy(KEY, MONTH, "handset_model", "handset_brand").agg(
         F.count(F.lit(1)).alias("n"), F.sum("cnt_of_days").alias("days")
     )
+    used = used.repartition(KEY)  # serves the windows and the grouping by key
     same_month = Window.partitionBy(KEY, "handset_model").orderBy(MONTH).rangeBetween(0, 0)
     totals = used.withColumn("model_days", F.sum("days").over(same_month))
     return with_last_seen(totals, KEY, "handset_model", "handset_brand")

@@ -115,7 +115,7 @@ RECOVERY = FeatureGroup(
     key=KEY,
     rows=repaid_rows,
     features=(
-        Feature("mean_time_to_repay", "double", lambda w: w.mean("time_to_repay"), ranges=(2,), default=-1),
+        Feature("mean_time_to_repay", "double", lambda w: w.mean("time_to_repay"), ranges=(2,), default=-1, lengths=(2,)),
     ),
     extra_columns=(("mean_time_to_repay_1", "double"),),
 )

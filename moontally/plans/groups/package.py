@@ -43,7 +43,7 @@ def grain(packages: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
         F.min("period").alias("period_min"),
         F.max("period").alias("period_max"),
     )
-    return with_last_seen(offers, KEY, "code", "name")
+    return with_last_seen(offers.repartition(KEY), KEY, "code", "name")
 
 
 GROUP = FeatureGroup(

@@ -27,7 +27,11 @@ def rows(source, job: FeatureJob, max_range: int) -> DataFrame:
 
 
 def grain(accounts: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
-    """The two leading rows of each month with the row-level flags and ratios."""
+    """The two leading rows of each month with the row-level flags and ratios.
+
+    Rows are numbered over all months read, so the numbers fit one target month only.
+    """
+    _ = job.target
     limit, deposit = F.col("credit_limit"), F.col("deposit_amt_n")
     balance, unbilled = F.col("outstanding_balance"), F.col("unbilled_amount")
     zero = F.lit(0.0)
@@ -74,7 +78,7 @@ def utilization_growth(w) -> Column:
 
 
 def _snapshot(name: str, type_: str, default=0) -> Feature:
-    return Feature(name, type_, first_of_window(name), ranges=(1,), default=default)
+    return Feature(name, type_, first_of_window(name), ranges=(1,), default=default, lengths=(1,))
 
 
 GROUP = FeatureGroup(
@@ -94,10 +98,10 @@ GROUP = FeatureGroup(
         _snapshot("deposit_to_credit_ratio", "double"),
         _snapshot("churn", "int"),
         _snapshot("days_since_last_payment", "int", default=F.max),
-        Feature("avl_credit_limit_growth", "double", grown("free"), ranges=(2,)),
-        Feature("deposit_change", "double", grown("deposit_amt_n"), ranges=(2,)),
-        Feature("total_credit_utilization_growth", "double", utilization_growth, ranges=(2,)),
-        Feature("credit_limit_change", "double", grown("credit_limit"), ranges=(2,)),
-        Feature("credit_limit_growth_rate", "double", grown("credit_limit"), ranges=(2,)),
+        Feature("avl_credit_limit_growth", "double", grown("free"), ranges=(2,), lengths=(2,)),
+        Feature("deposit_change", "double", grown("deposit_amt_n"), ranges=(2,), lengths=(2,)),
+        Feature("total_credit_utilization_growth", "double", utilization_growth, ranges=(2,), lengths=(2,)),
+        Feature("credit_limit_change", "double", grown("credit_limit"), ranges=(2,), lengths=(2,)),
+        Feature("credit_limit_growth_rate", "double", grown("credit_limit"), ranges=(2,), lengths=(2,)),
     ),
 )

@@ -27,6 +27,7 @@ GROUP = FeatureGroup(
     table="domestic_travel",
     key=KEY,
     rows=rows,
+    sees_all=True,
     features=(
         Feature("avg_daily_travel", "double", lambda w: w.mean("sum_travel")),
         Feature("unique_travel_days", "bigint", lambda w: w.distinct_days("date")),

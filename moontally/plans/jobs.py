@@ -13,7 +13,7 @@ from moontally.plans import droplist
 from moontally.plans.contracts import group_contract
 from moontally.plans.groups import GROUPS
 from moontally.plans.pipeline import build_features
-from moontally.plans.spec import FeatureJob
+from moontally.plans.spec import FeatureGroup, FeatureJob
 from moontally.plans.store import feature_store, store_contract
 from moontally.sources.sinks import read_feature_table, sink_table_append, sink_writer_cap
 from moontally.sources.snapshots import SnapshotSource, scan_droplist
@@ -72,17 +72,25 @@ def run_drop_list(spark: SparkSession, layout: Layout, date: dt.date | str, tabl
 
 
 def run_features(
-    spark: SparkSession, layout: Layout, date: dt.date | str, name: str, mode: str = "overwrite"
+    spark: SparkSession, layout: Layout, date: dt.date | str, name: str | FeatureGroup, mode: str = "overwrite"
 ) -> DataFrame:
-    """Write one group's feature table of the month and return it as read back."""
-    month, group = month_index_of(date), GROUPS[name]
+    """Write one group's feature table of the month and return it as read back.
+
+    ``name`` is a group's name, or a group with window lengths of its own (``declare``).
+    """
+    month, group = month_index_of(date), GROUPS[name] if isinstance(name, str) else name
     as_of = dt.date.fromisoformat(date) if isinstance(date, str) else date
     job = FeatureJob(targets=(month,), as_of=as_of)
     source = SnapshotSource(spark, layout.snapshots, layout.paths)
     frame = build_features(group, source, job, scan_droplist(spark, layout.drop_list(month)))
-    contract, path = group_contract(group, job), layout.table(TABLES[name])
-    sink_table_append(frame, path, contract, month, mode=mode, cap=layout.writer_cap)
-    return read_feature_table(spark, path, contract, month)
+    return _written(spark, layout, TABLES[group.name], frame, group_contract(group, job), month, mode)
+
+
+def _written(spark: SparkSession, layout: Layout, table: str, frame: DataFrame, contract, month: int, mode: str) -> DataFrame:
+    """The rows written in the layout's format, as read back."""
+    path, how = layout.table(table), {"fmt": layout.fmt, "options": layout.options}
+    sink_table_append(frame, path, contract, month, mode=mode, cap=layout.writer_cap, **how)
+    return read_feature_table(spark, path, contract, month, **how)
 
 
 def run_feature_store(
@@ -91,10 +99,11 @@ def run_feature_store(
     """Write the wide table of a month from its feature tables; a re-run replaces the month."""
     job = FeatureJob(targets=(month,))
     tables = {
-        name: read_feature_table(spark, layout.table(TABLES[name]), group_contract(GROUPS[name], job), month)
+        name: read_feature_table(
+            spark, layout.table(TABLES[name]), group_contract(GROUPS[name], job), month, layout.fmt, layout.options
+        )
         for name in names
     }
-    wide, path = feature_store(tables), layout.table(STORE_TABLE)
+    wide = feature_store(tables)
     contract = store_contract() if set(names) == set(GROUPS) else wide.schema
-    sink_table_append(wide, path, contract, month, mode="overwrite", cap=layout.writer_cap)
-    return read_feature_table(spark, path, contract, month)
+    return _written(spark, layout, STORE_TABLE, wide, contract, month, "overwrite")

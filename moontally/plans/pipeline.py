@@ -39,11 +39,13 @@ def raw_features(group: FeatureGroup, source, job: FeatureJob, max_range: int |
             group.key, *[F.when(F.col(present_name(w)), feature.formula(w)).alias(name) for w, feature, name in columns]
         )
     rows = grain_rows(group, source, job, max_range)
-    frame, flagged = with_window_flags(rows, windows, job.months(max_range))
+    frame, flagged = with_window_flags(rows, windows, job.months(max_range), group.sees_all)
     one_row = frame.groupBy(group.key).agg(
         *[(w.rows() > 0).alias(present_name(w)) for w in flagged.values() if not w.everything],
         *[feature.formula(flagged[window]).alias(name) for window, feature, name in columns],
     )
+    if group.sees_all and not any(w.everything for w in flagged.values()):
+        one_row = one_row.where(reduce(or_, [F.col(present_name(w)) for w in flagged.values()]))
 
     def guarded(window: MonthWindow, name: str) -> str:
         if flagged[window].everything:

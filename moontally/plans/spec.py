@@ -28,6 +28,8 @@ class Feature:
     formula: Callable[[MonthWindow], Column]
     ranges: tuple[int, ...] = (1, 2)
     default: Default = 0
+    # Window lengths the formula has a meaning for; None: any.
+    lengths: tuple[int, ...] | None = None
 
     def default_for(self, months: int) -> float | Aggregate | None:
         return self.default.get(months) if isinstance(self.default, Mapping) else self.default
@@ -78,6 +80,8 @@ class FeatureGroup:
     grain: Callable[[DataFrame, FeatureJob, int], DataFrame] | None = None
     keyed: Callable[[DataFrame, list[MonthWindow], tuple[int, int]], DataFrame] | None = None
     optional: tuple[Feature, ...] = field(default=())
+    # Formulas look at all months read, also at those before their window.
+    sees_all: bool = False
     # Declared output columns no feature produces: (name, type).
     extra_columns: tuple[tuple[str, str], ...] = field(default=())
 
@@ -94,6 +98,10 @@ class FeatureGroup:
         known = {f.name: f for f in self.features + self.optional}
         if unknown := sorted(set(ranges) - set(known)):
             raise ValueError(f"{self.name} has no features {unknown}")
+        for name, lengths in ranges.items():
+            allowed = known[name].lengths
+            if not lengths or min(lengths) < 1 or (allowed and not set(lengths) <= set(allowed)):
+                raise ValueError(f"{name} is not defined over {tuple(lengths)} months, only over {allowed or 'one or more'}")
         declared = tuple(replace(known[name], ranges=tuple(lengths)) for name, lengths in ranges.items())
         return replace(self, features=declared, optional=(), extra_columns=())
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moontally.operators.joins import id_spine, store_coalesce, store_left_joins
+from moontally.operators.joins import anti_join_droplist, id_spine, store_coalesce, store_left_joins
 from moontally.operators.rows import quoted
 from moontally.plans.contracts import TYPES
 from moontally.plans.groups import GROUPS, arpu
@@ -64,7 +64,10 @@ def wide_by_grouping(tables: Mapping[str, DataFrame]) -> DataFrame:
     most one row per table, so no group is larger than the number of tables, and the id
     spine is the grouping itself.
     """
-    parts = {name: store_part(GROUPS[name], table) for name, table in tables.items()}
+    return _side_by_side({name: store_part(GROUPS[name], table) for name, table in tables.items()})
+
+
+def _side_by_side(parts: Mapping[str, DataFrame]) -> DataFrame:
     types = {name: T.StructType([f for f in part.schema.fields if f.name != ID]) for name, part in parts.items()}
     absent = {name: F.lit(None).cast(type_).alias(name) for name, type_ in types.items()}
     stacked = [
@@ -89,6 +92,42 @@ def wide_by_grouping(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def raw_part(group: FeatureGroup, frame: DataFrame) -> DataFrame:
+    """Raw features of a group, typed and under their store names."""
+    types = dict(group.extra_columns) | {name: f.type for _, f, name in group.columns(_ANY_MONTH)}
+    missing = {name for name, _ in group.extra_columns}
+    columns = [
+        f"CAST({'NULL' if own in missing else quoted(own)} AS {types[own]}) AS {quoted(name)}"
+        for name, own in store_columns(group).items()
+    ]
+    return frame.selectExpr(f"{group.key} AS {ID}", *columns)
+
+
+def store_from_raw(sides: Sequence[tuple[Mapping[str, DataFrame], DataFrame]]) -> DataFrame:
+    """The wide table straight from raw features: (frames by group, keys to drop) per kind of key.
+
+    Each drop list is joined once, to the one-row-per-id frame of its groups.  A NULL of a
+    group and a key that the group does not have get the same default, so defaults are put
+    in once, at the end; those computed from a frame read the raw frame of their group.
+    """
+    frames, constants, queries = [], {}, {}
+    for raw, dropped in sides:
+        parts = {name: raw_part(GROUPS[name], frame) for name, frame in raw.items()}
+        frames.append(anti_join_droplist(_side_by_side(parts), dropped, ID))
+        for name, part in parts.items():
+            own = {column: f.default_for(w.months) for w, f, column in GROUPS[name].columns(_ANY_MONTH)}
+            for store_name, column in store_columns(GROUPS[name]).items():
+                default = own.get(column)
+                if callable(default):
+                    kept = anti_join_droplist(part, dropped, ID)
+                    queries[store_name] = kept.agg(default(F.col(quoted(store_name)))).scalar()
+                elif default is not None:
+                    constants[store_name] = default
+    wide = reduce(lambda a, b: a.join(b, ID, "full_outer"), frames)
+    names = [name for group in GROUPS if any(group in raw for raw, _ in sides) for name in store_columns(GROUPS[group])]
+    return store_coalesce(wide, constants, queries).select(ID, *[quoted(name) for name in names])
+
+
 def wide_by_joins(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The same through the id spine and one left join per table."""
     parts = [(store_part(GROUPS[name], table), ID) for name, table in tables.items()]

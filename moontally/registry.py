@@ -143,6 +143,13 @@ def _tables(source: StarSource, *names: str) -> dict[str, DataFrame]:
     }
 
 
+def _raw_sides(source: StarSource) -> list[tuple[dict[str, DataFrame], DataFrame]]:
+    """Raw features of the groups over users and over customers, each with its drop list."""
+    users = {name: raw(source, group) for name, group in GROUPS.items() if name in EVENT_GROUPS}
+    customers = {name: raw(source, group) for name, group in GROUPS.items() if name not in EVENT_GROUPS}
+    return [(users, dropped_users(source)), (customers, dropped_customers(source))]
+
+
 def features(source: StarSource, name: str) -> DataFrame:
     return _tables(source, name)[name]
 
@@ -674,8 +681,12 @@ for _group in FEATURE_QUERIES.values():
 
 @query
 def id_spine(source: StarSource) -> DataFrame:
-    tables = _tables(source, *GROUPS)
-    return joins.id_spine([(table, GROUPS[name].key) for name, table in tables.items()])
+    """Ids of all groups; each drop list is taken out of the ids of its side once."""
+    spines = []
+    for frames, dropped in _raw_sides(source):
+        ids = joins.id_spine([(frame, GROUPS[name].key) for name, frame in frames.items()])
+        spines.append(joins.anti_join_droplist(ids, dropped, "bib_id"))
+    return joins.union_distinct(spines)
 
 
 @query
@@ -691,4 +702,4 @@ def store_coalesce(source: StarSource) -> DataFrame:
 
 @query
 def feature_store(source: StarSource) -> DataFrame:
-    return store.feature_store(_tables(source, *GROUPS))
+    return store.store_from_raw(_raw_sides(source))

@@ -14,6 +14,10 @@ from moontally.operators.windows import MONTH
 from moontally.plans.contracts import conform
 
 
+#: Formats that are written as folders of files, by month.
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
+
+
 def sink_writer_cap(df: DataFrame, cap: int) -> DataFrame:
     """At most ``cap`` concurrent writers; 0 leaves the frame alone.
 
@@ -39,22 +43,32 @@ def sink_table_append(
 ) -> None:
     """Append one month of a feature table, in its declared schema.
 
-    Parquet tables are partitioned by month.  ``mode='overwrite'`` replaces that month
-    only, which makes a re-run idempotent.  Other formats (``fmt='jdbc'`` with its
+    Tables of file formats are partitioned by month.  ``mode='overwrite'`` replaces that
+    month only, which makes a re-run idempotent.  Other formats (``fmt='jdbc'`` with its
     options) take the rows as they are.
     """
     out = sink_writer_cap(conform(df, contract, fill_missing=False), cap)
-    if fmt != "parquet":
+    if fmt not in FILE_FORMATS:
         out.write.format(fmt).options(**dict(options or {})).mode(mode).save()
         return
     writer = out.withColumn(MONTH, F.lit(month)).write.mode(mode).partitionBy(MONTH)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    writer.options(**dict(options or {}), partitionOverwriteMode="dynamic").format(fmt).save(path)
 
 
-def read_feature_table(spark: SparkSession, path: str, contract: T.StructType, month: int) -> DataFrame:
-    """One month of a feature table; the month filter prunes partitions."""
+def read_feature_table(
+    spark: SparkSession,
+    path: str,
+    contract: T.StructType,
+    month: int,
+    fmt: str = "parquet",
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """One month of a feature table; the month filter prunes partitions of files."""
+    reader = spark.read.format(fmt).options(**dict(options or {}))
+    if fmt not in FILE_FORMATS:
+        return reader.load()
     schema = T.StructType([*contract.fields, T.StructField(MONTH, T.IntegerType())])
-    return spark.read.schema(schema).parquet(path).where(F.col(MONTH) == month).drop(MONTH)
+    return reader.schema(schema).load(path).where(F.col(MONTH) == month).drop(MONTH)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -71,8 +71,8 @@ def test_sink_is_idempotent_per_month_and_capped(spark, tmp_path):
     sink_table_append(frame, path, contract, 7)
     assert read_feature_table(spark, path, contract, 7).count() == 200
     assert sink_writer_cap(frame, 0).rdd.getNumPartitions() == 8
-    assert sink_writer_cap(frame, 20).rdd.getNumPartitions() == 8
-    assert sink_writer_cap(frame, 3).rdd.getNumPartitions() == 3
+    assert sink_writer_cap(frame, 20).rdd.getNumPartitions() <= 8
+    assert sink_writer_cap(frame, 3).rdd.getNumPartitions() <= 3
 
 
 def test_sink_takes_other_formats_and_only_declared_columns(spark, tmp_path):
