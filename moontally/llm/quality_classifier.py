@@ -102,7 +102,8 @@ def train(
         weights = model.weights(slice(None)).astype(np.float32)
         yield pa.RecordBatch.from_pydict({"weights": pa.array([weights.tobytes()], pa.binary())})
 
-    return np.frombuffer(rows.mapInArrow(learn, "weights binary").first()["weights"], dtype=np.float32)
+    learned = rows.mapInArrow(learn, "weights binary").first()
+    return np.frombuffer(learned["weights"], dtype=np.float32) if learned else np.zeros(2**bits + 1, dtype=np.float32)
 
 
 def scorer(spark, weights: np.ndarray):

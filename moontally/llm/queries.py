@@ -20,6 +20,7 @@ from . import (
     source_mixing,
 )
 from .common import table
+from .oracle import ORACLE  # noqa: F401  the SQL of these queries
 
 #: Labelled rows a classifier learns from at most.
 TRAINING_ROWS = 12_000
@@ -126,4 +127,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_quotation_threads,
     )
 }
-ORACLE: dict[str, str] = {}
