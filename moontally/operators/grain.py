@@ -9,6 +9,8 @@ values, and runs its window over that.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
@@ -204,3 +206,42 @@ def month_position(months: DataFrame, key: str) -> DataFrame:
         "dense_rank": F.dense_rank().over(over_key.orderBy(MONTH)),
         "count_dense_rank": F.count(F.lit(1)).over(over_key),
     })
+
+
+def first_last(rows: DataFrame, key: str, order: str, columns: Mapping[str, str]) -> DataFrame:
+    """Per key: the value of each column in the first and in the last row by ``order``.
+
+    ``columns`` maps a column to the suffix of its results: ``first_<suffix>``, ``last_<suffix>``.
+    """
+    return rows.groupBy(key).agg(
+        *[F.min_by(name, order).alias(f"first_{suffix}") for name, suffix in columns.items()],
+        *[F.max_by(name, order).alias(f"last_{suffix}") for name, suffix in columns.items()],
+    )
+
+
+def distinct_so_far(months: DataFrame, key: str, values: Sequence[str], column: str, name: str) -> DataFrame:
+    """``name``: how many of the known ``values`` the array ``column`` held up to and including each month.
+
+    A running maximum per known value; nothing is collected.
+    """
+    so_far = Window.partitionBy(key).orderBy(MONTH)
+    seen = [F.max(F.array_contains(column, value).cast("int")).over(so_far) for value in values]
+    return months.withColumn(name, reduce(add, [F.coalesce(x, F.lit(0)) for x in seen]))
+
+
+def sums_where(months: DataFrame, key: str, sums: Mapping[str, Column]) -> DataFrame:
+    """Adds sums over all rows of the key, next to every row; conditions are part of the summed columns."""
+    over_key = Window.partitionBy(key)
+    return months.withColumns({name: F.sum(value).over(over_key) for name, value in sums.items()})
+
+
+def first_last_over(months: DataFrame, key: str, columns: Mapping[str, tuple[str, bool, bool]]) -> DataFrame:
+    """Adds values of the key's first or last month next to every row.
+
+    ``columns`` maps a result to (column, whether the last, whether unknown values are passed over).
+    """
+    whole = Window.partitionBy(key).orderBy(MONTH).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return months.withColumns({
+        name: (F.last if last else F.first)(column, ignorenulls=known).over(whole)
+        for name, (column, last, known) in columns.items()
+    })

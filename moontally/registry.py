@@ -8,6 +8,7 @@ results can be compared by value.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
@@ -30,6 +31,8 @@ from moontally.sources.star import AS_OF, EVENTS_MONTH, ORDERS_MONTH, StarSource
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
+# Contract types of the source.
+CONTRACT_TYPES = ("N", "P")
 EVENTS_SPAN = (EVENTS_MONTH - 1, EVENTS_MONTH)
 EVENT_GROUPS = (
     "CDR", "Recharge", "DomesticTravel", "PackagePurchaseExtras", "PackagePurchase", "BankInfo",
@@ -101,7 +104,9 @@ def arpu_months(source: StarSource) -> DataFrame:
     accounts = arpu.rows(source, job_for("Arpu"), 2)
     return accounts.groupBy("fake_msisdn", MONTH).agg(
         *[F.sum(r).alias(r) for r in ("voice_revenue", "gprs_revenue", "sms_revenue")],
-        F.collect_set("contract_type").alias("contract_types"),
+        F.array_compact(
+            F.array(*[F.max(F.when(F.col("contract_type") == t, t)) for t in CONTRACT_TYPES])
+        ).alias("contract_types"),
         F.min_by("site_type", F.struct("date", "site_type")).alias("first_site"),
         F.max_by("site_type", F.struct("date", "site_type")).alias("last_site"),
         F.min_by("site_type", F.when(F.col("site_type").isNotNull(), F.struct("date", "site_type"))).alias(
@@ -157,9 +162,20 @@ def features(source: StarSource, name: str) -> DataFrame:
 # Scans and sinks.
 
 
+def written_folder(source: StarSource) -> str:
+    """Where queries that write and read again do so: in the session's shared folder.
+
+    Only a local session without one gets a temporary folder.
+    """
+    base = source.spark.conf.get("spark.checkpoint.dir", None)
+    if not base and source.spark.sparkContext.master.startswith("local"):
+        base = tempfile.mkdtemp(prefix="moontally-")
+    return sinks.fresh_folder(base)
+
+
 @query
 def scan_months(source: StarSource) -> DataFrame:
-    base = sinks.shared_folder(source.spark)
+    base = written_folder(source)
     written = snapshots.SnapshotSource(source.spark, base)
     for month in EVENTS_SPAN:
         source.scan_months("cdr", month, month).write.parquet(written.path("cdr", month))
@@ -185,7 +201,7 @@ def time_range_filter(source: StarSource) -> DataFrame:
 
 @query
 def scan_droplist(source: StarSource) -> DataFrame:
-    path = sinks.shared_folder(source.spark)
+    path = written_folder(source)
     droplist.drop_list(*part_months(source)).write.parquet(path)
     return snapshots.scan_droplist(source.spark, path)
 
@@ -201,7 +217,7 @@ def distinct_rows(source: StarSource) -> DataFrame:
 
 
 def _written_recharge(source: StarSource, write: Callable[[DataFrame, str], None]) -> DataFrame:
-    path = sinks.shared_folder(source.spark)
+    path = written_folder(source)
     frame = features(source, "Recharge")
     write(frame, path)
     return source.spark.read.schema(frame.schema).parquet(path)
@@ -214,7 +230,7 @@ def sink_parquet_features(source: StarSource) -> DataFrame:
 
 @query
 def sink_table_append(source: StarSource) -> DataFrame:
-    group, job, path = GROUPS["Recharge"], job_for("Recharge"), sinks.shared_folder(source.spark)
+    group, job, path = GROUPS["Recharge"], job_for("Recharge"), written_folder(source)
     contract = group_contract(group, job)
     sinks.sink_table_append(features(source, "Recharge"), path, contract, EVENTS_MONTH)
     return sinks.read_feature_table(source.spark, path, contract, EVENTS_MONTH)
@@ -440,12 +456,7 @@ _some("agg_set_size", "HandsetPrice", "total_unique_handsets", "total_unique_bra
 @query
 def agg_first_last(source: StarSource) -> DataFrame:
     accounts = all_orders(source, "post_paid", postpaid.COLUMNS)
-    return accounts.groupBy("fake_msisdn").agg(
-        F.min_by("credit_limit", "date").alias("first_limit"),
-        F.max_by("credit_limit", "date").alias("last_limit"),
-        F.min_by("last_status", "date").alias("first_status"),
-        F.max_by("last_status", "date").alias("last_status"),
-    )
+    return grain.first_last(accounts, "fake_msisdn", "date", {"credit_limit": "limit", "last_status": "status"})
 
 
 @query
@@ -525,48 +536,41 @@ def win_set_size(source: StarSource) -> DataFrame:
 @query
 def win_distinct_list(source: StarSource) -> DataFrame:
     """Contract types seen up to and including each month."""
-    so_far = Window.partitionBy("fake_msisdn").orderBy(MONTH)
-    types = F.flatten(F.collect_list("contract_types").over(so_far))
-    return arpu_months(source).select("fake_msisdn", MONTH, F.size(F.array_distinct(types)).alias("contract_type_count"))
+    counted = grain.distinct_so_far(
+        arpu_months(source), "fake_msisdn", CONTRACT_TYPES, "contract_types", "contract_type_count"
+    )
+    return counted.select("fake_msisdn", MONTH, "contract_type_count")
 
 
 @query
 def win_sum_conditional(source: StarSource) -> DataFrame:
     """Revenue of the latest and of the previous month next to every month."""
-    over_key = Window.partitionBy("fake_msisdn")
-    at, n = F.col("dense_rank"), F.col("count_dense_rank")
-    latest, before = at == n, (at == 1) & (n > 1)
-    return grain.month_position(arpu_months(source), "fake_msisdn").select(
-        "fake_msisdn",
-        MONTH,
-        F.sum(F.when(latest, F.col("sms_revenue"))).over(over_key).alias("sms_latest"),
-        F.sum(F.when(before, F.col("sms_revenue")).otherwise(0.0)).over(over_key).alias("sms_before"),
-    )
+    at, n, revenue = F.col("dense_rank"), F.col("count_dense_rank"), F.col("sms_revenue")
+    sums = {
+        "sms_latest": F.when(at == n, revenue),
+        "sms_before": F.when((at == 1) & (n > 1), revenue).otherwise(0.0),
+    }
+    months = grain.month_position(arpu_months(source), "fake_msisdn")
+    return grain.sums_where(months, "fake_msisdn", sums).select("fake_msisdn", MONTH, *sums)
 
 
 @query
 def win_first_last(source: StarSource) -> DataFrame:
     """First and last site type of a key, with and without unknown ones."""
-    over_key = (
-        Window.partitionBy("fake_msisdn")
-        .orderBy(MONTH)
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
-    return arpu_months(source).select(
-        "fake_msisdn",
-        MONTH,
-        F.first("first_site").over(over_key).alias("first_site"),
-        F.last("last_site").over(over_key).alias("last_site"),
-        F.first("first_known_site", ignorenulls=True).over(over_key).alias("first_known_site"),
-        F.last("last_known_site", ignorenulls=True).over(over_key).alias("last_known_site"),
-    )
+    columns = {
+        "first_site": ("first_site", False, False),
+        "last_site": ("last_site", True, False),
+        "first_known_site": ("first_known_site", False, True),
+        "last_known_site": ("last_known_site", True, True),
+    }
+    return grain.first_last_over(arpu_months(source), "fake_msisdn", columns).select("fake_msisdn", MONTH, *columns)
 
 
 def _travel_days(source: StarSource) -> DataFrame:
     """Per key and day: trips, and the key's total over both months."""
     trips = rows.distinct_rows(snapshots.read_table(source, "domestic_travel", *EVENTS_SPAN).drop("date_key"))
     days = trips.groupBy("fake_msisdn", "date").agg(F.sum("sum_travel").alias("sum_travel"))
-    return days.withColumn("total_travel", F.sum("sum_travel").over(Window.partitionBy("fake_msisdn")))
+    return grain.sums_where(days, "fake_msisdn", {"total_travel": F.col("sum_travel")})
 
 
 @query

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping
 
@@ -71,14 +70,8 @@ def read_feature_table(
     return reader.schema(schema).load(path).where(F.col(MONTH) == month).drop(MONTH)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
-
-    Only a local session without that setting falls back to a temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+def fresh_folder(base: str | None) -> str:
+    """A new folder below ``base``, which all executors share."""
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="moontally-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/moontally-{uuid.uuid4().hex}"
