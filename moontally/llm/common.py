@@ -29,6 +29,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def small_batches(spark: SparkSession, most: str = "8m") -> None:
+    """Texts go to Python in batches of about ``most``, unless the session has a size of its own.
+
+    A session setting: batches of 64 MB, the default, fill a small executor's memory several times over.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":  # the default
+        spark.conf.set(name, most)
+
+
 def stash(frame: DataFrame) -> DataFrame:
     """The rows as a table written to the shared folder: lineage ends here and is not run again."""
     spark = frame.sparkSession

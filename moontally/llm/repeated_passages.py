@@ -36,11 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as K
-from .common import stash
+from .common import small_batches, stash
 
 WINDOW = 50
 ANCHOR = 8
-SHARD_WORDS = 200_000
+SHARD_WORDS = 20_000
 _ODD = 0xD6E8FEB86659FD93
 
 
@@ -205,7 +205,7 @@ def piece_texts(docs: DataFrame, first: DataFrame, window: int) -> DataFrame:
     """Adds to pieces (key, digest, doc_id, tag, start, n) their words, joined by spaces."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     wanted = first.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("key", "digest", "start", "n")).alias("_wanted"))
-    joined = docs.withColumn("tag", F.xxhash64(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "tag"]).join(wanted, ["doc_id", "tag"])
+    joined = docs.withColumn("tag", F.xxhash64(F.coalesce("text", F.lit("")))).join(wanted, ["doc_id", "tag"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -292,6 +292,7 @@ def old_spans(docs: DataFrame, window: int, shard_words: int) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, doc_id: str, text: str, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every row; kept is the words left, joined by one space."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     known = docs.where("doc_id is not null")
