@@ -9,14 +9,14 @@ from __future__ import annotations
 TARGET_PARTITION_BYTES = 128 << 20
 
 
-def conf_for(input_bytes: int) -> dict[str, str]:
-    """Settings for a job that reads ``input_bytes`` in all.
+def conf_for(input_bytes: int, least: int = 200) -> dict[str, str]:
+    """Settings for a job that reads ``input_bytes`` in all; ``least`` reduce partitions to start from.
 
     Adaptive execution starts from enough reduce partitions that none outgrows its
     target size and merges the small ones of later, collapsed stages.  It also decides
     every broadcast from measured sizes and splits skewed join partitions.
     """
-    partitions = max(200, -(-input_bytes // TARGET_PARTITION_BYTES))
+    partitions = max(least, -(-input_bytes // TARGET_PARTITION_BYTES))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -64,10 +64,11 @@ def wide_by_grouping(tables: Mapping[str, DataFrame]) -> DataFrame:
     most one row per table, so no group is larger than the number of tables, and the id
     spine is the grouping itself.
     """
-    return _side_by_side({name: store_part(GROUPS[name], table) for name, table in tables.items()})
+    return side_by_side({name: store_part(GROUPS[name], table) for name, table in tables.items()})
 
 
-def _side_by_side(parts: Mapping[str, DataFrame]) -> DataFrame:
+def side_by_side(parts: Mapping[str, DataFrame]) -> DataFrame:
+    """Parts that share the id column, stacked and grouped once."""
     types = {name: T.StructType([f for f in part.schema.fields if f.name != ID]) for name, part in parts.items()}
     absent = {name: F.lit(None).cast(type_).alias(name) for name, type_ in types.items()}
     stacked = [
@@ -103,35 +104,64 @@ def raw_part(group: FeatureGroup, frame: DataFrame) -> DataFrame:
     return frame.selectExpr(f"{group.key} AS {ID}", *columns)
 
 
-def store_from_raw(sides: Sequence[tuple[Mapping[str, DataFrame], DataFrame]]) -> DataFrame:
-    """The wide table straight from raw features: (frames by group, keys to drop) per kind of key.
+Side = tuple[Mapping[str, DataFrame], DataFrame]
 
-    Each drop list is joined once, to the one-row-per-id frame of its groups.  A NULL of a
-    group and a key that the group does not have get the same default, so defaults are put
-    in once, at the end; those computed from a frame read the raw frame of their group.
-    """
-    frames, constants, queries = [], {}, {}
+
+def raw_defaults(sides: Sequence[Side]) -> tuple[dict[str, float], dict[str, Column]]:
+    """Default per store column; those computed from a frame read the raw frame of their group."""
+    constants, queries = {}, {}
     for raw, dropped in sides:
-        parts = {name: raw_part(GROUPS[name], frame) for name, frame in raw.items()}
-        frames.append(anti_join_droplist(_side_by_side(parts), dropped, ID))
-        for name, part in parts.items():
+        for name, frame in raw.items():
             own = {column: f.default_for(w.months) for w, f, column in GROUPS[name].columns(_ANY_MONTH)}
             for store_name, column in store_columns(GROUPS[name]).items():
                 default = own.get(column)
                 if callable(default):
-                    kept = anti_join_droplist(part, dropped, ID)
+                    kept = anti_join_droplist(raw_part(GROUPS[name], frame), dropped, ID)
                     queries[store_name] = kept.agg(default(F.col(quoted(store_name)))).scalar()
                 elif default is not None:
                     constants[store_name] = default
-    wide = reduce(lambda a, b: a.join(b, ID, "full_outer"), frames)
+    return constants, queries
+
+
+def wide_from_raw(
+    sides: Sequence[Side], wide: Callable[[Mapping[str, DataFrame]], DataFrame], filled: bool = False
+) -> DataFrame:
+    """Raw features of all groups side by side: (frames by group, keys to drop) per kind of key.
+
+    Each drop list is joined once, to the one-row-per-id frame ``wide`` makes of its groups.
+    ``filled`` puts defaults where a group has the key, as its feature table does.
+    """
+    frames, (constants, queries) = [], raw_defaults(sides) if filled else ({}, {})
+    for raw, dropped in sides:
+        parts = {name: raw_part(GROUPS[name], frame) for name, frame in raw.items()}
+        if filled:
+            parts = {
+                name: store_coalesce(part, constants, {c: q for c, q in queries.items() if c in part.columns})
+                for name, part in parts.items()
+            }
+        frames.append(anti_join_droplist(wide(parts), dropped, ID))
     names = [name for group in GROUPS if any(group in raw for raw, _ in sides) for name in store_columns(GROUPS[group])]
-    return store_coalesce(wide, constants, queries).select(ID, *[quoted(name) for name in names])
+    return reduce(lambda a, b: a.join(b, ID, "full_outer"), frames).select(ID, *[quoted(name) for name in names])
+
+
+def store_from_raw(sides: Sequence[Side], wide: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None) -> DataFrame:
+    """The wide table straight from raw features.
+
+    A NULL of a group and a key that the group does not have get the same default, so
+    defaults are put in once, at the end.
+    """
+    return store_coalesce(wide_from_raw(sides, wide or side_by_side), *raw_defaults(sides))
 
 
 def wide_by_joins(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The same through the id spine and one left join per table."""
-    parts = [(store_part(GROUPS[name], table), ID) for name, table in tables.items()]
-    return store_left_joins(id_spine(parts, ID), parts, ID)
+    return joined({name: store_part(GROUPS[name], table) for name, table in tables.items()})
+
+
+def joined(parts: Mapping[str, DataFrame]) -> DataFrame:
+    """Parts that share the id column, by left joins from the spine of their ids."""
+    tables = [(part, ID) for part in parts.values()]
+    return store_left_joins(id_spine(tables, ID), tables, ID)
 
 
 def feature_store(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -135,19 +135,6 @@ def typed(source: StarSource, group: FeatureGroup, frame: DataFrame) -> DataFram
     return conform(frame, group_contract(replace(group, extra_columns=()), job_for(group.name)))
 
 
-def _tables(source: StarSource, *names: str) -> dict[str, DataFrame]:
-    """Feature tables; groups of one side share their drop list."""
-    dropped = {
-        side: changed(source)
-        for side, changed in ((True, dropped_users), (False, dropped_customers))
-        if side in {name in EVENT_GROUPS for name in names}
-    }
-    return {
-        name: pipeline.build_features(GROUPS[name], source, job_for(name), dropped[name in EVENT_GROUPS])
-        for name in names
-    }
-
-
 def _raw_sides(source: StarSource) -> list[tuple[dict[str, DataFrame], DataFrame]]:
     """Raw features of the groups over users and over customers, each with its drop list."""
     users = {name: raw(source, group) for name, group in GROUPS.items() if name in EVENT_GROUPS}
@@ -156,7 +143,8 @@ def _raw_sides(source: StarSource) -> list[tuple[dict[str, DataFrame], DataFrame
 
 
 def features(source: StarSource, name: str) -> DataFrame:
-    return _tables(source, name)[name]
+    dropped = dropped_users(source) if name in EVENT_GROUPS else dropped_customers(source)
+    return pipeline.build_features(GROUPS[name], source, job_for(name), dropped)
 
 
 # Scans and sinks.
@@ -695,13 +683,12 @@ def id_spine(source: StarSource) -> DataFrame:
 
 @query
 def store_left_joins(source: StarSource) -> DataFrame:
-    return store.wide_by_joins(_tables(source, *GROUPS))
+    return store.wide_from_raw(_raw_sides(source), store.joined, filled=True)
 
 
 @query
 def store_coalesce(source: StarSource) -> DataFrame:
-    tables = _tables(source, *GROUPS)
-    return joins.store_coalesce(store.wide_by_joins(tables), *store.store_defaults(tables))
+    return store.store_from_raw(_raw_sides(source), store.joined)
 
 
 @query

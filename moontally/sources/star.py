@@ -27,14 +27,16 @@ SENDERS = (
 )
 # Brands by (user_id + k) mod 7; the last one is missing.
 BRANDS = ("SAMSUNG", "XIAOMI", "HUAWEI", "APPLE", "Other", "Nokia", None)
-# Services by k mod 8; the last one depends on the event.
+# Services of the source, by k mod 8; the last one depends on the event.
 SERVICES = ("Recharge Money", "DATA_BOLTON", "EREFILL", "DATA_BUYABLE", "BillPayment", "Pay Bill", "TDD_BOLTON")
+# Purchase systems of the source.
 SYSTEMS = ("BUNDLE_PURCHASE", "DIRECT_PURCHASE", "INDIRECT_PURCHASE")
-# Site types by k mod 16 of a day's largest k.
+# Site types of the source, by k mod 16 of a day's largest k.
 SITES = (
     "Airport", "Industrial Area", "Island", "Oil Platform", "Port", "Touristic Area", "USO", "University",
     "Road", "Village", "Small City", "Capital City", "Main City", "Middle City", "Desert", None,
 )
+# Account statuses of the source.
 STATUSES = ("ACTIVE", "ERASED", "HARD", "OTHER", "READY TO ACTIVATE SOFT", "READY TO ACTIVE", "SOFT")
 PACKAGE_UNITS = (" GB", "MB", "", " gb plus")
 

@@ -24,6 +24,7 @@ def pick(values: tuple, position: str) -> str:
     return f"[{items}][CAST({position} AS INTEGER) + 1]"
 
 
+# Names of the source, in the order in which the test views deal them out.
 SENDERS = (
     "Bank Mellat", "TEJARAT-BANK", "V.Mellat", "bank.melli", "Pasargad!",
     "Shop 24", "Keshavarzi & Refah", "SINA", "Mellat Iz", None,
@@ -37,6 +38,7 @@ SITES = (
 )
 STATUSES = ("ACTIVE", "ERASED", "HARD", "OTHER", "READY TO ACTIVATE SOFT", "READY TO ACTIVE", "SOFT")
 UNITS = (" GB", "MB", "", " gb plus")
+# The bank vocabulary.
 BANKS = (
     "mellat", "tejarat", "keshavarzi", "refah", "melli", "pasargad", "maskan",
     "resalat", "ayandeh", "parsian", "enbank", "sina", "iz",
