@@ -40,7 +40,7 @@ from .common import small_batches, stash
 
 WINDOW = 50
 ANCHOR = 8
-SHARD_WORDS = 20_000
+SHARD_WORDS = 1_000_000
 _ODD = 0xD6E8FEB86659FD93
 
 
@@ -177,10 +177,11 @@ def shard_matches(rows: list[tuple], window: int) -> Iterator[tuple[int, int, in
             for _, before in waiting:
                 automaton.add(before)
             waiting = []
-        waiting.append((doc, words))
-        if len(automaton.next) > 1:
-            for start, stop in spans_of(automaton.matches(words, window), window):
-                yield i, start, stop
+        ends = automaton.matches(words, window) if len(automaton.next) > 1 else []
+        if len(ends) <= len(words) - window:  # else each of its windows is known
+            waiting.append((doc, words))
+        for start, stop in spans_of(ends, window):
+            yield i, start, stop
 
 
 def piece_table(docs: DataFrame, window: int) -> DataFrame:
