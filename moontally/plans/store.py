@@ -70,15 +70,13 @@ def wide_by_grouping(tables: Mapping[str, DataFrame]) -> DataFrame:
 def side_by_side(parts: Mapping[str, DataFrame]) -> DataFrame:
     """Parts that share the id column, stacked and grouped once."""
     types = {name: T.StructType([f for f in part.schema.fields if f.name != ID]) for name, part in parts.items()}
-    absent = {name: F.lit(None).cast(type_).alias(name) for name, type_ in types.items()}
+    full, absent = {}, {}
+    for name, type_ in types.items():
+        fields = ", ".join(f"{quoted(f.name)}: {f.dataType.simpleString()}" for f in type_.fields)
+        full[name] = f"struct({', '.join(quoted(f.name) for f in type_.fields)}) AS {name}"
+        absent[name] = f"CAST(NULL AS STRUCT<{fields}>) AS {name}"
     stacked = [
-        part.select(
-            ID,
-            *[
-                F.struct(*[quoted(f.name) for f in types[name].fields]).alias(name) if other == name else absent[other]
-                for other in parts
-            ],
-        )
+        part.selectExpr(ID, *[full[name] if other == name else absent[other] for other in parts])
         for name, part in parts.items()
     ]
     one_row = (
