@@ -121,7 +121,7 @@ def test_bank_scores_use_hash_aggregation(spark):
     assert "SortAggregate" not in text
 
 
-@pytest.mark.parametrize(("name", "exchanges"), [("HandsetPrice", 3), ("Package", 3)])
+@pytest.mark.parametrize(("name", "exchanges"), [("HandsetPrice", 3)])
 def test_one_shuffle_by_key_serves_windows_and_grouping(spark, name, exchanges):
     from moontally.registry import job_for, raw
 
