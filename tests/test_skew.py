@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from moontally.functions.calendar import month_span
-from moontally.plans.groups import GROUPS
+from moontally.operators import grain
+from moontally.plans.groups import GROUPS, bank_info
 from moontally.plans.pipeline import raw_features
 from moontally.registry import EVENT_GROUPS, job_for
 from moontally.sources.star import EVENTS_MONTH, ORDERS_MONTH
@@ -89,3 +90,23 @@ def test_tasks_stay_even(spark, tmp_path, name):
     assert reads
     fair = ROWS / PARTITIONS
     assert max(r[-1] for r in reads) < 2 * fair, [(r[len(r) // 2], r[-1]) for r in reads]
+
+
+def test_ranks_of_free_text_names_stay_even(spark, tmp_path):
+    """A hot key with about as many sender names as rows."""
+    names = hot_table(spark, "customer_person_type_bank_info", EVENTS_MONTH).withColumn(
+        "bank_name", F.concat(F.lit("Bank Mellat "), F.monotonically_increasing_id())
+    )
+    names.write.parquet(f"{tmp_path}/customer_person_type_bank_info")
+    source = HotSource(spark, str(tmp_path))
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        totals = grain.bank_month_totals(bank_info.rows(source, job_for("BankInfo"), 2), "fake_msisdn")
+        ranked = grain.month_ranks(totals, "fake_msisdn")
+        reads = shuffle_reads(spark, lambda: ranked.write.format("noop").mode("overwrite").save())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    # one join reads names and totals together
+    assert reads and max(r[-1] for r in reads) < 2.5 * ROWS / PARTITIONS, [(r[len(r) // 2], r[-1]) for r in reads]
