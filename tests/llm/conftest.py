@@ -1,18 +1,13 @@
 import pytest
 
+from edge_texts import EDGES
+
 
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"
 
 
-#: Texts at the edges: missing, empty, white space only, one word, repeated, long, other scripts.
-EDGES = [
-    None, "", " \n\t ", "one", "two words", "same text here", "same text here", "x" * 70_000, "a " * 5_000,
-    "é🙂 ﬁ Ａ \x00 end", "line\nline\nline", "▁ marker  twice ", " lead and trail ", "Of " * 400,
-]
-
-
 @pytest.fixture(scope="session")
 def edges(spark):
     """Edge texts with repeated rows, a null id, and columns named like those the operators make."""

@@ -41,6 +41,30 @@ def brute(text: str) -> list[tuple[int, int, str, int]]:
     return sorted(out)
 
 
+def added(text: str) -> list[tuple[int, int, str, int]]:
+    """Spans of the added kinds: a checksum or a context word confirms them; none overlaps a base span."""
+    base, out = brute(text), []
+    for rank, kind in enumerate(P.KINDS):
+        if kind.base:
+            continue
+        found = list(re.finditer(kind.pattern, text))
+        cuts = [0, *(x for m in found for x in m.span()), len(text)]
+        for i, m in enumerate(found):
+            before, after = text[cuts[2 * i] : m.start()][-P.CONTEXT :], text[m.end() : cuts[2 * i + 3]][: P.CONTEXT]
+            score = kind.score + 0.3 * bool(re.search(kind.context, f"{before}\n{after}".lower()))
+            code = m.group().replace(" ", "")
+            if kind.name == "iban":
+                number = int("".join(str(int(c, 36)) for c in code[4:] + code[:4]))
+                score = score if 15 <= len(code) <= 34 and number % 97 == 1 else 0
+            if score >= P.THRESHOLD and not any(a < m.end() and m.start() < b for a, _, _, b in base):
+                out.append((m.start(), rank, kind.name, m.end()))
+    return out
+
+
+def all_listed(text: str) -> str:
+    return ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in sorted(brute(text) + added(text)))
+
+
 def listed(text: str) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in brute(text))
 
@@ -66,6 +90,7 @@ def test_base_spans_equal_matches_found_one_by_one(frame):
     assert len(rows) == len(TEXTS) + 1
     for row in rows:
         assert row.base == listed(TEXTS[row.doc_id] or ""), TEXTS[row.doc_id][:80]
+        assert row.spans == all_listed(TEXTS[row.doc_id] or ""), TEXTS[row.doc_id][:80]
 
 
 def test_added_kinds_need_checksum_or_context(frame):
@@ -102,4 +127,5 @@ def test_query_on_the_whole_table(spark, sf_dir):
     for row in rows:
         wanted = brute(texts[row.doc_id] or "")
         assert row.base_sha256 == hashlib.sha256(listed(texts[row.doc_id] or "").encode()).hexdigest()
+        assert row.spans == all_listed(texts[row.doc_id] or "")
         assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == [sum(x[2] == k for x in wanted) for k in PATTERNS]

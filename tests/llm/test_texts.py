@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 
-from conftest import EDGES
+from edge_texts import EDGES
 from moontally.llm import piece_encoding, quality_classifier, quality_rules, queries, textkernel
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
