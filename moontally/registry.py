@@ -46,11 +46,14 @@ def job_for(name: str) -> FeatureJob:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to six digits, in double arithmetic: large values come through as they are."""
+    """Doubles to six digits, in double arithmetic: large values come through as they are.
+
+    The small shift takes the last bit of a sum off decimal ties.
+    """
 
     def digits(name: str, kind: str) -> str:
         column = rows.quoted(name)
-        return f"rint({column} * 1000000D) / 1000000D AS {column}" if kind == "double" else column
+        return f"rint({column} * 1000000D + 0.00001D) / 1000000D AS {column}" if kind == "double" else column
 
     return df.selectExpr(*[digits(name, kind) for name, kind in df.dtypes])
 

@@ -15,8 +15,8 @@ ALL_ORDERS = {
         FROM orders"""
 }
 CDR_COLUMNS = (
-    "bib_id, date, mi AS month_index, sms_count, voice_count, (round_even(CAST(call_duration AS DOUBLE) * 1000000, 0) / 1000000) AS call_duration,"
-    " (round_even(CAST(gprs_usage AS DOUBLE) * 1000000, 0) / 1000000) AS gprs_usage, (round_even(CAST(voice_session_cost AS DOUBLE) * 1000000, 0) / 1000000) AS voice_session_cost"
+    "bib_id, date, mi AS month_index, sms_count, voice_count, (round_even(CAST(call_duration AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000) AS call_duration,"
+    " (round_even(CAST(gprs_usage AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000) AS gprs_usage, (round_even(CAST(voice_session_cost AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000) AS voice_session_cost"
 )
 DAYS = """SELECT CAST(o_orderdate AS DATE) AS date FROM orders UNION SELECT CAST(l_shipdate AS DATE) FROM lineitem
     UNION SELECT CAST(ts AS DATE) FROM events"""
@@ -221,11 +221,11 @@ ORACLE = {
         WHERE fake_msisdn IS NOT NULL AND handset_brand IS NOT NULL"""
     ),
     "value_filters": with_views(
-        """SELECT fake_msisdn, service_type, cnt, (round_even(CAST(amount AS DOUBLE) * 1000000, 0) / 1000000) AS amount, source_system_cd, date,
+        """SELECT fake_msisdn, service_type, cnt, (round_even(CAST(amount AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000) AS amount, source_system_cd, date,
         mi AS month_index FROM purchase WHERE amount > 0 AND cnt > 0"""
     ),
     "na_fill": with_views(
-        """SELECT fake_msisdn, date, coalesce(age, 0) AS age, (round_even(CAST(coalesce(res_com_score, 0.0) AS DOUBLE) * 1000000, 0) / 1000000) AS res_com_score,
+        """SELECT fake_msisdn, date, coalesce(age, 0) AS age, (round_even(CAST(coalesce(res_com_score, 0.0) AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000) AS res_com_score,
         site_type FROM arpu"""
     ),
     "cast_cols": with_views("SELECT bib_id, loan_id, loan_amount FROM loan", ALL_ORDERS),
@@ -273,7 +273,7 @@ ORACLE = {
     "drop_list": owners("SELECT * FROM part_owner_drop"),
     "window_assign": with_views(
         f"""SELECT bib_id, date, CAST(t AS INTEGER) AS month_index, sms_count, voice_count,
-        (round_even(CAST(call_duration AS DOUBLE) * 1000000, 0) / 1000000) AS call_duration FROM cdr, (VALUES ({E - 1}), ({E})) AS targets(t)
+        (round_even(CAST(call_duration AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000) AS call_duration FROM cdr, (VALUES ({E - 1}), ({E})) AS targets(t)
         WHERE mi > t - 2 AND mi <= t"""
     ),
     "pivot_features": indexed_pivot(),
@@ -300,8 +300,8 @@ ORACLE = {
     "agg_ratio": undropped("Recharge", "ratio_afternoon_recharge", "ratio_weekend_recharge"),
     "agg_set_size": undropped("HandsetPrice", "total_unique_handsets", "total_unique_brands", "brand_diversity_ratio"),
     "agg_first_last": with_views(
-        """SELECT fake_msisdn, (round_even(CAST(first(credit_limit ORDER BY date) AS DOUBLE) * 1000000, 0) / 1000000) AS first_limit,
-        (round_even(CAST(last(credit_limit ORDER BY date) AS DOUBLE) * 1000000, 0) / 1000000) AS last_limit, first(last_status ORDER BY date) AS first_status,
+        """SELECT fake_msisdn, (round_even(CAST(first(credit_limit ORDER BY date) AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000) AS first_limit,
+        (round_even(CAST(last(credit_limit ORDER BY date) AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000) AS last_limit, first(last_status ORDER BY date) AS first_status,
         last(last_status ORDER BY date) AS last_status FROM post_paid GROUP BY fake_msisdn""",
         ALL_ORDERS,
     ),
@@ -364,8 +364,8 @@ ORACLE = {
         "contract_type_count",
     ),
     "win_sum_conditional": arpu_at(
-        "(round_even(CAST(sum(CASE WHEN latest THEN sms_revenue END) OVER (PARTITION BY fake_msisdn) AS DOUBLE) * 1000000, 0) / 1000000) AS sms_latest,"
-        " (round_even(CAST(sum(CASE WHEN previous THEN sms_revenue ELSE 0 END) OVER (PARTITION BY fake_msisdn) AS DOUBLE) * 1000000, 0) / 1000000)",
+        "(round_even(CAST(sum(CASE WHEN latest THEN sms_revenue END) OVER (PARTITION BY fake_msisdn) AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000) AS sms_latest,"
+        " (round_even(CAST(sum(CASE WHEN previous THEN sms_revenue ELSE 0 END) OVER (PARTITION BY fake_msisdn) AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000)",
         "sms_before",
     ),
     "win_first_last": with_views(
@@ -385,18 +385,18 @@ ORACLE = {
         ALL_ORDERS,
     ),
     "data_mb": with_views(
-        f"SELECT bib_id, offering_name, (round_even(CAST({g.DATA_MB} AS DOUBLE) * 1000000, 0) / 1000000) AS data_mb FROM package", ALL_ORDERS
+        f"SELECT bib_id, offering_name, (round_even(CAST({g.DATA_MB} AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000) AS data_mb FROM package", ALL_ORDERS
     ),
     "vocab_match": with_views(
         f"SELECT fake_msisdn, date, bank_name, array_to_string({g.MATCHED}, ',') AS matched_banks FROM bank"
     ),
     "afternoon_flag": with_views(
-        """SELECT bib_id, strftime(recharge_dt, '%Y%m%d %H:%M:%S') AS recharge_dt, (round_even(CAST(amount AS DOUBLE) * 1000000, 0) / 1000000) AS recharge_value_amt,
+        """SELECT bib_id, strftime(recharge_dt, '%Y%m%d %H:%M:%S') AS recharge_dt, (round_even(CAST(amount AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000) AS recharge_value_amt,
         CAST(CASE WHEN amount > 0 AND hour(recharge_dt) > 15 THEN 1 ELSE 0 END AS INTEGER) AS afternoon FROM recharge"""
     ),
     "ratio_null_safe": with_views(
-        f"""SELECT fake_msisdn, date, (round_even(CAST({div('outstanding_balance', 'credit_limit + deposit_amt_n')} AS DOUBLE) * 1000000, 0) / 1000000)
-        AS credit_ratio, (round_even(CAST({div('deposit_amt_n', 'credit_limit')} AS DOUBLE) * 1000000, 0) / 1000000) AS deposit_to_credit_ratio FROM post_paid""",
+        f"""SELECT fake_msisdn, date, (round_even(CAST({div('outstanding_balance', 'credit_limit + deposit_amt_n')} AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000)
+        AS credit_ratio, (round_even(CAST({div('deposit_amt_n', 'credit_limit')} AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000) AS deposit_to_credit_ratio FROM post_paid""",
         ALL_ORDERS,
     ),
     "id_spine": spine(),
