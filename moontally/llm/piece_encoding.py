@@ -23,9 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as K
+from .common import small_batches
 
 #: Entries after which a task starts its table anew.
-TABLE_ENTRIES = 300_000
+TABLE_ENTRIES = 150_000
 #: Longer words are segmented where they stand and not kept.
 LONG_WORD = 256
 _MARK = "▁"
@@ -106,6 +107,7 @@ def encode(docs: DataFrame, doc_id: str, text: str, model: str) -> DataFrame:
         proto = file.read()
     if not pieces_stay_in_words(sentencepiece.SentencePieceProcessor(model_proto=proto)):
         raise ValueError("pieces of this model can cross whitespace markers")
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(proto)
     kind = docs.schema[doc_id].dataType.simpleString()
 

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as K
+from .common import small_batches
 
 SCALE = 30.0
 _NONE = np.uint64(0)
@@ -86,6 +87,7 @@ def train(
     Learning goes by the hash of the id ``order``. One task learns the rows as a stream; it holds the
     weights and one batch.
     """
+    small_batches(labelled.sparkSession)
     rows = labelled.where(F.col(text).isNotNull() & F.col(label).isin(0, 1))
     rows = rows.select(F.xxhash64(order).alias("_at"), F.col(order).alias("_id"), F.col(text).alias("_text"), F.col(label).cast("double").alias("_label"))
     rows = rows.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
@@ -108,6 +110,7 @@ def train(
 
 def scorer(spark, weights: np.ndarray):
     """A function from a text column to its scores, for use in tasks. The weights, whose size is set by ``bits``, are broadcast."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(weights)
     bits = int(np.log2(len(weights) - 1))
 

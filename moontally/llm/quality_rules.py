@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkernel as K
+from .common import small_batches
 
 LANGUAGES = ("de", "en", "es", "fr")
 COMMON_WORDS = 40
@@ -56,6 +57,7 @@ def references(docs: DataFrame, text: str, lang: str, languages: Sequence[str] =
     Every document of these languages counts. Tasks send the counts of the distinct words of a batch, which Spark adds
     up before and after the shuffle; the most common are limited in each task before they meet.
     """
+    small_batches(docs.sparkSession)
     names = list(languages)
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,6 +175,7 @@ COLUMNS = {
 def rules(docs: DataFrame, doc_id: str, text: str, lang: str, reference: DataFrame) -> DataFrame:
     """(doc_id, counts, distances, verdicts) of every row. The references, of declared languages and a set number of words, are
     sent to the tasks."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast([tuple(x) for x in reference.select("lang", "kind", "key", "n").collect()])
     kind = docs.schema[doc_id].dataType.simpleString()
 
