@@ -225,3 +225,31 @@ def test_passage_query_digests(spark, sf_dir):
     for doc, n_words, n_removed, kept in brute_removal(texts, 50):
         assert (got[doc].n_words, got[doc].n_removed) == (n_words, n_removed)
         assert got[doc].kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+
+
+def test_near_duplicate_stage_reaches_a_similarity_of_four_fifths(spark):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(8)
+    texts = []
+    for i in range(30):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 300)]
+        texts.append(words)
+        for edits in (1, 3, 6, 9, 12):
+            copy = list(words)
+            for at in rng.choice(300, edits, replace=False):
+                copy[at] = "edited"
+            texts.append(copy)
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)] + [(900, "a few words"), (901, "A few  words"), (902, ""), (903, None)]
+    rows += [(1000 + i, f"{rows[0][1]} tail{i}") for i in range(200)]
+    sets = {}
+    for i, text in rows:
+        words = (text or "").lower().split()
+        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+    ids = sorted(sets)
+    pairs = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    wide = sum((brute_fingerprint(rows[a][1]) ^ brute_fingerprint(rows[b][1])).bit_count() > 3 for a, b in pairs if b < len(texts))
+    assert wide > 20
+    docs = spark.createDataFrame([(i, text, "en", "s", len(text or "")) for i, text in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(joined(pairs, ids).values()))
