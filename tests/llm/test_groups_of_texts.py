@@ -253,3 +253,13 @@ def test_near_duplicate_stage_reaches_a_similarity_of_four_fifths(spark):
     docs = spark.createDataFrame([(i, text, "en", "s", len(text or "")) for i, text in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.near_duplicates(spark, docs, "")
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(joined(pairs, ids).values()))
+
+
+def test_near_duplicate_stage_keeps_texts_that_share_an_id(spark):
+    import corpus_pipeline
+
+    texts = [" ".join(f"{name}{i}" for i in range(40)) for name in "abc"]
+    rows = [(1, texts[0]), (5, texts[0]), (5, texts[1]), (5, texts[1]), (5, texts[2]), (7, texts[2])]
+    docs = spark.createDataFrame([(i, text, "en", "s", len(text)) for i, text in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, texts[0]), (5, texts[1]), (5, texts[2])]
