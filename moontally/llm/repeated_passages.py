@@ -9,7 +9,8 @@ shards that only meet the texts which can match them:
 * A window's key is the least hash of its runs of ``ANCHOR`` words. Equal windows have equal keys. A piece is a run of
   neighbouring windows with one key, given by its first window and their number.
 * Keys that occur in one document only are dropped after a count. What is left is brought together by key and content: of equal pieces the
-  earliest document keeps its own, and every later one is old throughout.
+  earliest document keeps its own, and every later one is old throughout. Other places of a piece in its earliest document
+  get the spans found for the first place.
 * The distinct pieces of a key are a reference shard. In the order of their earliest documents each is
   streamed through the suffix automaton of those before it, which gives the windows that match (length of
   match at least ``window``), and is then added to it.
@@ -229,34 +230,34 @@ def piece_texts(docs: DataFrame, first: DataFrame, window: int) -> DataFrame:
 
 
 def automaton_spans(shards: DataFrame, window: int) -> DataFrame:
-    """(doc_id, tag, start, stop): old spans of the earliest documents of pieces, by the automaton of their shard."""
+    """(key, digest, doc_id, tag, at, _from, _to): old spans within pieces (at: a piece's start) of their earliest documents, by the automaton of their shard."""
     kind = shards.schema["doc_id"].dataType.simpleString()
-    rows = shards.select("key", "doc_id", "tag", "start", "words").repartition("key").sortWithinPartitions("key", "doc_id", "start")
+    rows = shards.select("key", "doc_id", "tag", "start", "words", "digest").repartition("key").sortWithinPartitions("key", "doc_id", "start")
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list = []
 
         def shard() -> Iterator[tuple]:
             found = shard_matches([(x[1], x[4].split(b" ")) for x in rest], window)
-            return ((rest[i][1], rest[i][2], rest[i][3] + a, rest[i][3] + b) for i, a, b in found)
+            return ((rest[i][1], rest[i][0], rest[i][5], rest[i][2], rest[i][3], a, b) for i, a, b in found)
 
-        names = ["doc_id", "tag", "start", "stop"]
+        names = ["doc_id", "key", "digest", "tag", "at", "_from", "_to"]
         for batch in batches:
             out = []
-            columns = [batch.column(i) if i < 4 else batch.column(i).cast(pa.binary()) for i in range(5)]
+            columns = [batch.column(i).cast(pa.binary()) if i == 4 else batch.column(i) for i in range(6)]
             for row in zip(*(x.to_pylist() for x in columns)):
                 if rest and rest[0][0] != row[0]:
                     out += shard()
                     rest = []
                 rest.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], batch.column(1).type if i == 0 else pa.int64()) for i in range(4)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], batch.column(1).type if i == 0 else pa.int64()) for i in range(7)], names=names)
         if rest:
             out = list(shard())
             ids = pa.array([x[0] for x in out])
             if out:
-                yield pa.RecordBatch.from_arrays([ids, *(pa.array([x[i] for x in out], pa.int64()) for i in (1, 2, 3))], names=names)
+                yield pa.RecordBatch.from_arrays([ids, *(pa.array([x[i] for x in out], pa.int64()) for i in range(1, 7))], names=names)
 
-    return rows.mapInArrow(matched, f"doc_id {kind}, tag long, start long, stop long")
+    return rows.mapInArrow(matched, f"doc_id {kind}, key long, digest long, tag long, at long, _from long, _to long")
 
 
 def window_spans(shards: DataFrame, window: int) -> DataFrame:
@@ -266,11 +267,11 @@ def window_spans(shards: DataFrame, window: int) -> DataFrame:
         F.sequence(F.lit(0), F.size(words) - window),
         lambda i: F.struct(i.alias("i"), F.md5(F.array_join(F.slice(words, i + 1, F.lit(window)), " ")).alias("w")),
     )
-    rows = shards.select("key", "doc_id", "tag", "start", F.explode(windows).alias("_x")).select("*", "_x.i", "_x.w").drop("_x")
+    rows = shards.select("key", "digest", "doc_id", "tag", "start", F.explode(windows).alias("_x")).select("*", "_x.i", "_x.w").drop("_x")
     least = rows.groupBy("key", "w").agg(F.min("doc_id").alias("_least"))
     old = rows.join(least, ["key", "w"]).where("_least < doc_id")
-    begin = F.col("start") + F.col("i")
-    return old.select("doc_id", "tag", begin.alias("start"), (begin + window).alias("stop"))
+    begin = F.col("i").cast("long")
+    return old.select("doc_id", "key", "digest", "tag", F.col("start").alias("at"), begin.alias("_from"), (begin + window).alias("_to"))
 
 
 def old_spans(docs: DataFrame, window: int, shard_words: int) -> DataFrame:
@@ -288,7 +289,14 @@ def old_spans(docs: DataFrame, window: int, shard_words: int) -> DataFrame:
     texts = stash(piece_texts(docs, mixed.drop("_pieces"), window).join(sizes, "key"))
     own = automaton_spans(texts.where(F.col("_words") <= shard_words), window)
     crowded = window_spans(texts.where(F.col("_words") > shard_words), window)
-    return copies.unionByName(own).unionByName(crowded)
+    found = stash(own.unionByName(crowded))
+    # what is old in a piece's first place is old in its other places under that document id
+    held = distinct.select("key", "digest", F.col("doc_id").alias("_first"), F.col("tag").alias("_tag"), F.col("start").alias("_at"))
+    places = met.join(held, ["key", "digest"]).where("doc_id = _first AND (tag != _tag OR start != _at)").drop("_first", "_tag", "_at")
+    again = places.join(found.select("key", "digest", "_from", "_to").distinct(), ["key", "digest"])
+    again = again.select("doc_id", "tag", (F.col("start") + F.col("_from")).alias("start"), (F.col("start") + F.col("_to")).alias("stop"))
+    found = found.select("doc_id", "tag", (F.col("at") + F.col("_from")).alias("start"), (F.col("at") + F.col("_to")).alias("stop"))
+    return copies.unionByName(found).unionByName(again)
 
 
 def remove_repeats(docs: DataFrame, doc_id: str, text: str, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:

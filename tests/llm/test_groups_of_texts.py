@@ -263,3 +263,17 @@ def test_near_duplicate_stage_keeps_texts_that_share_an_id(spark):
     docs = spark.createDataFrame([(i, text, "en", "s", len(text)) for i, text in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
     assert sorted((r.doc_id, r.text) for r in kept) == [(1, texts[0]), (5, texts[1]), (5, texts[2])]
+
+
+@pytest.mark.parametrize("shard_words", [20_000, 0])
+def test_passages_that_a_document_repeats(spark, shard_words):
+    rng = np.random.default_rng(12)
+    rows = []
+    for i in range(12):
+        block = [f"b{i}x{rng.integers(1000)}" for _ in range(40)]
+        rows.append((2 * i, " ".join([f"early{i}", *block[8:34], f"end{i}"])))
+        rows.append((2 * i + 1, " ".join([*block, f"m{i}", *block, "n", *block])))
+        rows.append((2 * i + 1, " ".join(["other", "text", *block])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = repeated_passages.remove_repeats(frame, "doc_id", "text", window=9, shard_words=shard_words)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_removal(rows, 9)
