@@ -1,9 +1,9 @@
 """Chat formatting by quotation linking: nested quotes are parsed, linked to what they quote, and taken out.
 
 A line's quote level is the number of > marks it starts with. Neighbouring lines of one level form a passage. A passage, a
-message's body (its lines of level 0), and the body's paragraphs and lines are normalised (lower case, white space
-collapsed) and hashed. Within a conversation a passage links to its original: the earliest message that holds it
-unquoted, if that is before the quoting one. A message replies to the original of its passage of the
+message's body (its lines of level 0), and the paragraphs, lines and sentences of both are normalised (lower case, white space
+collapsed) and hashed. Within a conversation a passage links to its original: the earliest message that holds it, or else the longest of
+its parts that any holds (of equal lengths the latest message), unquoted, if that is before the quoting one. A message replies to the original of its passage of the
 lowest level; of several, to the latest. Following replies leads to the root of a thread. Conversations are ordered by thread
 (the turn of its root), then by turn, so a reply comes after what it answers.
 
@@ -37,8 +37,16 @@ def body(text: Column) -> Column:
     return F.when(text.rlike(QUOTED), F.regexp_replace(F.array_join(own, "\n"), r"^\s+|\s+$", "")).otherwise(text)
 
 
+def parts(text: Column) -> Column:
+    """The normalised forms of a text: as a whole, its paragraphs, lines, and the sentences of these."""
+    blocks = F.concat(F.array(text), F.split(text, r"\n[ \t]*\n"), F.split(text, "\n"))
+    blocks = F.array_distinct(F.transform(blocks, normal))
+    sentences = F.flatten(F.transform(blocks, lambda x: F.split(x, r"(?<=[.!?]) |(?<=[。！？]) ?")))
+    return F.filter(F.array_distinct(F.concat(blocks, sentences)), lambda x: x != "")
+
+
 def passages(messages: DataFrame) -> DataFrame:
-    """(conv, turn, level, hash) of the quoted passages of messages (conv, turn, text)."""
+    """(conv, turn, level, passage, length, hash) of the parts of the quoted passages of messages (conv, turn, text)."""
     quoted = messages.where(F.col("text").rlike(QUOTED)).dropDuplicates(["conv", "turn", "text"])
     quoted = quoted.withColumn("_id", F.md5("text"))
     lines = quoted.select("conv", "turn", "_id", F.posexplode(F.split("text", "\n")).alias("_i", "_line"))
@@ -47,15 +55,14 @@ def passages(messages: DataFrame) -> DataFrame:
     inside = Window.partitionBy("conv", "turn", "_id", "level").orderBy("_i")
     lines = lines.withColumn("_run", F.col("_i") - F.row_number().over(inside)).where("level > 0")
     found = lines.groupBy("conv", "turn", "_id", "level", "_run").agg(F.sort_array(F.collect_list(F.struct("_i", "_line"))).alias("_lines"))
-    text = normal(F.array_join(F.transform("_lines", lambda x: x["_line"]), " "))
-    return found.select("conv", "turn", "level", text.alias("_text")).where("_text != ''").select("conv", "turn", "level", F.md5("_text").alias("hash"))
+    text = F.array_join(F.transform("_lines", lambda x: x["_line"]), "\n")
+    found = found.select("conv", "turn", "level", F.struct("_id", "_run").alias("passage"), F.explode(parts(text)).alias("_text"))
+    return found.select("conv", "turn", "level", "passage", F.length("_text").alias("length"), F.md5("_text").alias("hash"))
 
 
 def originals(messages: DataFrame) -> DataFrame:
-    """(conv, hash, original): the earliest turn whose body holds a text as a whole, as a paragraph or as a line."""
-    own = body(F.col("text"))
-    parts = F.concat(F.array(own), F.split(own, r"\n[ \t]*\n"), F.split(own, "\n"))
-    keys = F.array_distinct(F.transform(F.filter(F.transform(parts, normal), lambda x: x != ""), F.md5))
+    """(conv, hash, original): the earliest turn whose body holds a text as a whole, as a paragraph, a line or a sentence."""
+    keys = F.transform(parts(body(F.col("text"))), F.md5)
     rows = messages.where("text is not null and turn is not null").select("conv", "turn", F.explode(keys).alias("hash"))
     return rows.groupBy("conv", "hash").agg(F.min("turn").alias("original"))
 
@@ -63,6 +70,8 @@ def originals(messages: DataFrame) -> DataFrame:
 def replies(messages: DataFrame) -> DataFrame:
     """(conv, turn, parent) of the messages that quote an earlier one of their conversation."""
     met = passages(messages).join(originals(messages), ["conv", "hash"]).where("original < turn")
+    met = met.groupBy("conv", "turn", "level", "passage").agg(F.max(F.struct("length", "original")).alias("_longest"))
+    met = met.select("conv", "turn", "level", F.col("_longest.original").alias("original"))
     nearest = met.groupBy("conv", "turn").agg(F.max(F.struct((-F.col("level")).alias("level"), "original")).alias("_best"))
     return nearest.select("conv", "turn", F.col("_best.original").alias("parent"))
 

@@ -167,3 +167,19 @@ def test_near_duplicate_stage_keeps_rows_without_an_id(spark, edges):
     kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
     ids = [r.doc_id for r in kept]
     assert ids.count(None) == 1 and len(ids) == len(set(ids)) and 5 in ids and 6 not in ids
+
+
+def test_partial_quotes_link_to_their_originals(spark):
+    rows = [
+        (1, 0, "First line\nsecond line\nthird line"),
+        (1, 1, "One paragraph here.\n\nAnother one.\n\nA last one."),
+        (1, 2, "This is it. Is it not? It is so."),
+        (1, 3, "> second line\n> third line\nYes"),
+        (1, 4, "> One paragraph here.\n>\n> Another one.\nNo"),
+        (1, 5, "> Is it not?\nMaybe"),
+        (1, 6, "> third line\n> This is it. Is it not?\nThe longest part decides"),
+        (1, 7, "> unknown words\nNothing"),
+    ]
+    frame = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    got = {r.turn: r.parent for r in quotation_threads.conversations(frame, "conv_id", "turn", "role", "text").collect()}
+    assert got == {0: None, 1: None, 2: None, 3: 0, 4: 1, 5: 2, 6: 2, 7: None}
