@@ -55,6 +55,30 @@ SELECT e.vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, e.vec_i
 FROM embeddings e LEFT JOIN roots USING (vec_id) LEFT JOIN counts USING (vec_id)
 """
 
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_TERMS = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+#: Every term of every document with its score, summed over the items' terms.
+SKETCH_SEARCH = f"""
+WITH split AS (SELECT row_number() OVER () AS d, doc_id, {_TERMS} AS ws FROM documents),
+docs AS (SELECT d, doc_id, ws, len(ws) AS n FROM split WHERE len(ws) > 0),
+totals AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM docs),
+postings AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(ws) AS term FROM docs) GROUP BY d, term),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(nn) + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM postings, totals GROUP BY term),
+wanted AS (
+    SELECT i, item_id, term, count(*) AS times
+    FROM (SELECT row_number() OVER () AS i, item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+scores AS (
+    SELECT i, item_id, d, doc_id,
+        CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll)))) AS BIGINT) AS score
+    FROM wanted JOIN weights USING (term) JOIN postings USING (term) JOIN docs USING (d), totals GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 20
+"""
+
 _QUOTED = "(?m)^[ \\t]*>"
 _NORMAL = "trim(regexp_replace(lower({}), '\\s+', ' ', 'g'))"
 
@@ -97,4 +121,5 @@ ORACLE = {
     "op4_repeated_passages": REPEATED_PASSAGES,
     "op9_embedding_links": EMBEDDING_LINKS,
     "op10_quotation_threads": QUOTATION_THREADS,
+    "op11_sketch_search": SKETCH_SEARCH,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     balanced_shards,
+    cost_packing,
     embedding_links,
     personal_data,
     piece_encoding,
@@ -17,6 +18,7 @@ from . import (
     quotation_threads,
     repeated_passages,
     simhash_links,
+    sketch_search,
     source_mixing,
 )
 from .common import table
@@ -112,6 +114,21 @@ def op10_quotation_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotation_threads.conversations(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
 
 
+def op11_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch_search.search(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
+
+
+#: The id that ends a packed document.
+END = 2
+
+
+def op12_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    rows = cost_packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), END)
+    return rows.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -125,5 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash_links,
         op9_embedding_links,
         op10_quotation_threads,
+        op11_sketch_search,
+        op12_cost_packing,
     )
 }

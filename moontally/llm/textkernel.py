@@ -101,3 +101,26 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     for i in long:
         out[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes())
     return mix(out)
+
+
+#: Lower-cases A-Z and leaves other bytes as they are.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def matches(texts: pa.Array, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Like ``words``, lower-cased, for the maximal runs of bytes for which ``inside`` (256 truth values) holds.
+
+    All bytes of a character outside ASCII must be inside or all outside.
+    """
+    data, cuts = raw(texts)
+    data = LOWER[data]
+    edge = np.zeros(len(data) + 1, dtype=bool)
+    solid = inside[data]
+    edge[cuts] = True
+    if len(data):
+        edge[1:-1] |= solid[1:] != solid[:-1]
+    places = np.flatnonzero(edge)
+    kept = solid[places[:-1]] if len(places) > 1 else np.zeros(0, dtype=bool)
+    starts, ends = places[:-1][kept], places[1:][kept]
+    return data, starts, ends, np.searchsorted(starts, cuts)
