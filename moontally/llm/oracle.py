@@ -79,6 +79,32 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_
 FROM scores WHERE score > 0 QUALIFY rank <= 20
 """
 
+#: Every run of one to four words of every piece.
+PHRASE_MINING = f"""
+WITH texts AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, {_LOWER.format('text')} AS t FROM documents),
+pieces AS (SELECT d, lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM texts),
+split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+runs AS (
+    SELECT lang, k, ws[i:i + k - 1] AS ids
+    FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM split, (SELECT unnest([1, 2, 3, 4]) AS k))),
+counts AS (SELECT lang, k, ids, count(*) AS f FROM runs GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, ids, f AS a FROM counts WHERE k > 1 AND f >= 30),
+cuts AS (
+    SELECT c.lang, c.ids, a, cut, l.f AS l, r.f AS r, CAST((2000000 * CAST(a AS HUGEINT)) // (l.f + r.f) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+    JOIN counts l ON l.lang = c.lang AND l.ids = c.ids[1:cut] JOIN counts r ON r.lang = c.lang AND r.ids = c.ids[cut + 1:c.k]),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, ids ORDER BY score, cut) = 1),
+inside AS (
+    SELECT lang, ids[i:i + m - 1] AS ids, max(a) AS most
+    FROM (SELECT lang, ids, a, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM candidates)) GROUP BY ALL),
+kept AS (
+    SELECT lowest.*, array_to_string(lowest.ids, ' ') AS phrase FROM lowest LEFT JOIN inside USING (lang, ids)
+    WHERE most IS NULL OR 100 * CAST(most AS HUGEINT) < 80 * CAST(a AS HUGEINT)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept QUALIFY rank <= 2000)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang)
+"""
+
 _QUOTED = "(?m)^[ \\t]*>"
 _NORMAL = "trim(regexp_replace(lower({}), '\\s+', ' ', 'g'))"
 
@@ -122,4 +148,5 @@ ORACLE = {
     "op9_embedding_links": EMBEDDING_LINKS,
     "op10_quotation_threads": QUOTATION_THREADS,
     "op11_sketch_search": SKETCH_SEARCH,
+    "op13_phrase_mining": PHRASE_MINING,
 }

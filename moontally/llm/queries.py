@@ -12,6 +12,7 @@ from . import (
     cost_packing,
     embedding_links,
     personal_data,
+    phrase_mining,
     piece_encoding,
     quality_classifier,
     quality_rules,
@@ -129,6 +130,10 @@ def op12_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.phrases(table(spark, sf_dir, "documents"), "text", "lang")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -144,5 +149,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_quotation_threads,
         op11_sketch_search,
         op12_cost_packing,
+        op13_phrase_mining,
     )
 }
