@@ -61,18 +61,18 @@ def shingle_hashes(text: bytes) -> list[int]:
     return [digest(joined[a : b - 1], 42) for a, b in zip(starts, ends[SHINGLE - 1 :])]
 
 
+def majority(hashes: np.ndarray) -> np.uint64:
+    """The bits that are set in over half of the 64-bit hashes."""
+    counts = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        part = np.asarray(hashes[at : at + (1 << 16)], dtype="<u8").view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0]
+
+
 def fingerprints(texts: list[bytes]) -> np.ndarray:
     """Signed 64-bit fingerprints: a bit is set if it is set in over half of a text's shingle hashes."""
-    hashes = [shingle_hashes(text) for text in texts]
-    out = np.zeros(len(texts), dtype=np.uint64)
-    for i, own in enumerate(hashes):
-        counts = np.zeros(64, dtype=np.int64)
-        for at in range(0, len(own), 1 << 16):
-            part = np.array(own[at : at + (1 << 16)], dtype="<u8").view(np.uint8).reshape(-1, 8)
-            counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        if own:
-            out[i] = np.packbits(2 * counts > len(own), bitorder="little").view("<u8")[0]
-    return out.view(np.int64)
+    return np.array([majority(np.array(shingle_hashes(text), dtype="<u8")) for text in texts], dtype=np.uint64).view(np.int64)
 
 
 def mark(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -106,20 +106,23 @@ def grid_masks() -> list[int]:
     return [signed(sum(groups[g] for g in choice)) for choice in combinations(range(GROUPS), GROUPS - BITS)]
 
 
-def trees(marks: np.ndarray, points: np.ndarray) -> list[tuple[int, int]]:
-    """Links that join the members of one cell that are within reach of each other, a tree for each part."""
+def trees(marks: np.ndarray, points: np.ndarray, bits: int = BITS, names: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that join the members of one cell that are within reach of each other, a tree for each part.
+
+    Members are called by their fingerprints or ``names``.
+    """
     values, bars = marks.view(np.uint64), points.view(np.uint64)
+    names = marks if names is None else names
     left = np.arange(len(values))
     out = []
     while len(left):
-        seen, edge, left = [left[0]], [left[0]], left[1:]
+        edge, left = [left[0]], left[1:]
         while edge and len(left):
             at = edge.pop()
-            near = np.flatnonzero(np.bitwise_count(bars[left] ^ bars[at]) <= BITS)
-            near = near[np.bitwise_count(values[left[near]] ^ values[at]) <= BITS]
+            near = np.flatnonzero(np.bitwise_count(bars[left] ^ bars[at]) <= bits)
+            near = near[np.bitwise_count(values[left[near]] ^ values[at]) <= bits]
             found = left[near]
-            out += [(int(marks[at]), int(marks[x])) for x in found]
-            seen += found.tolist()
+            out += [(int(names[at]), int(names[x])) for x in found]
             edge += found.tolist()
             left = np.delete(left, near)
     return out

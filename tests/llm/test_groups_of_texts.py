@@ -1,6 +1,7 @@
 """Operators that compare texts and vectors: passages, fingerprints, embeddings, shards."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -9,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from moontally.llm import balanced_shards, common, components, embedding_links, queries, repeated_passages, simhash_links
+from moontally.llm import balanced_shards, common, components, embedding_links, queries, repeated_passages, shingle_links, simhash_links
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -166,6 +167,25 @@ def test_embeddings_equal_all_pairs(spark):
     assert embedding_links.near_duplicates(frame.where("vec_id > 1000"), "vec_id", "embedding").count() == 0
 
 
+@pytest.mark.parametrize("tile", [8192, 5])
+def test_embeddings_of_extreme_sizes_and_equal_ids(spark, tile):
+    rng = np.random.default_rng(8)
+    rows = [(i, (np.eye(8)[i % 4] + 0.1 * rng.normal(size=8))) for i in range(40)]
+    scaled = [(100 + i, rows[i][1] * scale) for i, scale in enumerate((1e-200, 5e-324 * 2**40, 1e200, 1e307, -1.0))]
+    twins = [(1, -rows[1][1]), (1, rows[2][1]), (1, rows[1][1])]
+    all_rows = [(n, i, v) for n, (i, v) in enumerate([*rows, *scaled, *twins])]
+    unit = {n: v / np.abs(v).max() for n, _, v in all_rows}
+    cos = lambda a, b: unit[a] @ unit[b] / (np.linalg.norm(unit[a]) * np.linalg.norm(unit[b]))
+    pairs = [(a, b) for a in unit for b in unit if a < b and cos(a, b) >= 0.9]
+    root = joined(pairs, unit)
+    least = {r: min(i for n, i, _ in all_rows if root[n] == r) for r in set(root.values())}
+    links = Counter(x for pair in pairs for x in pair)
+    frame = spark.createDataFrame([(i, v.tolist()) for _, i, v in all_rows], "vec_id long, embedding array<double>")
+    got = embedding_links.near_duplicates(frame, "vec_id", "embedding", tile=tile).collect()
+    assert Counter((r.vec_id, r.n_links, r.component_id) for r in got) == Counter((i, links[n], least[root[n]]) for n, i, _ in all_rows)
+    assert len(pairs) > 150
+
+
 @pytest.mark.parametrize("hot", [0, 1 / 3])
 def test_shards_are_even_and_keep_links(spark, hot):
     rows = [(i, f"t{i // 3}" if i % 2 else None, i) for i in range(1203)]
@@ -277,3 +297,58 @@ def test_passages_that_a_document_repeats(spark, shard_words):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = repeated_passages.remove_repeats(frame, "doc_id", "text", window=9, shard_words=shard_words)
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_removal(rows, 9)
+
+
+def five_words(text):
+    words = [w.lower() for w in (text or "").encode().split()]
+    return set(zip(*(words[i:] for i in range(5)))) if len(words) >= 5 else {tuple(words)}
+
+
+def five_word_links(texts):
+    """Pairs of ids whose texts' five-word shingles have a Jaccard similarity of 0.8 or more."""
+    sets = {i: five_words(text) for i, text in texts.items()}
+    return [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+
+
+def near_copies():
+    """Texts around the similarity, of few and many shingles, with copies in other case and spacing."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(400)]
+    texts = {}
+    for size in (1, 3, 5, 9, 12, 30, 54, 60, 90, 300):
+        base = [rng.choice(words) for _ in range(size)]
+        for changes in (0, 0, 1, 1, 2, 3, 5):
+            own = list(base)
+            for _ in range(changes):
+                own[rng.randrange(size)] = rng.choice(words)
+            texts[len(texts)] = " ".join(own)
+        texts[len(texts)] = "  ".join(base).upper()
+        texts[len(texts)] = " ".join(base[: max(1, size * 5 // 6)])
+    return texts | {len(texts): "", len(texts) + 1: None, len(texts) + 2: " \n"}
+
+
+@pytest.mark.parametrize("tile, cell", [(1 << 20, 4096), (150, 4096), (1 << 20, 3)])
+def test_shingle_links_equal_all_pairs(spark, monkeypatch, tile, cell):
+    monkeypatch.setattr(shingle_links, "CELL", cell)
+    texts = near_copies()
+    docs = spark.createDataFrame([*texts.items(), (0, texts[0])], "doc_id long, text string")
+    rows = shingle_links.near_duplicates(docs, "doc_id", "text", tile=tile).collect()
+    root = joined(five_word_links(texts), sorted(texts))
+    assert len(rows) == len(texts) + 1
+    assert {r.doc_id: r.component_id for r in rows} == root and len(set(root.values())) < 0.6 * len(texts)
+
+
+def test_shingle_links_of_edge_texts(spark, edges, none):
+    rows = shingle_links.near_duplicates(edges, "doc_id", "text").collect()
+    assert len(rows) == edges.count()
+    of = {r.doc_id: r.component_id for r in rows}
+    assert of[0] == of[1] == of[2] == 0 and of[5] == of[6] == 5 and of[7] == 7 and of[8] == 8
+    assert shingle_links.near_duplicates(none, "doc_id", "text").count() == 0
+
+
+def test_shingle_sets_of_a_very_long_text():
+    import pyarrow as pa
+
+    long = " ".join(f"w{i % 9973}" for i in range(60_000))
+    (found,) = shingle_links.shingle_sets(pa.array([long]))
+    assert len(found) == len(five_words(long)) == 9973

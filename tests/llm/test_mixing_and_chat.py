@@ -128,12 +128,11 @@ def test_stages_one_document_at_a_time(spark, sf_dir, stages):
     accepted = {r.doc_id for r in queries.op1_quality_classifier(spark, sf_dir).where("predicted = 1").collect()}
     assert {r.doc_id for r in good.collect()} == accepted and good.count() == len(accepted) < docs.count()
 
-    from test_groups_of_texts import brute_fingerprint, joined
+    from test_groups_of_texts import five_word_links, joined
 
     good, single = stages[1]
-    marks = {r.doc_id: brute_fingerprint(r.text) for r in good.collect()}
-    ids = sorted(marks)
-    root = joined([(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if (marks[a] ^ marks[b]).bit_count() <= 3], ids)
+    texts = {r.doc_id: r.text for r in good.collect()}
+    root = joined(five_word_links(texts), sorted(texts))
     assert sorted(r.doc_id for r in single.collect()) == sorted(set(root.values())) and single.count() < good.count()
 
     single, clean = stages[2]
@@ -169,6 +168,17 @@ def test_near_duplicate_stage_keeps_rows_without_an_id(spark, edges):
     assert ids.count(None) == 1 and len(ids) == len(set(ids)) and 5 in ids and 6 not in ids
 
 
+def test_stages_on_clashing_names_and_empty_tables(spark, sf_dir, edges, none):
+    clash = edges.withColumnsRenamed({"tag": "_key", "_row": "_rank"})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, clash, sf_dir)
+        assert kept.columns == clash.columns, name
+        rows = kept.collect()
+        assert all((r["_key"], r["_rank"]) == (-1, "clash") for r in rows), name
+        assert stage(spark, none, sf_dir).count() == 0, name
+    assert corpus_pipeline.pieces(spark, none, sf_dir).count() == 0
+
+
 def test_partial_quotes_link_to_their_originals(spark):
     rows = [
         (1, 0, "First line\nsecond line\nthird line"),
