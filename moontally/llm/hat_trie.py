@@ -18,6 +18,7 @@ Rows = tuple[np.ndarray, np.ndarray]
 BURST = 1 << 16
 MOST = 1 << 21
 DEPTH = 3
+_LAST = np.uint64(2**64 - 1)
 
 
 def merged(rows: np.ndarray, counts: np.ndarray) -> Rows:
@@ -79,23 +80,27 @@ class Branch:
                 self.split(i, depth)
 
     def split(self, i: int, depth: int) -> None:
+        """Splits a container: at its middle id, or around that id if it has half of the rows or more."""
         rows, counts = self.children[i].all()
         ids = rows[:, self.place]
         middle = ids[len(ids) // 2]
-        a, b = np.searchsorted(ids, middle), np.searchsorted(ids, middle, side="right")
-        if b - a < len(ids) // 2:
-            cuts, lows = [0, a or b, len(ids)], [self.lows[i], middle if a else ids[b]]
-        elif self.place + 1 < min(depth, rows.shape[1]):
-            cuts, lows = [0, a, b, len(ids)], [self.lows[i], middle, middle + np.uint64(1)]
-            if middle == np.uint64(2**64 - 1):
-                cuts, lows = cuts[:-1], lows[:-1]
-        else:
+        a, b = (int(np.searchsorted(ids, middle, side=side)) for side in ("left", "right"))
+        heavy = b - a >= len(ids) // 2
+        if heavy and self.place + 1 >= min(depth, rows.shape[1]):
             return
-        children = [Container([(rows[x:y], counts[x:y])]) for x, y in zip(cuts, cuts[1:])]
-        if len(cuts) > 3 or len(lows) == 2 and b - a >= len(ids) // 2:
-            children[1] = Branch(self.place + 1, children[1])
-        if lows[0] == lows[1]:  # nothing can stand before the middle id
-            children, lows = children[1:], lows[1:]
+        cuts = [(0, a, self.lows[i]), (a, b if heavy else len(ids), middle)] if a else [(0, b, middle)]
+        if a and heavy or not a:
+            cuts.append((b, len(ids), middle + np.uint64(middle < _LAST)))
+        children = [Container([(rows[x:y], counts[x:y])]) for x, y, _ in cuts]
+        if heavy:
+            k = 1 if a else 0
+            children[k] = Branch(self.place + 1, children[k])
+            if middle == _LAST:  # no id stands behind it
+                children, cuts = children[:-1], cuts[:-1]
+        lows = [low for _, _, low in cuts]
+        lows[0] = self.lows[i] if not heavy or a else lows[0]
+        if lows[0] > self.lows[i]:
+            children, lows = [Container(), *children], [self.lows[i], *lows]
         self.children[i : i + 1] = children
         self.lows = np.concatenate([self.lows[:i], np.array(lows, dtype=np.uint64), self.lows[i + 1 :]])
 

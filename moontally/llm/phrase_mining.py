@@ -4,14 +4,15 @@ Texts are lower-cased (A-Z), split into pieces at marks and line ends, and piece
 Each task counts runs of words in a ``HatTrie`` per length, led by the language; subtrees that a task has no room for leave it as sorted
 runs, and so do all at its end. Runs are dealt by language and a prefix of up to three words, and each prefix partition is
 merged by a sum. A phrase cannot be more frequent than its parts, so lengths are counted in turn: words, pairs of frequent words,
-then runs of three and four words whose pairs are all frequent. What is frequent is handed to the next
+then runs of three and four words whose pairs are all frequent (a word counts as first of a pair only where a word of its
+piece follows). What is frequent is handed to the next
 pass as a bitmap of hashes of at most ``BITS`` bits (16 MB): a wrong bit costs work, never a count, since every length's counts are held
 against the least count again.
 
 A phrase of two to four words that occurs ``LEAST`` times is scored at each cut as ``2 * a / (l + r)`` in millionths, a its count, l and r those of its parts;
 the lowest cut counts. It goes if a longer candidate holds it and has 80 percent of its occurrences. Scores are exact
-(decimals of 38 digits). Only the phrases that can be among a language's first are given their words, from a table
-of the frequent words.
+(decimals of 38 digits). The words of the phrases that can be among a language's first are looked up in a last
+pass over the texts.
 
 Defined cases: a null text has no words, a null language is ``und``. Repeated rows, and rows with equal or null ids, count
 each time: ids are not read. Texts without words and empty tables give no phrases. Columns of the input other than those named are not read, whatever their names.
@@ -19,7 +20,7 @@ each time: ids are not read. Texts without words and empty tables give no phrase
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,6 @@ _BLANK = np.isin(np.arange(256), [0x20, 0x09])
 _BREAK = np.isin(np.arange(256), [*b".,;:!?", *range(0x0A, 0x0E)])
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 _IDS = [f"w{i + 1}" for i in range(LONGEST)]
-_RUN = f"lang string, {', '.join(f'{w} long' for w in _IDS)}, word string, n long"
 
 
 def pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -100,99 +100,122 @@ def bitmap(grams: DataFrame, width: int) -> Bitmap:
     return Bitmap(words)
 
 
-def as_batch(langs: list[str], rows: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    """Rows of (language number, ids...) as a batch of runs."""
-    places = pa.array(rows[:, 0].astype(np.int64))
-    ids = [pa.array(rows[:, i + 1].view(np.int64)) if i + 1 < rows.shape[1] else pa.nulls(len(rows), pa.int64()) for i in range(LONGEST)]
-    columns = [pa.array(langs, pa.string()).take(places), *ids, pa.nulls(len(rows), pa.string()), pa.array(counts)]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", *_IDS, "word", "n"])
+class Words:
+    """The words of some texts: hash of the language, id and piece of each. ``langs`` numbers languages and goes on growing."""
 
+    def __init__(self, names: list[str], texts: pa.Array, langs: dict[str, int]):
+        self.data, self.starts, self.ends, cuts, self.piece = pieces(texts)
+        self.ids = K.hashes(self.data, self.starts, self.ends)
+        numbers = np.array([langs.setdefault(x, len(langs)) for x in names], dtype=np.uint64)
+        hashes = np.array([lang_hash(x) for x in langs], dtype=np.uint64)
+        self.lang = np.repeat(numbers, np.diff(cuts))
+        self.own = hashes[self.lang.astype(np.int64)]
+        self.together = self.piece[1:] == self.piece[:-1]  # a word and the next one
 
-def counted(docs: DataFrame, widths: tuple[int, ...], known: Bitmap | None) -> DataFrame:
-    """Runs (lang, w1..., word, n) of docs (lang, text): counts of runs of ``widths`` words.
+    def rows(self, at: np.ndarray, width: int) -> np.ndarray:
+        """(language number, ids) of the runs of ``width`` words that begin at the places ``at``."""
+        return np.stack([self.lang[at], *(self.ids[at + i] for i in range(width))], axis=1)
 
-    Without ``known``, of all words, and a row without ids for the words of a language; with the bitmap of frequent words,
-    of pairs of them, and a row (word, w1) for each of the words; with the bitmap of pairs, of runs of such pairs.
-    """
+    def spelled(self, place: int) -> str:
+        return self.data[self.starts[place] : self.ends[place]].tobytes().decode()
+
+
+def single(words: Words, known: tuple) -> dict[int, np.ndarray]:
+    """Every word, with 1 if a word of its piece follows and 2 if one stands before."""
+    role = np.zeros(len(words.ids), dtype=np.uint64)
+    role[:-1] += words.together
+    role[1:] += np.uint64(2) * words.together
+    return {2: np.concatenate([words.rows(np.arange(len(role)), 1), role[:, None]], axis=1)}
+
+
+def paired(words: Words, known: tuple) -> dict[int, np.ndarray]:
+    """Pairs whose first word is followed, and whose second is preceded, often enough."""
+    first, second = (x.has(key(words.own, words.ids)) for x in known)
+    return {2: words.rows(np.flatnonzero(words.together & first[:-1] & second[1:]), 2)}
+
+
+def longer(words: Words, known: tuple) -> dict[int, np.ndarray]:
+    """Runs of three and four words whose pairs are all frequent."""
+    pairs = words.together & known[0].has(key(words.own[:-1], words.ids[:-1], words.ids[1:]))
+    out = {}
+    for width in range(3, LONGEST + 1):
+        good = np.logical_and.reduce([pairs[i : max(0, len(pairs) - width + 2) + i] for i in range(width - 1)])
+        out[width] = words.rows(np.flatnonzero(good), width)
+    return out
+
+
+def counted(docs: DataFrame, rows_of: Callable, known: tuple = (), width: int = LONGEST) -> DataFrame:
+    """Runs (lang, w1, ..., n), ``width`` ids at most, of what ``rows_of`` finds in docs (lang, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
+    names = ["lang", *_IDS[:width], "n"]
+
+    def batch_of(langs: list[str], rows: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        ids = [pa.array(rows[:, i + 1].view(np.int64)) if i + 1 < rows.shape[1] else pa.nulls(len(rows), pa.int64()) for i in range(width)]
+        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()).take(pa.array(rows[:, 0].astype(np.int64))), *ids, pa.array(counts)], names=names)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries = {width: HatTrie(width + 1) for width in widths}
+        tries: dict[int, HatTrie] = {}
         langs: dict[str, int] = {}
-        totals: list[int] = []
-        hashes = np.zeros(0, dtype=np.uint64)
-        words: dict[int, str] = {}
 
         def out(found: Iterator[Rows]) -> Iterator[pa.RecordBatch]:
-            names = list(langs)
             for rows, counts in found:
                 for a in range(0, len(rows), 1 << 15):
-                    yield as_batch(names, rows[a : a + (1 << 15)], counts[a : a + (1 << 15)])
+                    yield batch_of(list(langs), rows[a : a + (1 << 15)], counts[a : a + (1 << 15)])
 
         for batch in batches:
             for start, texts in K.slices(batch.column(1)):
-                names = [x or "" for x in batch.column(0).slice(start, len(texts)).to_pylist()]
-                new = [x for x in dict.fromkeys(names) if x not in langs]
-                for x in new:
-                    langs[x] = len(langs)
-                    totals.append(0)
-                hashes = np.append(hashes, np.array([lang_hash(x) for x in new], dtype=np.uint64))
-                data, starts, ends, cuts, piece = pieces(texts)
-                ids = K.hashes(data, starts, ends)
-                lang = np.repeat(np.array([langs[x] for x in names], dtype=np.uint64), np.diff(cuts))
-                own = hashes[lang.astype(np.int64)]
-                good = {}
-                if shared.value is None:
-                    totals = [a + b for a, b in zip(totals, np.bincount(lang.astype(np.int64), minlength=len(langs)).tolist())]
-                    good[1] = np.ones(len(ids), dtype=bool)
-                else:
-                    together = piece[1:] == piece[:-1]
-                    if 2 in widths:
-                        frequent = shared.value.has(key(own, ids))
-                        good[2] = together & frequent[1:] & frequent[:-1]
-                        distinct, first = np.unique(ids[frequent], return_index=True)
-                        places = np.flatnonzero(frequent)[first]
-                        for w, i in zip(distinct.tolist(), places.tolist()):
-                            if w not in words:
-                                words[w] = data[starts[i] : ends[i]].tobytes().decode()
-                    else:
-                        pairs = together & shared.value.has(key(own[:-1], ids[:-1], ids[1:]))
-                        for width in widths:
-                            good[width] = np.logical_and.reduce([pairs[i : len(pairs) - width + 2 + i] for i in range(width - 1)])
-                for width, at in good.items():
-                    at = np.flatnonzero(at)
-                    rows = np.stack([lang[at], *(ids[at + i] for i in range(width))], axis=1)
-                    yield from out(tries[width].add(rows))
+                words = Words(batch.column(0).slice(start, len(texts)).to_pylist(), texts, langs)
+                if len(words.ids):
+                    for k, rows in rows_of(words, shared.value).items():
+                        yield from out(tries.setdefault(k, HatTrie(rows.shape[1])).add(rows))
         for trie in tries.values():
             yield from out(trie.finish())
-        if shared.value is None and langs:
-            nothing = [pa.nulls(len(langs), pa.int64())] * LONGEST
-            yield pa.RecordBatch.from_arrays([pa.array(list(langs)), *nothing, pa.nulls(len(langs), pa.string()), pa.array(totals)], names=["lang", *_IDS, "word", "n"])
-        if words:
-            distinct = np.fromiter(words, np.uint64, len(words)).view(np.int64)
-            nothing = pa.nulls(len(words), pa.int64())
-            columns = [pa.nulls(len(words), pa.string()), pa.array(distinct), nothing, nothing, nothing, pa.array(list(words.values())), nothing]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", *_IDS, "word", "n"])
 
-    return docs.select("lang", "text").mapInArrow(runs, _RUN)
+    return docs.select("lang", "text").mapInArrow(runs, ", ".join(["lang string", *(f"{x} long" for x in names[1:])]))
+
+
+def dealt(runs: DataFrame, prefix: list[str]) -> DataFrame:
+    """The runs by language and prefix: a grouping by more columns merges each prefix partition where it is."""
+    return runs.repartition("lang", *prefix)
+
 
+def frequent(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """(grams (lang, ids, f) that occur ``least`` times, totals (lang, n))."""
+    role = F.when(F.col("w2") % 2 == 1, F.col("n")), F.when(F.col("w2") >= 2, F.col("n"))
+    words = dealt(counted(docs, single, width=2), ["w1"]).groupBy("lang", "w1")
+    words = words.agg(F.sum("n").alias("n"), *(F.coalesce(F.sum(x), F.lit(0)).alias(name) for x, name in zip(role, ("followed", "preceded"))))
+    # rare words count for the totals alone
+    id_or_rest = F.when(F.col("n") >= least, F.col("w1")).alias("w1")
+    words = stash(words.groupBy("lang", id_or_rest).agg(F.sum("n").alias("n"), F.sum("followed").alias("followed"), F.sum("preceded").alias("preceded")))
+    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    words = words.where("w1 is not null")
+    roles = tuple(bitmap(words.where(F.col(name) >= least), 1) for name in ("followed", "preceded"))
+    sums = dealt(counted(docs, paired, roles, 2), _IDS[:2]).groupBy("lang", *_IDS[:2]).agg(F.sum("n").alias("n"))
+    pairs = stash(sums.where(F.col("n") >= least))
+    sums = dealt(counted(docs, longer, (bitmap(pairs, 2),)), _IDS[:3]).groupBy("lang", *_IDS).agg(F.sum("n").alias("n"))
+    long_ones = stash(sums.where(F.col("n") >= least))
+    grams = words.select("lang", F.array("w1").alias("ids"), F.col("n").alias("f"))
+    grams = grams.unionByName(pairs.select("lang", F.array("w1", "w2").alias("ids"), F.col("n").alias("f")))
+    return grams.unionByName(long_ones.select("lang", F.array_compact(F.array(*_IDS)).alias("ids"), F.col("n").alias("f"))), totals
 
-def merged_runs(runs: DataFrame, least: int) -> DataFrame:
-    """Sums of equal runs that reach ``least``, and the rows of words and of whole languages."""
-    dealt = runs.repartition("lang", *_IDS[:3])
-    sums = dealt.groupBy("lang", *_IDS).agg(F.min("word").alias("word"), F.sum("n").alias("n"))
-    return stash(sums.where((F.col("n") >= least) | F.col("word").isNotNull() | F.col("w1").isNull()))
 
+def spelling(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, word) of the ids in ``wanted`` (lang, w1)."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, 1))
+
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        langs: dict[str, int] = {}
+        seen: dict[int, str] = {}
+        for batch in batches:
+            for start, texts in K.slices(batch.column(1)):
+                words = Words(batch.column(0).slice(start, len(texts)).to_pylist(), texts, langs)
+                places = np.flatnonzero(shared.value.has(key(words.own, words.ids)))
+                distinct, first = np.unique(words.ids[places], return_index=True)
+                seen.update((w, words.spelled(i)) for w, i in zip(distinct.tolist(), places[first].tolist()) if w not in seen)
+        yield pa.RecordBatch.from_arrays([pa.array(np.fromiter(seen, np.uint64, len(seen)).view(np.int64)), pa.array(list(seen.values()), pa.string())], names=["id", "word"])
 
-def frequent(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(grams (lang, ids, f) that occur ``least`` times, words (id, word), totals (lang, n))."""
-    words = merged_runs(counted(docs, (1,), None), least)
-    totals, words = words.where("w1 is null").select("lang", "n"), words.where("w1 is not null")
-    pairs = merged_runs(counted(docs, (2,), bitmap(words, 1)), least)
-    names, pairs = pairs.where("word is not null").select(F.col("w1").alias("id"), "word"), pairs.where("word is null")
-    longer = merged_runs(counted(docs, (3, 4), bitmap(pairs, 2)), least)
-    all_rows = words.unionByName(pairs).unionByName(longer)
-    return all_rows.select("lang", F.array_compact(F.array(*_IDS)).alias("ids"), F.col("n").alias("f")), names, totals
+    found = docs.select("lang", "text").mapInArrow(spelled, "id long, word string").distinct()
+    return found.join(wanted.select(F.col("w1").alias("id")).distinct(), "id", "left_semi")
 
 
 def part(ids: str, start: Column, length: Column) -> Column:
@@ -226,7 +249,7 @@ def phrases(docs: DataFrame, text: str, lang: str, least: int = LEAST, first: in
     """(lang, rank, phrase, a, l, r, n, score): each language's ``first`` phrases."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    grams, words, totals = frequent(docs, least)
+    grams, totals = frequent(docs, least)
     alone = scored(grams).join(held(grams), ["lang", "ids"], "left")
     wide = "cast({} as decimal(20, 0))"
     gone = F.expr(f"100 * {wide.format('most')} >= {HELD} * {wide.format('a')}")
@@ -234,7 +257,8 @@ def phrases(docs: DataFrame, text: str, lang: str, least: int = LEAST, first: in
     by_lang = Window.partitionBy("lang")
     order = [F.col("score").desc(), F.col("a").desc()]
     near = stash(alone.withColumn("rank", F.rank().over(by_lang.orderBy(*order))).where(F.col("rank") <= first).drop("rank"))
-    spelled = near.select("lang", "ids", F.posexplode("ids").alias("at", "id")).join(words, "id")
+    wanted = stash(near.select("lang", F.explode("ids").alias("w1")).distinct())
+    spelled = near.select("lang", "ids", F.posexplode("ids").alias("at", "id")).join(spelling(docs, wanted), "id")
     spelled = spelled.groupBy("lang", "ids").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("_words"))
     spelled = spelled.select("lang", "ids", F.array_join(F.col("_words.word"), " ").alias("phrase"))
     named = near.join(spelled, ["lang", "ids"]).withColumn("rank", F.row_number().over(by_lang.orderBy(*order, "phrase")))
