@@ -230,9 +230,11 @@ def search(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: s
     found = spark.createDataFrame([], "item long, doc_id long, score long")
     for k in range(batches):
         rows = split.where(F.pmod(F.xxhash64("item"), F.lit(batches)) == k).collect()  # about batch_terms
+        if not rows:
+            continue
         queries = Queries([r.item for r in rows], [np.array(r.hashes, dtype=np.int64).view(np.uint64) for r in rows])
         documents, length, holding = statistics(docs, queries)
-        if rows and length:
+        if length:
             queries.weigh(documents, length, holding)
             found = found.unionByName(best_of_tasks(docs, queries, top, width))
     order = [F.col("score").desc(), F.col("doc_id").asc_nulls_last()]
