@@ -6,7 +6,7 @@ below the threshold is not looked at again. The bound is itself a product (leadi
 suffix norm put on end), so a tile of pairs is bounded by one small matrix product. What remains after the last
 bound is compared on the given vectors in double precision.
 
-Equal vectors are one member with a count. Members are dealt into tiles by hash, and a task compares one pair of
+Equal vectors are one member, with a number and a count. Members are dealt into tiles by hash, and a task compares one pair of
 tiles, at most ``TILE`` members each on average. It gives out the number of links of each member and links that join linked
 members into trees, never all pairs. All pairs of tiles are compared, so the work grows with the square of the distinct vectors, divided by what the
 bounds save; the result is exact.
@@ -39,12 +39,14 @@ _SLACK = 1e-4
 
 
 def matrix(vectors: pa.Array, size: int) -> np.ndarray:
-    """Rows of doubles, continued with zeros to ``size``."""
+    """Rows of doubles, continued with zeros to ``size``, each times a power of two that brings its largest component near 1:
+    squares of very small or large components neither vanish nor overflow."""
     out = np.zeros((len(vectors), size))
     lengths = np.diff(vectors.offsets.to_numpy())
     values = vectors.flatten().to_numpy(zero_copy_only=False)
     out[np.arange(size) < lengths[:, None]] = values
-    return out
+    _, exponents = np.frexp(np.abs(out).max(axis=1, initial=0))
+    return np.ldexp(out, -exponents[:, None])
 
 
 def moments(members: DataFrame, size: int) -> np.ndarray:
@@ -98,7 +100,7 @@ def compare(left: pa.Table, right: pa.Table | None, basis: np.ndarray, threshold
     other = one if right is None else matrix(right["vector"].combine_chunks(), size)
     shift = 0 if right is None else len(one)
     tables = [left] if right is None else [left, right]
-    ids, counts = (np.concatenate([t[c].to_numpy() for t in tables]) for c in ("member", "n"))
+    ids, counts = (np.concatenate([t[c].to_numpy() for t in tables]) for c in ("number", "n"))
     links = np.zeros(len(ids), dtype=np.int64)
     part = np.arange(len(ids))
     trees = []
@@ -132,7 +134,7 @@ def near_duplicates(rows: DataFrame, vec_id: str, vector: str, threshold: float
     good = F.coalesce(F.col("vec_id").isNotNull() & finite & F.exists("vector", lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("vector", F.when(good, F.col("vector")))
     members = rows.where("vector is not null").groupBy("vector").agg(F.min("vec_id").alias("member"), F.count("*").alias("n"))
-    members = stash(members)
+    members = stash(members.withColumn("number", F.monotonically_increasing_id()))
     total, size = members.agg(F.count("*"), F.max(F.size("vector"))).first()
     if not total:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
@@ -140,10 +142,10 @@ def near_duplicates(rows: DataFrame, vec_id: str, vector: str, threshold: float
     shared = spark.sparkContext.broadcast(basis[:, np.argsort(-values)])
     tiles = max(LEAST_TILES, -(-total // tile))
 
-    own = F.pmod(F.xxhash64("member"), F.lit(tiles))
+    own = F.pmod(F.xxhash64("number"), F.lit(tiles))
     dealt = members.withColumn("tile", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
     dealt = dealt.select(
-        F.least("tile", "_other").alias("one"), F.greatest("tile", "_other").alias("other"), F.col("tile"), "member", "n",
+        F.least("tile", "_other").alias("one"), F.greatest("tile", "_other").alias("other"), F.col("tile"), "number", "n",
         F.col("vector").cast("array<float>" if exact_as_float(members) else "array<double>").alias("vector"),
     )
 
@@ -158,16 +160,16 @@ def near_duplicates(rows: DataFrame, vec_id: str, vector: str, threshold: float
         a = [*links.keys(), *(x for x, _ in trees)]
         b = [*(None for _ in links), *(x for _, x in trees)]
         n = [*links.values(), *(None for _ in trees)]
-        return pa.table({"member": pa.array(a, pa.int64()), "other": pa.array(b, pa.int64()), "links": pa.array(n, pa.int64())})
+        return pa.table({"number": pa.array(a, pa.int64()), "other": pa.array(b, pa.int64()), "links": pa.array(n, pa.int64())})
 
     keyed = dealt.groupBy("one", "other")
-    found = stash(keyed.applyInArrow(lambda key, x: compared(tuple(k.as_py() for k in key), x), "member long, other long, links long"))
-    links = found.where("links is not null").groupBy("member").agg(F.sum("links").alias("links"))
-    roots = components(found.where("other is not null"), "member", "other")
-    known = members.join(links, "member", "left").join(roots, F.col("member") == F.col("node"), "left")
-    known = known.select(
-        "vector", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "member").alias("component_id")
-    )
+    found = stash(keyed.applyInArrow(lambda key, x: compared(tuple(k.as_py() for k in key), x), "number long, other long, links long"))
+    links = found.where("links is not null").groupBy("number").agg(F.sum("links").alias("links"))
+    roots = components(found.where("other is not null"), "number", "other")
+    known = members.join(links, "number", "left").join(roots, F.col("number") == F.col("node"), "left")
+    known = known.withColumn("root", F.coalesce("root", "number"))
+    least = known.groupBy("root").agg(F.min("member").alias("component_id"))
+    known = known.join(least, "root").select("vector", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
     joined = rows.join(known, "vector", "left")
     component = F.coalesce("component_id", "vec_id")
     return joined.select(
