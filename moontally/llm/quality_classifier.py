@@ -119,9 +119,10 @@ def scorer(spark, weights: np.ndarray):
         out = [np.zeros(0)]
         for _, texts in K.slices(column):
             places, cuts = features(texts, bits)
-            sums = np.concatenate([[0.0], np.cumsum(table[places])])
-            n = np.maximum(np.diff(cuts), 1)
-            out.append(sigmoid((sums[cuts[1:]] - sums[cuts[:-1]]) * (SCALE / n) + table[-1]))
+            n = np.diff(cuts)
+            # each text is summed by itself, so its score does not depend on its neighbours
+            sums = np.add.reduceat(np.append(table[places], 0.0), cuts[:-1]) if len(n) else np.zeros(0)
+            out.append(sigmoid(np.where(n > 0, sums, 0.0) * (SCALE / np.maximum(n, 1)) + table[-1]))
         return np.concatenate(out)
 
     return scores

@@ -1,30 +1,34 @@
 """Quality rules: base counts, and distances of a text's histograms to those of its language.
 
-``references`` adds up, over all documents of each declared language, the histogram of
-character classes and the counts of all words, and keeps the most common words. ``rules`` compares
+``references`` adds up, over all documents of each language, the histogram of
+character classes and the counts of all words, and keeps the most common words. A language has a reference if its documents hold
+``REFERENCE_WORDS`` words; of more than ``LANGUAGES`` such languages, those with most words have one. ``rules`` compares
 a text with every reference and takes the nearest: the Jensen-Shannon distance (base 2, 0 to 1) of its character
 classes, and of its common words with one more place for all other words. Short texts have ragged
 histograms, so each comparison waits for a least length. Words are compared in lower case (A-Z only) by 64-bit
 hashes; equal 5-word windows of a text are found by 64-bit hashes, too.
 
-Defined cases: a null or empty text has no words and fails the base rules. Texts of a language that is known but not
-declared are not compared. Without references no text is compared. Repeated rows are judged one by one.
-Texts are read whole. Columns of the input other than the three named are not read, whatever their names.
+Defined cases: a null or empty text has no words and fails the base rules. A text is compared with all references, whatever
+its own language, which may be null or have none. Without references no text is compared. Repeated rows are judged one by one.
+Texts are read whole. Columns of the input other than those named are not read, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkernel as K
-from .common import small_batches
+from .common import small_batches, stash
 
-LANGUAGES = ("de", "en", "es", "fr")
+#: Words of a language from which it has a reference, and how many languages have one at most: what tasks are sent has a bound.
+REFERENCE_WORDS = 5_000
+LANGUAGES = 500
 COMMON_WORDS = 40
 #: Texts with fewer code points in words, or fewer words, are not compared.
 LEAST_CHARS, LEAST_WORDS = 200, 60
@@ -51,18 +55,18 @@ def class_counts(data: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return np.bincount(text * CLASSES + _CLASS[data[counted]], minlength=(len(cuts) - 1) * CLASSES).reshape(-1, CLASSES)
 
 
-def references(docs: DataFrame, text: str, lang: str, languages: Sequence[str] = LANGUAGES, common: int = COMMON_WORDS) -> DataFrame:
-    """(lang, kind, key, n): character classes (kind 0), common words (1) and all words (2) of each declared language.
+def references(docs: DataFrame, text: str, lang: str, least: int = REFERENCE_WORDS, common: int = COMMON_WORDS) -> DataFrame:
+    """(lang, kind, key, n): character classes (kind 0), common words (1) and all words (2) of each language with ``least`` words.
 
-    Every document of these languages counts. Tasks send the counts of the distinct words of a batch, which Spark adds
+    Every document of a language counts. Tasks send the counts of the distinct words of a batch, which Spark adds
     up before and after the shuffle; the most common are limited in each task before they meet.
     """
     small_batches(docs.sparkSession)
-    names = list(languages)
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of_batch = np.array([names.index(x) for x in batch.column(0).to_pylist()])
+            coded = pc.dictionary_encode(batch.column(0))
+            names, of_batch = coded.dictionary.to_pylist(), coded.indices.to_numpy()
             for start, texts in K.slices(batch.column(1), 8 << 20):
                 data, starts, ends, cuts = K.words(texts)
                 _, bounds = K.raw(texts)
@@ -80,10 +84,12 @@ def references(docs: DataFrame, text: str, lang: str, languages: Sequence[str] =
                         names=["lang", "kind", "key", "n"],
                     )
 
-    rows = docs.select(F.col(lang), F.col(text)).where(F.col(lang).isin(names) & F.col(text).isNotNull())
+    rows = docs.select(F.col(lang), F.col(text)).where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     sums = rows.mapInArrow(counts, "lang string, kind int, key long, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key"))
-    return sums.withColumn("_rank", rank).where(F.col("_rank") <= max(common, CLASSES)).drop("_rank")
+    few = stash(sums.withColumn("_rank", rank).where(F.col("_rank") <= max(common, CLASSES)).drop("_rank"))
+    enough = few.where((F.col("kind") == 2) & (F.col("n") >= least)).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    return few.join(enough.select("lang"), "lang", "left_semi")
 
 
 def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -172,8 +178,8 @@ COLUMNS = {
 }
 
 
-def rules(docs: DataFrame, doc_id: str, text: str, lang: str, reference: DataFrame) -> DataFrame:
-    """(doc_id, counts, distances, verdicts) of every row. The references, of declared languages and a set number of words, are
+def rules(docs: DataFrame, doc_id: str, text: str, reference: DataFrame) -> DataFrame:
+    """(doc_id, counts, distances, verdicts) of every row. The references, of a bounded number of languages and words, are
     sent to the tasks."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast([tuple(x) for x in reference.select("lang", "kind", "key", "n").collect()])
@@ -191,11 +197,10 @@ def rules(docs: DataFrame, doc_id: str, text: str, lang: str, reference: DataFra
                 repeats = repeated(K.hashes(data, starts, ends), cuts)
                 lines = [repeated_lines(x) if x else 0 for x in texts.to_pylist()]
                 by_class, by_word = judge.nearest(classes, K.hashes(_LOWER[data], starts, ends), cuts)
-                known = [x is None or x in judge.languages for x in batch.column(2).slice(start, len(texts)).to_pylist()]
                 failed = (n_words < 10) | (100 * repeats > 20 * n_words)
                 odd = beyond(by_class, chars, LEAST_CHARS, CHARS_LIMIT) | beyond(by_word, n_words, LEAST_WORDS, WORDS_LIMIT)
-                values = [n_words, chars, classes[:, 5], np.array(lines, np.int64), repeats, failed, by_class, by_word, ~failed & ~(odd & known)]
+                values = [n_words, chars, classes[:, 5], np.array(lines, np.int64), repeats, failed, by_class, by_word, ~failed & ~odd]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), *map(pa.array, values)], names=["doc_id", *COLUMNS])
 
     schema = f"doc_id {kind}, " + ", ".join(f"{name} {of}" for name, of in COLUMNS.items())
-    return docs.select(F.col(doc_id), F.col(text), F.col(lang)).mapInArrow(judged, schema)
+    return docs.select(F.col(doc_id), F.col(text)).mapInArrow(judged, schema)

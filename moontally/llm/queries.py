@@ -99,7 +99,7 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return quality_rules.rules(docs, "doc_id", "text", "lang", quality_rules.references(docs, "text", "lang"))
+    return quality_rules.rules(docs, "doc_id", "text", quality_rules.references(docs, "text", "lang"))
 
 
 def op8_simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -296,7 +296,8 @@ def old_spans(docs: DataFrame, window: int, shard_words: int) -> DataFrame:
     again = places.join(found.select("key", "digest", "_from", "_to").distinct(), ["key", "digest"])
     again = again.select("doc_id", "tag", (F.col("start") + F.col("_from")).alias("start"), (F.col("start") + F.col("_to")).alias("stop"))
     found = found.select("doc_id", "tag", (F.col("at") + F.col("_from")).alias("start"), (F.col("at") + F.col("_to")).alias("stop"))
-    return copies.unionByName(found).unionByName(again)
+    # repeated rows of a document find the same spans
+    return copies.unionByName(found).unionByName(again).distinct()
 
 
 def remove_repeats(docs: DataFrame, doc_id: str, text: str, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:

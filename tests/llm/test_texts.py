@@ -126,20 +126,20 @@ def test_base_rules_equal_counts_one_by_one(spark, sf_dir, edges, none):
     rows = queries.op7_quality_rules(spark, sf_dir).collect()
     assert len(rows) == len(texts)
     frame = spark.createDataFrame(reference, "lang string, kind int, key long, n long")
-    own = quality_rules.rules(edges, "doc_id", "text", "lang", frame).collect()
+    own = quality_rules.rules(edges, "doc_id", "text", frame).collect()
     assert len(own) == edges.count()
     pairs = [(r, texts[r.doc_id]) for r in rows]
     pairs += [(r, EDGES[r.doc_id] if r.doc_id is not None else "a null id") for r in own]
     for r, text in pairs:
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute_rules(text)
         assert not (r.base_failed and r.kept)
-    assert quality_rules.rules(none, "doc_id", "text", "lang", frame).count() == 0
+    assert quality_rules.rules(none, "doc_id", "text", frame).count() == 0
 
 
 def test_references_count_all_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    rows = quality_rules.references(docs, "text", "lang").collect()
-    for lang in quality_rules.LANGUAGES:
+    rows = quality_rules.references(docs, "text", "lang", least=1).collect()
+    for lang in ("de", "en", "es", "fr"):
         words = Counter()
         for r in docs.where(docs.lang == lang).collect():
             words.update(w.encode().lower() for w in WORD.findall(r.text or ""))
@@ -160,6 +160,28 @@ def test_distance_by_definition():
     assert got[1] == 0 and got[2] == pytest.approx(0, abs=1e-7)
 
 
+def test_a_fifth_language_has_its_own_reference(spark):
+    """Clean texts of a language that no other resembles stay; junk fails whether or not its language has a reference."""
+    rng = np.random.default_rng(5)
+    common = ["ja", "on", "ei", "se", "että", "niin", "kun", "mutta", "oli", "hän"]
+    rare = ["".join(rng.choice(list("aeioäyklmnprstv"), size=rng.integers(3, 9))) for _ in range(3000)]
+    clean = [" ".join(str(rng.choice(common if rng.random() < 0.5 else rare)) for _ in range(200)) for _ in range(60)]
+    junk = [" ".join("".join(rng.choice(list("0123456789#$%&=+"), size=8)) for _ in range(200)) for _ in range(5)]
+    rows = [(i, x, "fi") for i, x in enumerate(clean)] + [(100 + i, x, ("fi", "zz", None, "fi", "zz")[i]) for i, x in enumerate(junk)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    reference = quality_rules.references(docs, "text", "lang")
+    assert {r.lang for r in reference.collect()} == {"fi"}
+    kept = {r.doc_id for r in quality_rules.rules(docs, "doc_id", "text", reference).where("kept").collect()}
+    assert kept == set(range(60))
+
+
+def test_scores_do_not_depend_on_neighbours(spark):
+    weights = np.random.default_rng(2).normal(size=2**10 + 1).astype(np.float32)
+    texts = [f"word{i} " * (i % 7) + "end" for i in range(300)]
+    scores = quality_classifier.scorer(spark, weights)
+    assert [scores(pa.array([x]))[0] for x in texts] == scores(pa.array(texts)).tolist()
+
+
 def test_junk_fails_and_clean_texts_stay(spark):
     folder = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
