@@ -31,9 +31,9 @@ def regroup_by_prefix(df: DataFrame, key: str, columns: Sequence[str]) -> DataFr
     return df.groupBy(key).agg(*[rules.get(name[:4], F.min)(F.col(f"`{name}`")).alias(name) for name in columns])
 
 
-def agg_recovery_rollup(recoveries: DataFrame) -> DataFrame:
-    """Per loan: recovered sum and last recovery time."""
-    return recoveries.groupBy("loan_id").agg(
+def agg_recovery_rollup(recoveries: DataFrame, *by: str) -> DataFrame:
+    """Per loan (and the columns ``by``): recovered sum and last recovery time."""
+    return recoveries.groupBy("loan_id", *by).agg(
         F.sum("hsdp_recovery").alias("recovered_amt"), F.max("dt_sec_l").alias("recovered_time")
     )
 
@@ -210,11 +210,15 @@ def month_position(months: DataFrame, key: str) -> DataFrame:
 def first_last(rows: DataFrame, key: str, order: str, columns: Mapping[str, str]) -> DataFrame:
     """Per key: the value of each column in the first and in the last row by ``order``.
 
+    Rows of equal order go by the value itself, unknown values first, and rows without an order do not count, so how rows are dealt to tasks does not matter.
     ``columns`` maps a column to the suffix of its results: ``first_<suffix>``, ``last_<suffix>``.
     """
+    ends = {
+        suffix: F.when(F.col(order).isNotNull(), F.struct(order, F.col(name).alias("value"))) for name, suffix in columns.items()
+    }
     return rows.groupBy(key).agg(
-        *[F.min_by(name, order).alias(f"first_{suffix}") for name, suffix in columns.items()],
-        *[F.max_by(name, order).alias(f"last_{suffix}") for name, suffix in columns.items()],
+        *[F.min(end)["value"].alias(f"first_{suffix}") for suffix, end in ends.items()],
+        *[F.max(end)["value"].alias(f"last_{suffix}") for suffix, end in ends.items()],
     )
 
 

@@ -17,9 +17,9 @@ def anti_join_droplist(df: DataFrame, drop_list: DataFrame, key: str) -> DataFra
     return df.join(drop_list.select(F.col("key").alias(key)), key, "left_anti")
 
 
-def right_join_recovery(loans: DataFrame, recoveries: DataFrame) -> DataFrame:
-    """Loans with what was recovered on them; 0 recovered where nothing was."""
-    joined = loans.join(recoveries, "loan_id", "left")
+def right_join_recovery(loans: DataFrame, recoveries: DataFrame, *by: str) -> DataFrame:
+    """Loans with what was recovered on them (within the columns ``by``); 0 recovered where nothing was."""
+    joined = loans.join(recoveries, ["loan_id", *by], "left")
     return joined.withColumn("recovered_amt", F.coalesce("recovered_amt", F.lit(0.0)))
 
 

@@ -19,8 +19,6 @@ from moontally.sources.snapshots import read_table
 KEY = "fake_msisdn"
 # Gregorian days of the month that count as month end.
 MONTH_END_DAYS = (18, 19, 20, 21, 22)
-# Places for the messages of a sender beside its score.
-MESSAGES = 10**11
 
 
 def rows(source, job: FeatureJob, max_range: int) -> DataFrame:
@@ -78,12 +76,13 @@ def keyed(messages: DataFrame, windows: list[MonthWindow], span: tuple[int, int]
 
     per_month = [F.sum(f"{name}_{m}").alias(f"{name}_{m}") for name in ("rows", "sms", "end") for m in months]
     per_month += [F.bit_or(f"days_{m}").alias(f"days_{m}") for m in months]
-    best = {_best(w): scored_messages(F.col("score"), _over_months(w, "sms")) for w in windows}
+    best = {_best(w): F.struct("score", _over_months(w, "sms").alias("messages")) for w in windows}
     banks = {
         _banks(w): F.when(_over_months(w, "rows") > 0, F.call_function("shiftleft", F.lit(1), F.col("bank")))
         for w in windows
     }
     totals = [f"total_{t}" for t in targets]
+    # The best score with its messages: a maximum of both that tasks merge, whatever their size or sign.
     carried = [
         *[F.max(name).alias(name) for name in best],
         *[F.bit_or(name).alias(name) for name in banks],
@@ -93,20 +92,18 @@ def keyed(messages: DataFrame, windows: list[MonthWindow], span: tuple[int, int]
         .groupBy(KEY, *totals)
         .agg(*per_month, *carried, F.count(F.lit(1)).alias("senders"))
     )
-    tops = [
-        F.max_by(F.col("senders") * F.col(f"total_{t}"), F.col(f"total_{t}")).alias(f"top_{t}") for t in targets
-    ]
+    if len(targets) > 1:  # a total of one target is spread over the totals of the others
+        most = equal_totals.groupBy(KEY).agg(*[F.max(f"total_{t}").alias(f"most_{t}") for t in targets])
+        equal_totals = equal_totals.join(most, KEY)
+        carried += [F.max(f"most_{t}").alias(f"most_{t}") for t in targets]
+        sharing = [F.sum(F.when(F.col(f"total_{t}") == F.col(f"most_{t}"), F.col("senders"))) * F.max(f"most_{t}") for t in targets]
+    else:
+        sharing = [F.max_by(F.col("senders") * F.col(f"total_{t}"), F.col(f"total_{t}")) for t in targets]
+    tops = [column.alias(f"top_{t}") for column, t in zip(sharing, targets)]
     one_row = equal_totals.groupBy(KEY).agg(*per_month, *carried, *tops)
     return one_row.withColumns({present_name(w): _over_months(w, "rows") > 0 for w in windows})
 
 
-def scored_messages(score: Column, messages: Column) -> Column:
-    """Score and messages in one number, so that a plain maximum in hash aggregation keeps both."""
-    both = score.cast("decimal(26,0)") * F.lit(MESSAGES).cast("decimal(12,0)") + messages
-    fits = messages.between(0, MESSAGES - 1)
-    return F.when(fits, both).otherwise(F.raise_error(F.lit("messages of one sender outgrow their places"))).cast("decimal(38,0)")
-
-
 def _best(w: MonthWindow) -> str:
     return f"best_{w.target}_{w.months}"
 
@@ -127,7 +124,7 @@ def loyalty_one_month(w: MonthWindow) -> Column:
 
 def loyalty_all_months(w: MonthWindow) -> Column:
     """Messages of the bank with the best score over all; a tie takes the larger sender."""
-    return ratio(F.col(_best(w)) % MESSAGES, _over_months(w, "sms"))
+    return ratio(F.col(f"{_best(w)}.messages"), _over_months(w, "sms"))
 
 
 def per_day(days: int):
@@ -139,6 +136,7 @@ GROUP = FeatureGroup(
     table="customer_person_type_bank_info",
     key=KEY,
     rows=rows,
+    per_target=True,
     keyed=keyed,
     features=(
         Feature("bank_active_days_count", "bigint", active_days),

@@ -28,8 +28,9 @@ def scored_lines(source, job: FeatureJob, max_range: int) -> DataFrame:
 
 
 def rows(source, job: FeatureJob, max_range: int) -> DataFrame:
-    """Every instalment counts in every window: its month becomes the latest one."""
-    return const_overwrite(scored_lines(source, job, max_range), MONTH)
+    """Every instalment counts in every window: its month becomes the latest one, of several targets that of the target."""
+    lines = scored_lines(source, job, max_range)
+    return const_overwrite(lines, MONTH) if len(set(job.targets)) == 1 else lines
 
 
 def instalments(lines: DataFrame) -> DataFrame:
@@ -52,6 +53,10 @@ def classified(rolled: DataFrame) -> DataFrame:
 
 
 def grain(lines: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
+    if len(set(job.targets)) > 1:
+        target = F.col(f"{KEY}.target")
+        latest = lines.groupBy(target.alias("_target")).agg(F.max(MONTH).alias("_latest"))
+        lines = lines.join(latest, target == F.col("_target")).withColumn(MONTH, F.col("_latest")).drop("_target", "_latest")
     return classified(instalments(lines))
 
 
@@ -84,6 +89,7 @@ GROUP = FeatureGroup(
     table="credit_management",
     key=KEY,
     rows=rows,
+    per_target=True,
     grain=grain,
     features=(
         _class_days(3, 1, default=1),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moontally.functions.calendar import epoch_seconds, parse_ts
@@ -75,6 +77,7 @@ GROUP = FeatureGroup(
     key=KEY,
     rows=rows,
     keyed=keyed,
+    per_target=True,
     features=(
         Feature("loan_amount_max", "int", _column("max")),
         Feature("count_loans", "bigint", _column("loans")),
@@ -88,20 +91,26 @@ GROUP = FeatureGroup(
 
 
 def recoveries(source, job: FeatureJob, max_range: int) -> DataFrame:
-    """All recoveries of the snapshots read, also those dated outside the months: only loans are cut by date."""
-    recovered = read_undated(source, "loan_recovery", *job.months(max_range))
-    return agg_recovery_rollup(typed(recovered, "dt_sec_l").where(F.col("loan_id").isNotNull()))
+    """Per loan and target: all recoveries of the snapshots that the target's window reads, also those dated outside
+    its months: only loans are cut by date."""
+    each = [
+        typed(read_undated(source, "loan_recovery", target - max_range + 1, target), "dt_sec_l").withColumn("target", F.lit(target))
+        for target in job.targets
+    ]
+    recovered = reduce(lambda a, b: a.unionByName(b), each)
+    return agg_recovery_rollup(recovered.where(F.col("loan_id").isNotNull()), "target")
 
 
 def loans_of_previous_month(source, job: FeatureJob, max_range: int) -> DataFrame:
-    loans = read_table(source, "loan_assign", *job.months(max_range)).where(F.col(MONTH) == job.target - 1)
-    return distinct_rows(typed(loans, "dt_sec_r").drop("date_key"))
+    """Loans of the month before a target, with that target."""
+    loans = read_table(source, "loan_assign", *job.months(max_range)).withColumn("target", F.col(MONTH) + 1)
+    return distinct_rows(typed(loans.where(F.col("target").isin(*job.targets)), "dt_sec_r").drop("date_key"))
 
 
 def repaid_rows(source, job: FeatureJob, max_range: int) -> DataFrame:
     """Loans of the month before the target with their days to repay."""
     loans = right_join_recovery(
-        loans_of_previous_month(source, job, max_range), recoveries(source, job, max_range)
+        loans_of_previous_month(source, job, max_range), recoveries(source, job, max_range), "target"
     )
     seconds = epoch_seconds(F.col("recovered_time")) - epoch_seconds(F.col("dt_sec_r"))
     fully = F.col("recovered_amt") == F.col("loan_amount")
@@ -109,13 +118,17 @@ def repaid_rows(source, job: FeatureJob, max_range: int) -> DataFrame:
     return loans.withColumn("time_to_repay", days)
 
 
+def mean_of_previous_month(w: MonthWindow) -> Column:
+    return w.mean("time_to_repay", F.col("target") == w.target)
+
+
 RECOVERY = FeatureGroup(
     name="LoanRec",
     table="loan_recovery",
     key=KEY,
     rows=repaid_rows,
     features=(
-        Feature("mean_time_to_repay", "double", lambda w: w.mean("time_to_repay"), ranges=(2,), default=-1, lengths=(2,)),
+        Feature("mean_time_to_repay", "double", mean_of_previous_month, ranges=(2,), default=-1, lengths=(2,)),
     ),
     extra_columns=(("mean_time_to_repay_1", "double"),),
 )

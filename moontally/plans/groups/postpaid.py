@@ -27,11 +27,7 @@ def rows(source, job: FeatureJob, max_range: int) -> DataFrame:
 
 
 def grain(accounts: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
-    """The two leading rows of each month with the row-level flags and ratios.
-
-    Rows are numbered over all months read, so the numbers fit one target month only.
-    """
-    _ = job.target
+    """The two leading rows of each month with the row-level flags and ratios; rows are numbered over all months of a key."""
     limit, deposit = F.col("credit_limit"), F.col("deposit_amt_n")
     balance, unbilled = F.col("outstanding_balance"), F.col("unbilled_amount")
     zero = F.lit(0.0)
@@ -87,6 +83,7 @@ GROUP = FeatureGroup(
     key=KEY,
     rows=rows,
     grain=grain,
+    per_target=True,
     features=(
         _snapshot("is_creditor", "int"),
         _snapshot("unbilled_ratio", "double"),

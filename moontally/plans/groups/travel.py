@@ -27,6 +27,7 @@ GROUP = FeatureGroup(
     table="domestic_travel",
     key=KEY,
     rows=rows,
+    per_target=True,
     sees_all=True,
     features=(
         Feature("avg_daily_travel", "double", lambda w: w.mean("sum_travel")),

@@ -40,6 +40,7 @@ GROUP = FeatureGroup(
     table="user_info",
     key=KEY,
     rows=rows,
+    per_target=True,
     features=(
         _by_status["HARD"],
         _by_status["ERASED"],

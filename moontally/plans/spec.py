@@ -47,7 +47,7 @@ class FeatureJob:
     @property
     def target(self) -> int:
         if len(self.targets) != 1:
-            raise ValueError("this feature group is defined for one target month")
+            raise ValueError("the job has several target months")
         return self.targets[0]
 
     def windows(self, ranges: Sequence[int]) -> list[MonthWindow]:
@@ -82,6 +82,8 @@ class FeatureGroup:
     optional: tuple[Feature, ...] = field(default=())
     # Formulas look at all months read, also at those before their window.
     sees_all: bool = False
+    # Numbers, lags or limits run over all months read: with several targets, each has its own copy of the rows.
+    per_target: bool = False
     # Declared output columns no feature produces: (name, type).
     extra_columns: tuple[tuple[str, str], ...] = field(default=())
 

@@ -300,9 +300,9 @@ ORACLE = {
     "agg_ratio": undropped("Recharge", "ratio_afternoon_recharge", "ratio_weekend_recharge"),
     "agg_set_size": undropped("HandsetPrice", "total_unique_handsets", "total_unique_brands", "brand_diversity_ratio"),
     "agg_first_last": with_views(
-        """SELECT fake_msisdn, (round_even(CAST(first(credit_limit ORDER BY date) AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000) AS first_limit,
-        (round_even(CAST(last(credit_limit ORDER BY date) AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000) AS last_limit, first(last_status ORDER BY date) AS first_status,
-        last(last_status ORDER BY date) AS last_status FROM post_paid GROUP BY fake_msisdn""",
+        """SELECT fake_msisdn, (round_even(CAST(first(credit_limit ORDER BY date, credit_limit NULLS FIRST) AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000) AS first_limit,
+        (round_even(CAST(last(credit_limit ORDER BY date, credit_limit NULLS FIRST) AS DOUBLE) * 1000000 + 0.00001, 0) / 1000000) AS last_limit, first(last_status ORDER BY date, last_status NULLS FIRST) AS first_status,
+        last(last_status ORDER BY date, last_status NULLS FIRST) AS last_status FROM post_paid GROUP BY fake_msisdn""",
         ALL_ORDERS,
     ),
     "one_hot_vocab": with_views(

@@ -169,3 +169,11 @@ def test_leading_rows_number_the_whole_key(spark):
     plain = data.withColumn("row_number", F.row_number().over(Window.partitionBy("key").orderBy(MONTH, "o")))
     got = grain.leading_rows(data, "key", ["o"]).where("row_number <= 2").select(*plain.columns)
     assert values(got) == values(plain.where("row_number <= 2"))
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_first_and_last_of_equal_dates_do_not_depend_on_partitions(spark, parts):
+    rows = [("a", 1, 5), ("a", 1, 3), ("a", 1, None), ("a", 2, 7), ("a", 2, 9), ("b", 1, None), ("c", None, 4)]
+    frame = spark.createDataFrame(rows, "key string, day int, v int").repartition(parts)
+    got = {tuple(r) for r in grain.first_last(frame, "key", "day", {"v": "v"}).collect()}
+    assert got == {("a", None, 9), ("b", None, None), ("c", None, None)}
