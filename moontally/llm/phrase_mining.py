@@ -2,8 +2,8 @@
 
 Texts are lower-cased (A-Z), split into pieces at marks and line ends, and pieces into words. A word is its 64-bit hash.
 Each task counts runs of words in a ``HatTrie`` per length, led by the language; subtrees that a task has no room for leave it as sorted
-runs, and so do all at its end. Runs are dealt by language and a prefix of up to three words, and each prefix partition is
-merged by a sum. A phrase cannot be more frequent than its parts, so lengths are counted in turn: words, pairs of frequent words,
+runs, and so do all at its end. Runs are dealt by language and prefix (pairs by their first word, or, after a hot word, by the
+first bits of the second, too; longer runs by three words), and each prefix partition is merged by a sum. A phrase cannot be more frequent than its parts, so lengths are counted in turn: words, pairs of frequent words,
 then runs of three and four words whose pairs are all frequent (a word counts as first of a pair only where a word of its
 piece follows). What is frequent is handed to the next
 pass as a bitmap of hashes of at most ``BITS`` bits (16 MB): a wrong bit costs work, never a count, since every length's counts are held
@@ -38,6 +38,9 @@ LONGEST = 4
 FIRST = 2000
 #: Percent of a phrase's occurrences that a longer one must have for the phrase to go.
 HELD = 80
+#: A word with one of so many occurrences of all words is hot: the pairs it leads are dealt by ``BRANCH_BITS`` bits of the second word, too.
+HOT = 2000
+BRANCH_BITS = 8
 #: Bits of the largest bitmap.
 BITS = 1 << 27
 _BLANK = np.isin(np.arange(256), [0x20, 0x09])
@@ -144,14 +147,22 @@ def longer(words: Words, known: tuple) -> dict[int, np.ndarray]:
     return out
 
 
-def counted(docs: DataFrame, rows_of: Callable, known: tuple = (), width: int = LONGEST) -> DataFrame:
-    """Runs (lang, w1, ..., n), ``width`` ids at most, of what ``rows_of`` finds in docs (lang, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(known)
-    names = ["lang", *_IDS[:width], "n"]
+def counted(docs: DataFrame, rows_of: Callable, known: tuple = (), width: int = LONGEST, hot: np.ndarray | None = None) -> DataFrame:
+    """Runs (lang, w1, ..., n), ``width`` ids at most, of what ``rows_of`` finds in docs (lang, text).
+
+    With ``hot``, a column ``branch`` parts what follows the words in it by the leading bits of the second id.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((known, hot))
+    names = ["lang", *_IDS[:width], "n", *["branch"] * (hot is not None)]
 
     def batch_of(langs: list[str], rows: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         ids = [pa.array(rows[:, i + 1].view(np.int64)) if i + 1 < rows.shape[1] else pa.nulls(len(rows), pa.int64()) for i in range(width)]
-        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()).take(pa.array(rows[:, 0].astype(np.int64))), *ids, pa.array(counts)], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()).take(pa.array(rows[:, 0].astype(np.int64))), *ids, pa.array(counts), *branches(rows)], names=names)
+
+    def branches(rows: np.ndarray) -> list[pa.Array]:
+        if hot is None:
+            return []
+        return [pa.array(np.where(np.isin(rows[:, 1], shared.value[1]), rows[:, 2] >> np.uint64(64 - BRANCH_BITS), np.uint64(0)).astype(np.int64))]
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries: dict[int, HatTrie] = {}
@@ -166,7 +177,7 @@ def counted(docs: DataFrame, rows_of: Callable, known: tuple = (), width: int =
             for start, texts in K.slices(batch.column(1)):
                 words = Words(batch.column(0).slice(start, len(texts)).to_pylist(), texts, langs)
                 if len(words.ids):
-                    for k, rows in rows_of(words, shared.value).items():
+                    for k, rows in rows_of(words, shared.value[0]).items():
                         yield from out(tries.setdefault(k, HatTrie(rows.shape[1])).add(rows))
         for trie in tries.values():
             yield from out(trie.finish())
@@ -190,7 +201,10 @@ def frequent(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     words = words.where("w1 is not null")
     roles = tuple(bitmap(words.where(F.col(name) >= least), 1) for name in ("followed", "preceded"))
-    sums = dealt(counted(docs, paired, roles, 2), _IDS[:2]).groupBy("lang", *_IDS[:2]).agg(F.sum("n").alias("n"))
+    total = totals.agg(F.sum("n")).first()[0] or 0
+    hot = words.where(F.col("n") * HOT >= total).select("w1").collect()  # HOT rows at most
+    hot = np.array([r.w1 for r in hot], dtype=np.int64).view(np.uint64)
+    sums = dealt(counted(docs, paired, roles, 2, hot), ["w1", "branch"]).groupBy("lang", "w1", "branch", "w2").agg(F.sum("n").alias("n"))
     pairs = stash(sums.where(F.col("n") >= least))
     sums = dealt(counted(docs, longer, (bitmap(pairs, 2),)), _IDS[:3]).groupBy("lang", *_IDS).agg(F.sum("n").alias("n"))
     long_ones = stash(sums.where(F.col("n") >= least))
