@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +18,8 @@ from moontally.plans.groups import GROUPS, arpu
 from moontally.plans.spec import FeatureGroup, FeatureJob
 
 ID = "bib_id"
+#: Tables written at a time.
+WRITERS = 4
 _ANY_MONTH = FeatureJob(targets=(0,))  # store names do not depend on the month
 
 
@@ -102,53 +106,84 @@ def raw_part(group: FeatureGroup, frame: DataFrame) -> DataFrame:
     return frame.selectExpr(f"{group.key} AS {ID}", *columns)
 
 
+#: Parts of the store by group, under store names, and the keys to drop from all of them; one side per kind of key.
 Side = tuple[Mapping[str, DataFrame], DataFrame]
 
 
-def raw_defaults(sides: Sequence[Side]) -> tuple[dict[str, float], dict[str, Column]]:
-    """Default per store column; those computed from a frame read the raw frame of their group."""
+def raw_sides(sides: Sequence[Side]) -> list[Side]:
+    """Sides of raw feature frames as sides of store parts."""
+    return [({name: raw_part(GROUPS[name], frame) for name, frame in raw.items()}, dropped) for raw, dropped in sides]
+
+
+def written_sides(sides: Sequence[Side], folder: str, buckets: int) -> list[Side]:
+    """The same sides as tables below ``folder``, bucketed and sorted by id.
+
+    Each group is built once, whatever reads it afterwards: spine, joins and defaults. Tables with the same buckets
+    join without a shuffle. Tables are written side by side, since one alone does not fill a cluster.
+    """
+
+    def write(item: tuple[str, DataFrame]) -> tuple[str, DataFrame]:
+        name, frame = item
+        table, spark = f"store_{uuid.uuid4().hex}", frame.sparkSession
+        dealt = frame.where(F.col(ID).isNotNull()).repartition(buckets, ID)
+        dealt.write.bucketBy(buckets, ID).sortBy(ID).option("path", f"{folder}/{name}").saveAsTable(table)
+        return name, spark.table(table)
+
+    items = [(name, part) for parts, _ in sides for name, part in parts.items()]
+    items += [(f"dropped_{i}", dropped.select(F.col("key").alias(ID)).distinct()) for i, (_, dropped) in enumerate(sides)]
+    with ThreadPool(WRITERS) as pool:
+        tables = dict(pool.map(write, items, chunksize=1))
+    return [
+        ({name: tables[name] for name in parts}, tables[f"dropped_{i}"].withColumnRenamed(ID, "key"))
+        for i, (parts, _) in enumerate(sides)
+    ]
+
+
+def side_defaults(sides: Sequence[Side]) -> tuple[dict[str, float], dict[str, Column]]:
+    """Default per store column; those computed from a frame come from one aggregate over the group's part."""
     constants, queries = {}, {}
-    for raw, dropped in sides:
-        for name, frame in raw.items():
+    for parts, dropped in sides:
+        for name, part in parts.items():
             own = {column: f.default_for(w.months) for w, f, column in GROUPS[name].columns(_ANY_MONTH)}
+            computed = {}
             for store_name, column in store_columns(GROUPS[name]).items():
                 default = own.get(column)
                 if callable(default):
-                    kept = anti_join_droplist(raw_part(GROUPS[name], frame), dropped, ID)
-                    queries[store_name] = kept.agg(default(F.col(quoted(store_name)))).scalar()
+                    computed[store_name] = default(F.col(quoted(store_name)))
                 elif default is not None:
                     constants[store_name] = default
+            if computed:
+                kept = anti_join_droplist(part, dropped, ID)
+                all_of = kept.agg(F.struct(*[column.alias(c) for c, column in computed.items()])).scalar()
+                queries |= {c: all_of[c] for c in computed}
     return constants, queries
 
 
-def wide_from_raw(
-    sides: Sequence[Side], wide: Callable[[Mapping[str, DataFrame]], DataFrame], filled: bool = False
-) -> DataFrame:
-    """Raw features of all groups side by side: (frames by group, keys to drop) per kind of key.
+def wide_sides(sides: Sequence[Side], wide: Callable[[Mapping[str, DataFrame]], DataFrame], filled: bool = False) -> DataFrame:
+    """The parts of all groups side by side.
 
     Each drop list is joined once, to the one-row-per-id frame ``wide`` makes of its groups.
     ``filled`` puts defaults where a group has the key, as its feature table does.
     """
-    frames, (constants, queries) = [], raw_defaults(sides) if filled else ({}, {})
-    for raw, dropped in sides:
-        parts = {name: raw_part(GROUPS[name], frame) for name, frame in raw.items()}
+    frames, (constants, queries) = [], side_defaults(sides) if filled else ({}, {})
+    for parts, dropped in sides:
         if filled:
             parts = {
                 name: store_coalesce(part, constants, {c: q for c, q in queries.items() if c in part.columns})
                 for name, part in parts.items()
             }
         frames.append(anti_join_droplist(wide(parts), dropped, ID))
-    names = [name for group in GROUPS if any(group in raw for raw, _ in sides) for name in store_columns(GROUPS[group])]
+    names = [name for group in GROUPS if any(group in parts for parts, _ in sides) for name in store_columns(GROUPS[group])]
     return reduce(lambda a, b: a.join(b, ID, "full_outer"), frames).select(ID, *[quoted(name) for name in names])
 
 
-def store_from_raw(sides: Sequence[Side], wide: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None) -> DataFrame:
-    """The wide table straight from raw features.
+def store_of_sides(sides: Sequence[Side], wide: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None) -> DataFrame:
+    """The wide table.
 
     A NULL of a group and a key that the group does not have get the same default, so
     defaults are put in once, at the end.
     """
-    return store_coalesce(wide_from_raw(sides, wide or side_by_side), *raw_defaults(sides))
+    return store_coalesce(wide_sides(sides, wide or side_by_side), *side_defaults(sides))
 
 
 def wide_by_joins(tables: Mapping[str, DataFrame]) -> DataFrame:

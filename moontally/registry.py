@@ -674,26 +674,32 @@ for _group in FEATURE_QUERIES.values():
     _feature_query(_group)
 
 
+def _written_sides(source: StarSource) -> list[store.Side]:
+    """Store parts of all groups as bucketed tables, each group built once."""
+    buckets = int(source.spark.conf.get("spark.sql.shuffle.partitions"))
+    return store.written_sides(store.raw_sides(_raw_sides(source)), written_folder(source), buckets)
+
+
 @query
 def id_spine(source: StarSource) -> DataFrame:
     """Ids of all groups; each drop list is taken out of the ids of its side once."""
     spines = []
     for frames, dropped in _raw_sides(source):
         ids = joins.id_spine([(frame, GROUPS[name].key) for name, frame in frames.items()])
-        spines.append(joins.anti_join_droplist(ids, dropped, "bib_id"))
+        spines.append(joins.anti_join_droplist(ids, dropped, store.ID))
     return joins.union_distinct(spines)
 
 
 @query
 def store_left_joins(source: StarSource) -> DataFrame:
-    return store.wide_from_raw(_raw_sides(source), store.joined, filled=True)
+    return store.wide_sides(_written_sides(source), store.joined, filled=True)
 
 
 @query
 def store_coalesce(source: StarSource) -> DataFrame:
-    return store.store_from_raw(_raw_sides(source), store.joined)
+    return store.store_of_sides(_written_sides(source), store.joined)
 
 
 @query
 def feature_store(source: StarSource) -> DataFrame:
-    return store.store_from_raw(_raw_sides(source))
+    return store.store_of_sides(store.raw_sides(_raw_sides(source)))

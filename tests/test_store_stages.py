@@ -2,7 +2,10 @@
 
 import time
 
-from moontally.registry import REGISTRY
+import pytest
+
+from moontally.plans import store
+from moontally.registry import REGISTRY, StarSource, _raw_sides
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -26,3 +29,34 @@ def test_store_query_reads_files_in_few_stages(spark):
     reading = sum(reads for reads, _ in stages)
     print(f"built in {built:.1f} s, {len(stages)} stages, {reading} read files")
     assert reading <= 35
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_store_by_joins_reads_each_group_from_its_table(spark, no_broadcast):
+    """Groups are built when their tables are written; what follows reads bucketed tables and joins them as they lie."""
+    frame = REGISTRY["store_left_joins"](spark, FOLDER)
+    assert all("/store" not in f and FOLDER not in f for f in frame.inputFiles())
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    joins = plan.count("SortMergeJoin")
+    print(plan.count("Exchange hashpartitioning"), joins)
+    assert joins >= 14
+    # the spines and the join of the two sides; no exchange below a join of a group's table
+    assert plan.count("Exchange hashpartitioning") <= 4
+
+
+def test_defaults_of_a_group_come_from_one_aggregate(spark):
+    sides = store.raw_sides(_raw_sides(StarSource(spark, FOLDER)))
+    constants, queries = store.side_defaults(sides)
+    assert queries and not set(constants) & set(queries)
+    for _, column in queries.items():
+        assert "struct(" in str(column)
