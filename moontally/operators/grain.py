@@ -57,16 +57,29 @@ def previous_active_day(days: DataFrame, key: Sequence[str], active: Mapping[str
     })
 
 
-def with_last_seen(df: DataFrame, key: str, *columns: str) -> DataFrame:
-    """Adds ``<column>_seen``: the month of the row before with the same key and value.
+def value_months(rows: DataFrame, key: str, value: str, months: tuple[int, int], sums: Mapping[str, Column]) -> DataFrame:
+    """One row per (key, value, month) with the ``sums`` of its rows, and ``<value>_seen``: the month before that held the value.
 
-    A value is new to a window where it was not seen since the window's start, so
-    counting those rows counts distinct values of every window in one grouping, without
-    repeating each row per distinct count.
+    A value is new to a window where it was not seen since the window's start, so counting those rows counts
+    distinct values of every window in one grouping. Months are few, so each has its columns in one mergeable
+    hash aggregation per value, and no window function sorts the values of a key.
     """
-    return df.withColumns({
-        f"{name}_seen": F.lag(MONTH).over(Window.partitionBy(key, name).orderBy(MONTH)) for name in columns
-    })
+    span = range(months[0], months[1] + 1)
+    held = [F.col(MONTH) == month for month in span]
+    per_value = rows.groupBy(key, value).agg(
+        *[F.count(F.when(at, 1)).alias(f"_rows_{m}") for m, at in zip(span, held)],
+        *[F.sum(F.when(at, column)).alias(f"_{name}_{m}") for m, at in zip(span, held) for name, column in sums.items()],
+    )
+
+    def entry(month: int) -> Column:
+        earlier = [F.when(F.col(f"_rows_{m}") > 0, F.lit(m)) for m in range(month - 1, span[0] - 1, -1)]
+        return F.struct(
+            F.lit(month).alias(MONTH), F.col(f"_rows_{month}").alias("_rows"), *[F.col(f"_{name}_{month}").alias(name) for name in sums],
+            F.coalesce(F.lit(None).cast("int"), *earlier).alias(f"{value}_seen"),
+        )
+
+    entries = F.filter(F.array(*[entry(month) for month in span]), lambda x: x["_rows"] > 0)
+    return per_value.select(key, value, F.inline(entries)).drop("_rows")
 
 
 def event_moments(rows: DataFrame, key: str, moment: str) -> DataFrame:

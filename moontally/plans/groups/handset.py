@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moontally.functions.scalars import HANDSET_BRANDS, ratio
-from moontally.operators.grain import with_last_seen
+from moontally.operators.grain import value_months
 from moontally.operators.rows import distinct_rows, notnull_key_filter
 from moontally.operators.windows import MONTH
 from moontally.plans.spec import Feature, FeatureGroup, FeatureJob
@@ -22,14 +22,15 @@ def rows(source, job: FeatureJob, max_range: int) -> DataFrame:
 
 
 def grain(handsets: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
-    """Per key, month, model and brand; ``model_days`` is the month's total of the model."""
-    used = handsets.groupBy(KEY, MONTH, "handset_model", "handset_brand").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("cnt_of_days").alias("days")
-    )
-    used = used.repartition(KEY)  # serves the windows and the grouping by key
-    same_month = Window.partitionBy(KEY, "handset_model").orderBy(MONTH).rangeBetween(0, 0)
-    totals = used.withColumn("model_days", F.sum("days").over(same_month))
-    return with_last_seen(totals, KEY, "handset_model", "handset_brand")
+    """Rows per key, month and model, with ``model_days``, and rows per key, month and brand, with ``days``.
+
+    No feature needs a model together with its brand. So a value of a key has one row a month, and neither a key with
+    many models nor a brand with many models meets in one task.
+    """
+    n, days, months = F.lit(1), F.col("cnt_of_days"), job.months(max_range)
+    models = value_months(handsets, KEY, "handset_model", months, {"n": n, "model_days": days})
+    brands = value_months(handsets, KEY, "handset_brand", months, {"n": n, "days": days})
+    return models.unionByName(brands, allowMissingColumns=True)
 
 
 def _brand_rows(position: int) -> Feature:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moontally.functions.calendar import epoch_seconds, parse_ts
 from moontally.functions.scalars import data_mb, ratio, strip_spaces
-from moontally.operators.grain import with_last_seen
+from moontally.operators.grain import value_months
 from moontally.operators.rows import distinct_rows
 from moontally.operators.windows import MONTH
 from moontally.plans.spec import Feature, FeatureGroup, FeatureJob
@@ -32,8 +34,9 @@ def parsed(packages: DataFrame) -> DataFrame:
 
 
 def grain(packages: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
-    """Per key, month and offer; distinct offers are counted where they are new to a window."""
-    offers = parsed(packages).groupBy(KEY, MONTH, "code", "name").agg(
+    """Rows per key and month with the measures, and per key, month and code or name for the distinct counts."""
+    offers, months = parsed(packages), job.months(max_range)
+    measures = offers.groupBy(KEY, MONTH).agg(
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(F.col("offer_amount") == 0, 1)).alias("n_free"),
         F.sum("data_usage").alias("data_usage"),
@@ -43,7 +46,8 @@ def grain(packages: DataFrame, job: FeatureJob, max_range: int) -> DataFrame:
         F.min("period").alias("period_min"),
         F.max("period").alias("period_max"),
     )
-    return with_last_seen(offers, KEY, "code", "name")
+    counted = [value_months(offers, KEY, column, months, {}) for column in ("code", "name")]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counted, measures)
 
 
 GROUP = FeatureGroup(

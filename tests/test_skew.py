@@ -59,6 +59,7 @@ def shuffle_reads(spark, run) -> list[list[int]]:
     tracker, store = spark.sparkContext.statusTracker(), spark._jsparkSession.sparkContext().statusStore()
     before = set(tracker.getJobIdsForGroup(None))
     run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()  # the status store follows the jobs
     stages = {s for job in set(tracker.getJobIdsForGroup(None)) - before for s in tracker.getJobInfo(job).stageIds}
     reads = []
     for stage in stages:
@@ -92,6 +93,23 @@ def test_tasks_stay_even(spark, tmp_path, name):
     assert max(r[-1] for r in reads) < 2 * fair, [(r[len(r) // 2], r[-1]) for r in reads]
 
 
+@pytest.mark.parametrize(("name", "table", "column"), [("HandsetPrice", "handset_price", "handset_model"), ("Package", "package", "offering_name")])
+def test_distinct_values_of_a_hot_key_stay_even(spark, tmp_path, name, table, column):
+    """A hot key with a value of its own in every row, all of one brand."""
+    rows = hot_table(spark, table, EVENTS_MONTH if name in EVENT_GROUPS else ORDERS_MONTH)
+    rows.withColumn(column, F.concat(F.lit("v"), F.monotonically_increasing_id())).write.parquet(f"{tmp_path}/{table}")
+    source = HotSource(spark, str(tmp_path))
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        frame = raw_features(GROUPS[name], source, job_for(name))
+        reads = shuffle_reads(spark, lambda: frame.write.format("noop").mode("overwrite").save())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert reads and max(r[-1] for r in reads) < 2 * ROWS / PARTITIONS, [(r[len(r) // 2], r[-1]) for r in reads]
+
+
 def test_ranks_of_free_text_names_stay_even(spark, tmp_path):
     """A hot key with about as many sender names as rows."""
     names = hot_table(spark, "customer_person_type_bank_info", EVENTS_MONTH).withColumn(

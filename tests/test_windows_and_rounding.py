@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from check import database
 from moontally.functions.calendar import month_start
@@ -121,11 +122,27 @@ def test_bank_scores_use_hash_aggregation(spark):
     assert "SortAggregate" not in text
 
 
-@pytest.mark.parametrize(("name", "exchanges"), [("HandsetPrice", 3)])
-def test_one_shuffle_by_key_serves_windows_and_grouping(spark, name, exchanges):
-    from moontally.registry import job_for, raw
+@pytest.mark.parametrize(("name", "exchanges"), [("HandsetPrice", 4), ("Package", 5)])
+def test_distinct_values_need_no_window(spark, name, exchanges):
+    """The de-duplication (read by each branch), one grouping per branch, the grouping by key."""
+    from moontally.registry import raw
 
-    text = raw(REGISTRY_SOURCE(spark), GROUPS[name])._jdf.queryExecution().executedPlan().toString()
-    own = text.split("Scan parquet")[0]
-    assert own.count("Exchange hashpartitioning") <= exchanges, text
-    assert job_for(name)
+    plan = raw(REGISTRY_SOURCE(spark), GROUPS[name])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "REPARTITION" not in text
+    plan.write.format("noop").mode("overwrite").save()
+    plan.collect()
+    final = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning") - final.count("ReusedExchange") <= exchanges, final
+
+
+def test_value_months_of_a_value_in_some_months(spark):
+    rows = spark.createDataFrame(
+        [("k", "a", 5, 1), ("k", "a", 7, 2), ("k", "a", 7, 3), ("k", "b", 6, None), ("k", None, 7, 4), (None, "a", 5, 5)],
+        "key string, v string, month_index int, x int",
+    )
+    got = grain.value_months(rows, "key", "v", (5, 7), {"x": F.col("x")})
+    assert got.columns == ["key", "v", "month_index", "x", "v_seen"]
+    want = [("k", "a", 5, 1, None), ("k", "a", 7, 5, 5), ("k", "b", 6, None, None), ("k", None, 7, 4, None), (None, "a", 5, 5, None)]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert grain.value_months(rows.limit(0), "key", "v", (5, 7), {}).collect() == []
