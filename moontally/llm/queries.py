@@ -80,7 +80,7 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("long").alias("size"),
-        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.md5("text").alias("link"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.md5(F.coalesce("text", F.lit(""))).alias("link"),
     )
     rows = balanced_shards.shard(docs, "doc_id", "link", also=("size", "text_crc32"))
     return rows.select(
