@@ -108,6 +108,17 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang
 _QUOTED = "(?m)^[ \\t]*>"
 _NORMAL = "trim(regexp_replace(lower({}), '\\s+', ' ', 'g'))"
 
+
+
+def _parts(text: str) -> str:
+    """A text as a whole, its paragraphs and lines, and the sentences of all these, normalised."""
+    blocks = f"list_concat([{text}], regexp_split_to_array({text}, '\\n[ \\t]*\\n'), string_split({text}, chr(10)))"
+    blocks = f"list_transform({blocks}, lambda b: {_NORMAL.format('b')})"
+    marked = "regexp_replace(regexp_replace(s, '([.!?]) ', '\\1' || chr(10), 'g'), '([。！？]) ?', '\\1' || chr(10), 'g')"
+    sentences = f"flatten(list_transform({blocks}, lambda s: string_split({marked}, chr(10))))"
+    return f"list_distinct(list_concat({blocks}, {sentences}))"
+
+
 QUOTATION_THREADS = f"""
 WITH RECURSIVE rows AS (
     SELECT conv_id, turn, role, text, coalesce(CAST(conv_id AS VARCHAR), 'null') AS conv,
@@ -121,13 +132,14 @@ levels AS (
     len(regexp_replace(regexp_extract(line, '^[ \\t]*(>[ \\t]*)+'), '[^>]', '', 'g')) AS level FROM lines),
 runs AS (SELECT *, i - row_number() OVER (PARTITION BY conv, turn, text, level ORDER BY i) AS run FROM levels),
 passages AS (
-    SELECT conv, turn, level, {_NORMAL.format("string_agg(line, ' ' ORDER BY i)")} AS passage FROM runs WHERE level > 0
+    SELECT conv, turn, level, text AS id, run, string_agg(line, chr(10) ORDER BY i) AS passage FROM runs WHERE level > 0
     GROUP BY conv, turn, text, level, run),
-parts AS (
-    SELECT conv, turn, unnest(list_concat([body], regexp_split_to_array(body, '\\n[ \\t]*\\n'), string_split(body, chr(10)))) AS part
-    FROM rows WHERE text IS NOT NULL AND turn IS NOT NULL),
-originals AS (SELECT conv, {_NORMAL.format("part")} AS passage, min(turn) AS original FROM parts GROUP BY ALL),
-met AS (SELECT p.conv, p.turn, level, original FROM passages p JOIN originals USING (conv, passage) WHERE passage <> '' AND original < p.turn),
+quoted AS (SELECT conv, turn, level, id, run, unnest({_parts("passage")}) AS part FROM passages),
+held AS (SELECT conv, turn, unnest({_parts("body")}) AS part FROM rows WHERE body IS NOT NULL AND turn IS NOT NULL),
+originals AS (SELECT conv, part, min(turn) AS original FROM held GROUP BY ALL),
+met AS (
+    SELECT q.conv, q.turn, level, original FROM quoted q JOIN originals USING (conv, part) WHERE part <> '' AND original < q.turn
+    QUALIFY row_number() OVER (PARTITION BY q.conv, q.turn, level, id, run ORDER BY length(part) DESC, original DESC) = 1),
 links AS (
     SELECT conv, turn, original AS parent FROM met
     QUALIFY row_number() OVER (PARTITION BY conv, turn ORDER BY level, original DESC) = 1),

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import running, stash
+from .common import broadcast_if_small, running, stash
 
 QUOTED = r"(?m)^[ \t]*>"
 _PREFIX = r"^[ \t]*(?:>[ \t]*)+"
@@ -60,6 +60,16 @@ def passages(messages: DataFrame) -> DataFrame:
     return found.select("conv", "turn", "level", "passage", F.length("_text").alias("length"), F.md5("_text").alias("hash"))
 
 
+def quoting(messages: DataFrame) -> DataFrame:
+    """Messages of the conversations in which any line is quoted; the others have nothing to link.
+
+    Conversations are told apart by 64-bit hashes, which bounds the size of the set; one that shares a hash is only read in vain.
+    """
+    key = F.xxhash64("conv")
+    found = stash(messages.where(F.col("text").rlike(QUOTED)).select(key.alias("_conv")).distinct())
+    return messages.withColumn("_conv", key).join(broadcast_if_small(found, 64), "_conv", "left_semi").drop("_conv")
+
+
 def originals(messages: DataFrame) -> DataFrame:
     """(conv, hash, original): the earliest turn whose body holds a text as a whole, as a paragraph, a line or a sentence."""
     keys = F.transform(parts(body(F.col("text"))), F.md5)
@@ -69,7 +79,7 @@ def originals(messages: DataFrame) -> DataFrame:
 
 def replies(messages: DataFrame) -> DataFrame:
     """(conv, turn, parent) of the messages that quote an earlier one of their conversation."""
-    met = passages(messages).join(originals(messages), ["conv", "hash"]).where("original < turn")
+    met = passages(messages).join(originals(quoting(messages)), ["conv", "hash"]).where("original < turn")
     met = met.groupBy("conv", "turn", "level", "passage").agg(F.max(F.struct("length", "original")).alias("_longest"))
     met = met.select("conv", "turn", "level", F.col("_longest.original").alias("original"))
     nearest = met.groupBy("conv", "turn").agg(F.max(F.struct((-F.col("level")).alias("level"), "original")).alias("_best"))

@@ -101,6 +101,38 @@ def test_chat_equals_sql(spark, chat, tmp_path):
     assert sorted(map(tuple, ours), key=repr) == theirs
 
 
+def test_chat_of_random_quotes_equals_sql(spark, tmp_path):
+    """Whole, partial, nested and repeated quotes of several conversations, one of them with a third of all rows."""
+    import random
+
+    pick = random.Random(5)
+    said = ["Is it so?", "It is. Yes!", "One  two", "three four", "你好。再见！ 好", "", "  ", "No."]
+    rows, history = [], {}
+    for turn in range(240):
+        conv = 0 if turn % 3 == 0 else pick.randrange(1, 9)
+        lines = []
+        for _ in range(pick.randrange(3)):
+            source = pick.choice(history.get(conv) or ["never said"]).split("\n")
+            start = pick.randrange(len(source))
+            marks = pick.choice(["> ", ">", "> > ", " >"])
+            lines += [marks + line.upper() for line in source[start : start + pick.randrange(1, 4)]]
+        lines += [" ".join(pick.choices(said, k=2)) + pick.choice(["", f" {turn}."]) for _ in range(pick.randrange(1, 5))]
+        text = "\n".join(lines)
+        history.setdefault(conv, []).append(text)
+        rows += [(conv, turn, pick.choice(["user", "assistant"]), text)] * pick.choice([1, 1, 2])
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1)
+    frame.write.parquet(str(tmp_path / "chat"))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/chat/*.parquet')")
+    result = db.execute(ORACLE["op10_quotation_threads"])
+    names = [d[0] for d in result.description]
+    theirs = sorted(result.fetchall(), key=repr)
+    ours = sorted(map(tuple, quotation_threads.conversations(frame, "conv_id", "turn", "role", "text").select(names).collect()), key=repr)
+    assert ours == theirs
+    parent = names.index("parent")
+    assert sum(row[parent] is not None for row in ours) > 60
+
+
 def test_chat_of_no_rows(chat):
     assert quotation_threads.conversations(chat.where("turn > 99"), "conv_id", "turn", "role", "text").count() == 0
 
