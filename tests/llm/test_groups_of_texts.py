@@ -252,7 +252,7 @@ def plain_propagation(blocks, quotas):
     return place
 
 
-@pytest.mark.parametrize("linked", [0.5, 0.95])
+@pytest.mark.parametrize("linked", [0.5, 0.95, 1.0])
 def test_sharding_against_plain_propagation(spark, linked):
     """Groups of ten that fill the table: cut groups and cut links against one-block-at-a-time propagation."""
     size, shards = 4000, 8
