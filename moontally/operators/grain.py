@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import add
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from moontally.operators.windows import MONTH
 
 DAY_SECONDS = 24 * 3600
+# Names that one task puts in order, about; larger ties are cut.
+TIE_SEGMENT = 1 << 18
 
 
 def regroup_by_prefix(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -172,26 +174,57 @@ def bank_month_totals(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
-def month_ranks(totals: DataFrame, key: str) -> DataFrame:
-    """``rank_in_month`` and ``rank`` of the senders of a month by messages, most first.
+def total_ranks(totals: DataFrame, key: str) -> DataFrame:
+    """Per key, month and total: ``rank`` among the totals of the month, most messages first.
 
     Sender names are free text, so a hot key may have any number of them.  Equal totals are
-    counted first and ranked as one row each; names are only put in order inside an equal total.
+    counted first and ranked as one row each.
     """
     month = [key, MONTH]
     above = Window.partitionBy(*month).orderBy(F.desc("total")).rowsBetween(Window.unboundedPreceding, -1)
     equal = totals.groupBy(*month, F.col("total_sms_count").alias("total")).agg(F.count(F.lit(1)).alias("names"))
-    ranks = equal.select(
-        *[F.col(name).alias(f"{name}_") for name in month], "total", (F.coalesce(F.sum("names").over(above), F.lit(0)) + 1).alias("rank")
-    )
-    same = F.col("total_sms_count").eqNullSafe(F.col("total"))
-    met = totals.join(ranks, (F.col(key) == F.col(f"{key}_")) & (F.col(MONTH) == F.col(f"{MONTH}_")) & same)
-    inside = Window.partitionBy(*month, "total_sms_count").orderBy("bank_name")
-    return met.select(
-        *totals.columns,
-        (F.col("rank") + F.row_number().over(inside) - 1).cast("int").alias("rank_in_month"),
-        F.col("rank").cast("int").alias("rank"),
-    )
+    return equal.select(*month, "total", (F.coalesce(F.sum("names").over(above), F.lit(0)) + 1).alias("rank"))
+
+
+def _with_tie(totals: DataFrame, ties: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``totals`` with what ``ties`` holds for the row's ``columns`` and total (unknown totals are equal).
+
+    An outer join even where every row has its match: then only ``ties`` can be broadcast, and rows stay dealt evenly.
+    """
+    renamed = ties.withColumnsRenamed({name: f"_{name}" for name in columns})
+    same = [F.col(name) == F.col(f"_{name}") for name in columns]
+    met = totals.join(renamed, reduce(and_, same, F.col("total_sms_count").eqNullSafe(F.col("total"))), "left")
+    return met.drop("total", *[f"_{name}" for name in columns])
+
+
+def month_rank(totals: DataFrame, key: str) -> DataFrame:
+    """``rank`` of the senders of a month by messages, most first; names need no order."""
+    met = _with_tie(totals, total_ranks(totals, key), [key, MONTH])
+    return met.select(*totals.columns, F.col("rank").cast("int").alias("rank"))
+
+
+def month_ranks(totals: DataFrame, key: str, names_a_segment: int = TIE_SEGMENT) -> DataFrame:
+    """``rank_in_month`` and ``rank`` of the senders of a month by messages, most first, then by name.
+
+    Names are put in order inside an equal total only, and a large tie not in one task: about
+    one name in ``names_a_segment``, picked by hash, is a border; the borders cut the tie into
+    segments, which are counted and ordered each in a task of its own.  The choice of borders
+    moves work, never a rank.
+    """
+    month, total = [key, MONTH], F.col("total_sms_count").alias("total")
+    border = F.col("bank_name").isNotNull() & (F.pmod(F.xxhash64("bank_name"), F.lit(names_a_segment)) == 0)
+    borders = totals.where(border).groupBy(*month, total).agg(F.collect_set("bank_name").alias("borders"))
+    met = _with_tie(totals, total_ranks(totals, key), month)
+    cut = _with_tie(met, borders, month)
+    reached = F.size(F.filter("borders", lambda name: name <= F.col("bank_name")))
+    cut = cut.withColumn("segment", F.when(F.col("borders").isNotNull(), reached).otherwise(0)).drop("borders")
+    in_tie = Window.partitionBy(*month, "total").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cut.groupBy(*month, total, "segment").agg(F.count(F.lit(1)).alias("names"))
+    before = sizes.select(*month, "total", "segment", F.sum("names").over(in_tie).alias("before")).where(F.col("before") > 0)
+    placed = _with_tie(cut, before, [*month, "segment"])
+    inside = Window.partitionBy(key, MONTH, "total_sms_count", "segment").orderBy("bank_name")
+    rank_in_month = F.col("rank") + F.coalesce("before", F.lit(0)) + F.row_number().over(inside) - 1
+    return placed.select(*totals.columns, rank_in_month.cast("int").alias("rank_in_month"), F.col("rank").cast("int").alias("rank"))
 
 
 def running_totals(totals: DataFrame, key: str) -> DataFrame:

@@ -500,7 +500,7 @@ def win_row_number(source: StarSource) -> DataFrame:
 
 @query
 def win_rank(source: StarSource) -> DataFrame:
-    ranked = grain.month_ranks(bank_totals(source), "fake_msisdn")
+    ranked = grain.month_rank(bank_totals(source), "fake_msisdn")
     return ranked.select("fake_msisdn", "bank_name", MONTH, "total_sms_count", "rank")
 
 

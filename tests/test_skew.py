@@ -110,18 +110,21 @@ def test_distinct_values_of_a_hot_key_stay_even(spark, tmp_path, name, table, co
     assert reads and max(r[-1] for r in reads) < 2 * ROWS / PARTITIONS, [(r[len(r) // 2], r[-1]) for r in reads]
 
 
-def test_ranks_of_free_text_names_stay_even(spark, tmp_path):
-    """A hot key with about as many sender names as rows."""
+@pytest.mark.parametrize("equal_totals", [False, True])
+def test_ranks_of_free_text_names_stay_even(spark, tmp_path, equal_totals):
+    """A hot key with about as many sender names as rows; all with one message each, or not."""
     names = hot_table(spark, "customer_person_type_bank_info", EVENTS_MONTH).withColumn(
         "bank_name", F.concat(F.lit("Bank Mellat "), F.monotonically_increasing_id())
     )
+    if equal_totals:
+        names = names.withColumn("sms_cnt", F.lit(1).cast("long"))
     names.write.parquet(f"{tmp_path}/customer_person_type_bank_info")
     source = HotSource(spark, str(tmp_path))
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     try:
         totals = grain.bank_month_totals(bank_info.rows(source, job_for("BankInfo"), 2), "fake_msisdn")
-        ranked = grain.month_ranks(totals, "fake_msisdn")
+        ranked = grain.month_ranks(totals, "fake_msisdn", names_a_segment=50)
         reads = shuffle_reads(spark, lambda: ranked.write.format("noop").mode("overwrite").save())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
