@@ -1,4 +1,8 @@
-"""Source tables: the columns their readers use."""
+"""Source tables: the columns their readers use, and their types."""
+
+from __future__ import annotations
+
+from pyspark.sql import types as T
 
 # Column names of the monthly source tables.
 SOURCE_COLUMNS = {
@@ -42,6 +46,39 @@ SOURCE_COLUMNS = {
     ),
 }
 
+# Columns that are not text, by table.
+_DOUBLES = {
+    "package": ("offer_amount",),
+    "cdr": ("call_duration", "gprs_usage", "voice_session_cost"),
+    "user_info": ("account_balance",),
+    "package_purchase": ("amount",),
+    "arpu": ("res_com_score", "voice_revenue", "gprs_revenue", "sms_revenue", "subscription_revenue"),
+    "recharge": ("recharge_value_amt", "account_balance_before_amt", "account_balance_after_amt"),
+    "loan_recovery": ("hsdp_recovery",),
+    "post_paid": ("credit_limit", "deposit_amt_n", "outstanding_balance", "unbilled_amount", "avl_credit_limit"),
+    "credit_management": ("credit_amount", "loan_amount", "installment_amount"),
+}
+_LONGS = {
+    "cdr": ("sms_count", "voice_count"),
+    "package_purchase": ("cnt",),
+    "handset_price": ("cnt_of_days",),
+    "customer_person_type_bank_info": ("sms_cnt",),
+    "domestic_travel": ("sum_travel",),
+    "credit_management": ("loan_id", "installment_id"),
+}
+_INTS = {"arpu": ("age",), "credit_management": ("loan_status", "days_delayed")}
+_DATES = {"post_paid": ("last_payment_date",), "credit_management": ("credit_assigned_date", "installment_duedate")}
+_KINDS = ((_DOUBLES, T.DoubleType()), (_LONGS, T.LongType()), (_INTS, T.IntegerType()), (_DATES, T.DateType()))
+
+
+def source_schema(table: str) -> T.StructType:
+    """Declared columns of a table with their types."""
+
+    def kind(name: str) -> T.DataType:
+        return next((type_ for columns, type_ in _KINDS if name in columns.get(table, ())), T.StringType())
+
+    return T.StructType([T.StructField(name, kind(name)) for name in SOURCE_COLUMNS[table]])
+
 
 def key_column(table: str) -> str:
     """Subscriber key of a table."""

@@ -3,6 +3,7 @@
 import glob
 
 import pytest
+from pyspark.sql import functions as F
 
 from check import sorted_rows
 from fixture_tables import SOURCES, FixtureSource, make_rows
@@ -13,7 +14,9 @@ from moontally.plans.groups import GROUPS
 from moontally.plans.spec import FeatureJob
 from moontally.registry import EVENT_GROUPS
 from moontally.sources.sinks import read_feature_table, sink_table_append, sink_writer_cap
-from moontally.sources.star import EVENTS_MONTH, ORDERS_MONTH
+from moontally.sources.snapshots import SchemaDriftError, SnapshotSource, at_source_schema, read_table
+from moontally.sources.catalog import SOURCE_COLUMNS
+from moontally.sources.star import EVENTS_MONTH, ORDERS_MONTH, StarSource
 
 
 def pairs(spark, *rows):
@@ -37,6 +40,53 @@ def test_drop_list_by_hand(spark):
     assert values(droplist.drop_list(current, previous)) == [("s1", "o1"), ("s4", "gone"), ("s7", "o2")]
 
 
+def test_drop_list_of_hot_keys_and_owners_equals_sql(spark):
+    """A key with a third of all rows and an owner with another third, repeated rows among them."""
+    import duckdb
+
+    def month(seed):
+        n = lambda below, salt: F.pmod(F.xxhash64("id", F.lit(seed), F.lit(salt)), F.lit(below))
+        key = F.when(n(3, 1) == 0, "hot").otherwise(F.concat(F.lit("k"), n(300, 2)))
+        owner = F.when(n(3, 3) == 0, "hot").otherwise(F.concat(F.lit("o"), n(200 + 100 * seed, 4)))
+        return spark.range(1500).select(key.alias("key"), F.when(n(50, 5) > 0, owner).alias("owner"))
+
+    current, previous = month(1), month(2)
+    db = duckdb.connect()
+    cur, prev = (df.toPandas() for df in (current, previous))  # noqa: F841
+    db.execute("CREATE VIEW c AS SELECT * FROM cur WHERE owner IS NOT NULL; CREATE VIEW p AS SELECT * FROM prev WHERE owner IS NOT NULL")
+    several = "key IN (SELECT key FROM {0} GROUP BY key HAVING count(DISTINCT owner) > 1)"
+    now = f"SELECT DISTINCT * FROM p WHERE owner IN (SELECT owner FROM c WHERE {several.format('c')})"
+    before = f"SELECT DISTINCT * FROM p WHERE {several.format('p')} AND owner NOT IN (SELECT owner FROM c)"
+    for ours, sql in ((droplist.changed_now, now), (droplist.changed_before, before), (droplist.drop_list, f"{now} UNION {before}")):
+        assert values(ours(current, previous)) == sorted(db.execute(sql).fetchall())
+
+
+def test_months_of_different_schema(spark, tmp_path):
+    source = SnapshotSource(spark, str(tmp_path))
+    days = [f"{month_start(m):%Y%m%d}" for m in (EVENTS_MONTH - 1, EVENTS_MONTH)]
+    early = spark.createDataFrame([("a", 1, 0.5, days[0], "x")], "bib_id string, sms_count int, call_duration float, date_key string, note string")
+    late = spark.createDataFrame([(7, 2, 3, 1.5, days[1], 9)], "BIB_ID long, sms_count long, voice_count long, call_duration double, date_key string, note int")
+    for month, frame in ((EVENTS_MONTH - 1, early), (EVENTS_MONTH, late)):
+        frame.write.parquet(source.path("cdr", month))
+    both = read_table(source, "cdr", EVENTS_MONTH - 1, EVENTS_MONTH)
+    picked = both.select("bib_id", "sms_count", "voice_count", "call_duration", "gprs_usage", "month_index")
+    assert [t for _, t in picked.dtypes] == ["string", "bigint", "bigint", "double", "double", "int"]
+    assert sorted(map(tuple, picked.collect()), key=repr) == [
+        ("7", 2, 3, 1.5, None, EVENTS_MONTH), ("a", 1, None, 0.5, None, EVENTS_MONTH - 1),
+    ]
+    assert "note" not in source.scan_months("cdr", EVENTS_MONTH - 1, EVENTS_MONTH).columns
+    assert "note" in source.scan_months("cdr", EVENTS_MONTH, EVENTS_MONTH).columns
+    late.drop("date_key").withColumn("sms_count", F.lit("many")).write.parquet(source.path("cdr", EVENTS_MONTH + 1))
+    with pytest.raises(SchemaDriftError, match=f"{EVENTS_MONTH + 1}.*sms_count is string, declared bigint.*date_key is missing"):
+        source.scan_months("cdr", EVENTS_MONTH, EVENTS_MONTH + 1)
+
+
+def test_source_schemas_are_those_of_the_tables_read(spark):
+    star = StarSource(spark, "/root/testdata/sf0.001")
+    for table in SOURCE_COLUMNS:
+        at_source_schema(star.scan_all(table), table, table)
+
+
 def test_ownership_takes_the_shared_key(spark):
     a = spark.createDataFrame([("1", "2", "3")], "fake_msisdn string, bib_id string, fake_ic_number string")
     b = spark.createDataFrame([("4", "5")], "bib_id string, fake_ic_number string")
