@@ -14,8 +14,10 @@ shards that only meet the texts which can match them:
 * The distinct pieces of a key are a reference shard. In the order of their earliest documents each is
   streamed through the suffix automaton of those before it, which gives the windows that match (length of
   match at least ``window``), and is then added to it.
-* Shards over ``SHARD_WORDS`` words do not go into one automaton: their windows are grouped by digest, and the least
-  document id of each decides. This is exact, too, and splits as finely as there are distinct windows.
+* Shards over ``SHARD_WORDS`` words do not go into one automaton. Their pieces are cut again by another hash of the runs, which
+  windows around one frequent run do not have in common, and so give smaller shards with automata of their own.
+* What ``CUTS`` such hashes leave crowded (runs of one word in many lengths) is grouped by window digest, and the least
+  document id of each decides. This is exact, too.
 
 Only pieces, positions and the texts of keys with several distinct pieces are shuffled, and the documents
 by their id. Nothing is collected.
@@ -41,7 +43,8 @@ from .common import small_batches, stash
 
 WINDOW = 50
 ANCHOR = 8
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 100_000
+CUTS = 3
 _ODD = 0xD6E8FEB86659FD93
 
 
@@ -55,8 +58,8 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(done[: len(done) - rest], done[rest:]) if rest else done
 
 
-def pieces(words: np.ndarray, cuts: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
-    """(key, digest, text, first word within the text, windows) of every piece of texts given as word hashes."""
+def pieces(words: np.ndarray, cuts: np.ndarray, window: int, cut: int = 0) -> tuple[np.ndarray, ...]:
+    """(key, digest, text, first word within the text, windows) of every piece of texts given as word hashes; ``cut`` picks the hash of runs."""
     n = len(words) - window + 1
     none = np.zeros(0, np.int64)
     if n <= 0:
@@ -65,7 +68,7 @@ def pieces(words: np.ndarray, cuts: np.ndarray, window: int) -> tuple[np.ndarray
     runs = np.zeros(len(words) - anchor + 1, dtype=np.uint64)
     for i in range(anchor):
         runs = runs * np.uint64(_ODD) + words[i : i + len(runs)]
-    keys = sliding_least(K.mix(runs), window - anchor + 1)
+    keys = sliding_least(K.mix(runs ^ K.mix(np.uint64([cut]))) if cut else K.mix(runs), window - anchor + 1)
     text = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
     inside = text[:n] == text[window - 1 :]
     edge = np.ones(n, dtype=bool)
@@ -185,22 +188,22 @@ def shard_matches(rows: list[tuple], window: int) -> Iterator[tuple[int, int, in
             yield i, start, stop
 
 
-def piece_table(docs: DataFrame, window: int) -> DataFrame:
-    """(key, digest, doc_id, tag, start, n): the pieces of every text."""
+def piece_table(docs: DataFrame, window: int, cut: int = 0) -> DataFrame:
+    """(key, digest, doc_id, tag, start, n): the pieces of every text by the hash ``cut``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in K.slices(batch.column(1)):
                 data, starts, ends, cuts = K.words(texts)
-                key, digest, of, at, n = pieces(K.hashes(data, starts, ends), cuts, window)
+                key, digest, of, at, n = pieces(K.hashes(data, starts, ends), cuts, window, cut)
                 ids = batch.column(0).slice(start, len(texts)).take(pa.array(of))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key), pa.array(digest), ids, pa.array(tags(texts)[of]), pa.array(at, pa.int64()), pa.array(n, pa.int64())],
                     names=["key", "digest", "doc_id", "tag", "start", "n"],
                 )
 
-    return docs.mapInArrow(cut, f"key long, digest long, doc_id {kind}, tag long, start long, n long")
+    return docs.mapInArrow(found, f"key long, digest long, doc_id {kind}, tag long, start long, n long")
 
 
 def piece_texts(docs: DataFrame, first: DataFrame, window: int) -> DataFrame:
@@ -261,7 +264,7 @@ def automaton_spans(shards: DataFrame, window: int) -> DataFrame:
 
 
 def window_spans(shards: DataFrame, window: int) -> DataFrame:
-    """The same spans for crowded shards: the least id of each distinct window decides."""
+    """The same spans for shards that no cut makes smaller: the least id of each distinct window decides."""
     words = F.split("words", " ")
     windows = F.transform(
         F.sequence(F.lit(0), F.size(words) - window),
@@ -274,9 +277,20 @@ def window_spans(shards: DataFrame, window: int) -> DataFrame:
     return old.select("doc_id", "key", "digest", "tag", F.col("start").alias("at"), begin.alias("_from"), (begin + window).alias("_to"))
 
 
-def old_spans(docs: DataFrame, window: int, shard_words: int) -> DataFrame:
+def recut_spans(shards: DataFrame, window: int, shard_words: int, cut: int) -> DataFrame:
+    """The same spans for crowded shards: their pieces as documents of their own, cut by the next hash.
+
+    Equal windows are in pieces of one shard, so what is old among its pieces is old among all documents.
+    """
+    spans = old_spans(shards.select("doc_id", F.col("words").alias("text")), window, shard_words, cut)
+    spans = spans.select("doc_id", F.col("tag").alias("_piece"), F.col("start").alias("_from"), F.col("stop").alias("_to"))
+    owners = shards.withColumn("_piece", F.xxhash64("words")).drop("words", "n").withColumnRenamed("start", "at")
+    return owners.join(spans, ["doc_id", "_piece"]).select("doc_id", "key", "digest", "tag", "at", "_from", "_to")
+
+
+def old_spans(docs: DataFrame, window: int, shard_words: int, cut: int = 0) -> DataFrame:
     """(doc_id, tag, start, stop) in words: spans covered by old windows. docs: (doc_id, text)."""
-    table = stash(piece_table(docs, window))
+    table = stash(piece_table(docs, window, cut))
     shared = table.groupBy("key").agg(F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")).where("_low < _high").select("key")
     met = stash(table.join(shared, "key"))
     place = F.struct("doc_id", "tag", "start", "n")
@@ -288,8 +302,10 @@ def old_spans(docs: DataFrame, window: int, shard_words: int) -> DataFrame:
     mixed = distinct.join(sizes.where("_pieces > 1"), "key")
     texts = stash(piece_texts(docs, mixed.drop("_pieces"), window).join(sizes, "key"))
     own = automaton_spans(texts.where(F.col("_words") <= shard_words), window)
-    crowded = window_spans(texts.where(F.col("_words") > shard_words), window)
-    found = stash(own.unionByName(crowded))
+    crowded = texts.where(F.col("_words") > shard_words).drop("_pieces", "_words")
+    if not crowded.isEmpty():
+        own = own.unionByName(recut_spans(crowded, window, shard_words, cut + 1) if cut + 1 < CUTS else window_spans(crowded, window))
+    found = stash(own)
     # what is old in a piece's first place is old in its other places under that document id
     held = distinct.select("key", "digest", F.col("doc_id").alias("_first"), F.col("tag").alias("_tag"), F.col("start").alias("_at"))
     places = met.join(held, ["key", "digest"]).where("doc_id = _first AND (tag != _tag OR start != _at)").drop("_first", "_tag", "_at")

@@ -48,7 +48,7 @@ def brute_removal(rows, window):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("shard_words", [20_000, 0])
+@pytest.mark.parametrize("shard_words", [20_000, 60, 0])
 def test_passages_equal_a_search_of_all_windows(spark, edges, shard_words):
     rng = np.random.default_rng(5)
     passage = [f"p{i}" for i in range(12)]
@@ -359,7 +359,7 @@ def test_near_duplicate_stage_keeps_texts_that_share_an_id(spark):
     assert sorted((r.doc_id, r.text) for r in kept) == [(1, texts[0]), (5, texts[1]), (5, texts[2])]
 
 
-@pytest.mark.parametrize("shard_words", [20_000, 0])
+@pytest.mark.parametrize("shard_words", [20_000, 60, 0])
 def test_passages_that_a_document_repeats(spark, shard_words):
     rng = np.random.default_rng(12)
     rows = []
