@@ -39,6 +39,16 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def mix_inside(h: np.ndarray) -> np.ndarray:
+    """``mix``, in the array itself."""
+    part = np.empty_like(h)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+        h ^= np.right_shift(h, np.uint64(shift), out=part)
+        if factor > 1:
+            h *= np.uint64(factor)
+    return h
+
+
 def slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, pa.Array]]:
     """Parts of about ``most`` bytes, cut between texts, with the index of their first text."""
     ends = np.cumsum(lengths(texts))

@@ -426,3 +426,18 @@ def test_shingle_sets_of_a_very_long_text():
     long = " ".join(f"w{i % 9973}" for i in range(60_000))
     (found,) = shingle_links.shingle_sets(pa.array([long]))
     assert len(found) == len(five_words(long)) == 9973
+
+
+def test_cells_follow_the_similarity_of_sets():
+    """MinHash: a band is shared with the probability of its least hashes, whatever hashes the sets hold."""
+    rng = np.random.default_rng(5)
+    shared = lambda a, b: len(np.intersect1d(shingle_links.cells_of(a), shingle_links.cells_of(b)))
+    zero, rest = np.zeros(1, np.uint64), rng.integers(1, 2**64, 100, dtype=np.uint64)
+    assert shared(np.append(zero, rest[:50]), np.append(zero, rest[50:])) == 0
+    found = []
+    for start in rng.integers(1, 2**40, 200, dtype=np.uint64):
+        sets = start + np.arange(200, dtype=np.uint64)  # 160 of 200 in both
+        found.append(shared(sets[:180], sets[20:]))
+    assert abs(np.mean(found) - shingle_links.BANDS * 0.8**shingle_links.ROWS) < 0.8
+    value = rng.integers(0, 2**64, 1000, dtype=np.uint64)
+    assert (shingle_links.K.mix_inside(value.copy()) == shingle_links.K.mix(value)).all()
