@@ -139,7 +139,11 @@ def typed(source: StarSource, group: FeatureGroup, frame: DataFrame) -> DataFram
 
 
 def _raw_sides(source: StarSource) -> list[tuple[dict[str, DataFrame], DataFrame]]:
-    """Raw features of the groups over users and over customers, each with its drop list."""
+    """Raw features of the groups over users and over customers, each with its drop list.
+
+    All groups read the same two months, which are written once.
+    """
+    source = source.prepared(written_folder(source), EVENTS_SPAN, (ORDERS_MONTH - 1, ORDERS_MONTH))
     users = {name: raw(source, group) for name, group in GROUPS.items() if name in EVENT_GROUPS}
     customers = {name: raw(source, group) for name, group in GROUPS.items() if name not in EVENT_GROUPS}
     return [(users, dropped_users(source)), (customers, dropped_customers(source))]

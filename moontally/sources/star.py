@@ -57,12 +57,41 @@ def _moment_text(moment: Column) -> Column:
     return F.date_format(moment, "yyyyMMdd HH:mm:ss")
 
 
+def _between(rows: DataFrame, column: str, first: int, last: int) -> DataFrame:
+    start, end = month_span(first, last)
+    as_timestamp = lambda day: F.lit(f"{day} 00:00:00").cast("timestamp_ntz")
+    return rows.where((F.col(column) >= as_timestamp(start)) & (F.col(column) < as_timestamp(end)))
+
+
 class StarSource:
     """Snapshots derived from the parquet files of one scale factor."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self._tables: dict[str, DataFrame] = {}
+        self._ready: dict[str, tuple[tuple[int, int], DataFrame]] = {}
+
+    def prepared(self, folder: str, events: tuple[int, int], orders: tuple[int, int]) -> StarSource:
+        """The same source with the rows of these months written below ``folder``, once for all their readers.
+
+        Events are parsed once. Lines are those of orders in the months, all of them: what else ``lineitem`` holds
+        is met by one semi-join and not shuffled by every reader.
+        """
+        source = StarSource(self.spark, self.folder)
+        source._ready["events"] = events, self._written(self.events(*events).drop("props"), f"{folder}/events")
+        source._ready["orders"] = orders, self._written(self.orders(*orders), f"{folder}/orders")
+        keys = source.orders(*orders).select(F.col("o_orderkey").alias("l_orderkey"))
+        source._ready["lineitem"] = orders, self._written(self.base("lineitem").join(keys, "l_orderkey", "left_semi"), f"{folder}/lineitem")
+        return source
+
+    def _written(self, frame: DataFrame, path: str) -> DataFrame:
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+    def _ready_for(self, name: str, first: int | None, last: int | None) -> DataFrame | None:
+        """The written rows of a table, if they hold all of these months."""
+        (start, end), frame = self._ready.get(name, ((0, -1), None))
+        return frame if first is not None and start <= first and last <= end else None
 
     def scan_months(self, table: str, first: int | None, last: int | None) -> DataFrame:
         return getattr(self, f"_{table}")(first, last)
@@ -77,25 +106,30 @@ class StarSource:
         return self._tables[name]
 
     def events(self, first: int | None, last: int | None) -> DataFrame:
+        """Events with their number ``k`` and their day as text."""
+        if (ready := self._ready_for("events", first, last)) is not None:
+            return _between(ready, "ts", first, last)
         k = F.regexp_extract("props", r'"k": (\d+)', 1).cast("int")
-        return self._dated("events", "ts", first, last).withColumn("k", k)
+        return self._dated("events", "ts", first, last).withColumns({"k": k, "day_text": _day_text(F.col("ts"))})
 
     def orders(self, first: int | None, last: int | None) -> DataFrame:
         """Orders with their date as text: formatted here, once per order and not per line."""
+        if (ready := self._ready_for("orders", first, last)) is not None:
+            return _between(ready, "o_orderdate", first, last)
         moment = F.col("o_orderdate")
         dated = self._dated("orders", "o_orderdate", first, last)
         return dated.withColumns({"day_text": _day_text(moment), "moment_text": _moment_text(moment)})
 
     def order_lines(self, first: int | None, last: int | None) -> DataFrame:
-        lines = self.base("lineitem")
-        return self.orders(first, last).join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+        return self.orders(first, last).join(self.lines(first, last), F.col("o_orderkey") == F.col("l_orderkey"))
+
+    def lines(self, first: int | None, last: int | None) -> DataFrame:
+        """All lines of orders in these months, and maybe others."""
+        ready = self._ready_for("lineitem", first, last)
+        return self.base("lineitem") if ready is None else ready
 
     def _dated(self, name: str, column: str, first: int | None, last: int | None) -> DataFrame:
-        if first is None:
-            return self.base(name)
-        start, end = month_span(first, last)
-        as_timestamp = lambda day: F.lit(f"{day} 00:00:00").cast("timestamp_ntz")
-        return self.base(name).where((F.col(column) >= as_timestamp(start)) & (F.col(column) < as_timestamp(end)))
+        return self.base(name) if first is None else _between(self.base(name), column, first, last)
 
     # Views over events.
 
@@ -107,7 +141,7 @@ class StarSource:
         half = F.when(F.hour("ts") < 12, 0).otherwise(1)
         return (
             self.events(first, last)
-            .groupBy(_text(F.col("user_id")).alias("bib_id"), _day_text(F.col("ts")).alias("date_key"), half.alias("half"))
+            .groupBy(_text(F.col("user_id")).alias("bib_id"), F.col("day_text").alias("date_key"), half.alias("half"))
             .agg(
                 count_of("click").alias("sms_count"),
                 count_of("view").alias("voice_count"),
@@ -128,7 +162,7 @@ class StarSource:
             F.concat(F.lit("h"), F.col("event_id") % 3).alias("origin_host_nm"),
             before.alias("account_balance_before_amt"),
             (before + amount).alias("account_balance_after_amt"),
-            _day_text(F.col("ts")).alias("date_key"),
+            F.col("day_text").alias("date_key"),
         )
 
     def _package_purchase(self, first: int | None, last: int | None) -> DataFrame:
@@ -140,7 +174,7 @@ class StarSource:
             (F.col("k") % 5).cast("bigint").alias("cnt"),
             F.col("value").alias("amount"),
             _pick(SYSTEMS, F.col("event_id") % 3).alias("source_system_cd"),
-            _day_text(F.col("ts")).alias("date_key"),
+            F.col("day_text").alias("date_key"),
         )
 
     def _customer_person_type_bank_info(self, first: int | None, last: int | None) -> DataFrame:
@@ -148,7 +182,7 @@ class StarSource:
             _text(F.col("user_id")).alias("fake_msisdn"),
             _pick(SENDERS, F.col("k") % 10).alias("bank_name"),
             (1 + F.col("k") % 4).cast("bigint").alias("sms_cnt"),
-            _day_text(F.col("ts")).alias("date_key"),
+            F.col("day_text").alias("date_key"),
         )
 
     def _domestic_travel(self, first: int | None, last: int | None) -> DataFrame:
@@ -157,7 +191,7 @@ class StarSource:
         return (
             self.events(first, last)
             .where(F.col("event_type").isin("signup", "view"))
-            .groupBy(_text(F.col("user_id")).alias("fake_msisdn"), _day_text(F.col("ts")).alias("date_key"), "event_type")
+            .groupBy(_text(F.col("user_id")).alias("fake_msisdn"), F.col("day_text").alias("date_key"), "event_type")
             .agg(F.when(trips < 3, trips).alias("sum_travel"))
             .drop("event_type")
         )
@@ -171,7 +205,7 @@ class StarSource:
             F.lit("smart").alias("handset_type"),
             (1 + F.col("k") % 31).cast("bigint").alias("cnt_of_days"),
             F.date_format("ts", "yyyyMM").alias("month_id"),
-            _day_text(F.col("ts")).alias("date_key"),
+            F.col("day_text").alias("date_key"),
         )
 
     def _arpu(self, first: int | None, last: int | None) -> DataFrame:
@@ -180,7 +214,7 @@ class StarSource:
         value_of = lambda name: F.round(F.sum(F.when(kind == name, F.col("value")).otherwise(0.0)), 2)
         daily = (
             self.events(first, last)
-            .groupBy("user_id", _day_text(F.col("ts")).alias("date_key"))
+            .groupBy("user_id", F.col("day_text").alias("date_key"))
             .agg(
                 F.min("event_id").alias("first_event"),
                 F.max("k").alias("top_k"),
@@ -216,7 +250,7 @@ class StarSource:
 
     def _loan_assign(self, first: int | None, last: int | None) -> DataFrame:
         """An order is a loan over the whole-number prices of its lines."""
-        lines = self.base("lineitem").groupBy("l_orderkey").agg(
+        lines = self.lines(first, last).groupBy("l_orderkey").agg(
             F.sum(F.floor("l_extendedprice").cast("bigint")).alias("priced")
         )
         loans = self.orders(first, last).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")

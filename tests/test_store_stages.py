@@ -5,7 +5,8 @@ import time
 import pytest
 
 from moontally.plans import store
-from moontally.registry import REGISTRY, StarSource, _raw_sides
+from moontally.registry import EVENT_TABLES, EVENTS_SPAN, ORDERS_MONTH, REGISTRY, StarSource, _raw_sides
+from moontally.sources.catalog import SOURCE_COLUMNS
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -60,3 +61,22 @@ def test_defaults_of_a_group_come_from_one_aggregate(spark):
     assert queries and not set(constants) & set(queries)
     for _, column in queries.items():
         assert "struct(" in str(column)
+
+
+def test_groups_of_the_store_read_their_months_written_once(spark):
+    """No group parses all events again, or shuffles lines of orders outside its months."""
+    frames = [frame for raw, dropped in _raw_sides(StarSource(spark, FOLDER)) for frame in [*raw.values(), dropped]]
+    files = {f.split(FOLDER)[1] for frame in frames for f in frame.inputFiles() if FOLDER in f}
+    assert files <= {"/customer.parquet", "/orders.parquet", "/part.parquet"}
+
+
+def test_written_months_hold_what_the_tables_hold(spark, tmp_path):
+    orders = (ORDERS_MONTH - 1, ORDERS_MONTH)
+    plain = StarSource(spark, FOLDER)
+    ready = plain.prepared(str(tmp_path), EVENTS_SPAN, orders)
+    for table in SOURCE_COLUMNS:
+        first, last = EVENTS_SPAN if table in EVENT_TABLES else orders
+        for span in ((first, last), (last, last), (first - 1, last), (None, None)):
+            ours, theirs = ready.scan_months(table, *span), plain.scan_months(table, *span)
+            assert ours.columns == theirs.columns
+            assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty(), (table, span)
